@@ -25,6 +25,7 @@ def local_session():
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
             "spark.sql.warehouse.dir": "/tmp/tickloom-warehouse",
         },

@@ -164,14 +164,12 @@ volatile AS (
     benchmark || ' rolling σ elevated: ' || printf('%.4f', {r("vol", 4)}) AS message
   FROM vol_{source} WHERE prev_price IS NOT NULL AND vol > 0.3),
 every AS (SELECT * FROM moves UNION ALL SELECT * FROM wide UNION ALL SELECT * FROM volatile),
-alerts AS (
-  SELECT * EXCLUDE (rank), CAST(row_number() OVER (PARTITION BY event_id ORDER BY rank) - 1 AS INTEGER) AS rule
-  FROM every)"""
+alerts AS (SELECT * EXCLUDE (rank), CAST(rank AS INTEGER) AS rule FROM every)"""
 
 
 def _rule_out(table: str) -> str:
     return (
-        f"SELECT event_id, 0::INTEGER AS rule, time, benchmark, alert_type, price, {r('delta')} AS delta, "
+        f"SELECT event_id, CAST(rank AS INTEGER) AS rule, time, benchmark, alert_type, price, {r('delta')} AS delta, "
         f"{r('delta_pct')} AS delta_pct, severity, message FROM {table}"
     )
 

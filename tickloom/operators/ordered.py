@@ -93,7 +93,8 @@ def with_chunk(
         out = _bucketed(out.withColumn("_at2", _position(df, order_by[1])), "_at2", cuts.second, "_part2")
         inner = F.when(F.col("_at").isin(cuts.crowded), F.col("_part2").cast("long")).otherwise(0)
         part = part * (len(cuts.second) + 1) + inner
-    return out.withColumn(CHUNK, part).drop("_at", "_part", "_at2", "_part2")
+    # rows without a position sort first, so they belong to the first chunk
+    return out.withColumn(CHUNK, F.coalesce(part, F.lit(0))).drop("_at", "_part", "_at2", "_part2")
 
 
 def scan(by: Sequence[str], order_by: Sequence[str] = EVENT_ORDER, reverse: bool = False) -> WindowSpec:
@@ -180,11 +181,14 @@ def running(
     ).drop(*[f"_{n}" for n in [*sums, *maxes, *lasts]])
 
 
-def with_sequence(df: DataFrame, order_by: Sequence[str] = EVENT_ORDER, name: str = "seq") -> DataFrame:
+def with_sequence(
+    df: DataFrame, order_by: Sequence[str] = EVENT_ORDER, name: str = "seq", summarize: DataFrame | None = None
+) -> DataFrame:
     """Number all rows of a chunked frame from 0 along the order, across keys."""
     before = Window.partitionBy().orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     # one row per chunk, at most MAX_CHUNKS
-    carry = df.groupBy(CHUNK).agg(F.count("*").alias("_n")).select(CHUNK, F.sum("_n").over(before).alias("_before"))
+    counted = df if summarize is None else summarize
+    carry = counted.groupBy(CHUNK).agg(F.count("*").alias("_n")).select(CHUNK, F.sum("_n").over(before).alias("_before"))
     numbered = df.join(carry.hint("shuffle_hash"), CHUNK)
     position = F.row_number().over(scan([], order_by)) - 1
     return numbered.withColumn(name, F.coalesce("_before", F.lit(0)) + position).drop("_before")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.columns import bucket, micros, present, rounded
+from tickloom.functions.columns import micros, present, rounded
 from tickloom.operators.ordered import (
     EVENT_ORDER,
     HALO,
@@ -54,12 +54,12 @@ def tick_returns(ticks: DataFrame, order_by: Sequence[str] = EVENT_ORDER) -> Dat
 def with_rolling(haloed: DataFrame, order_by: Sequence[str] = EVENT_ORDER) -> DataFrame:
     """Add previous price and rolling volatility to a frame whose halo has 30 rows; keeps the halo."""
     spec = scan(KEY, order_by)
-    prices = F.count("price").over(spec.rowsBetween(1 - ROLLING_TICKS, 0))
+    enough = F.lag("time", MIN_VOL_TICKS - 1).over(spec).isNotNull()
     spread = F.stddev_pop("_ret").over(spec.rowsBetween(2 - ROLLING_TICKS, 0))
     return (
         haloed.withColumn("prev_price", F.lag("price").over(spec))
         .withColumn("_ret", simple_return(F.col("price"), F.col("prev_price")))
-        .withColumn("rolling_std_30", F.when(prices >= MIN_VOL_TICKS, spread))
+        .withColumn("rolling_std_30", F.when(enough, spread))
         .drop("_ret")
     )
 
@@ -81,9 +81,14 @@ def session_vwap(ticks: DataFrame, order_by: Sequence[str] = EVENT_ORDER, initia
     return with_session_vwap(with_chunk(ticks, order_by), order_by, initial)
 
 
-def with_session_vwap(chunked: DataFrame, order_by: Sequence[str], initial: DataFrame | None = None) -> DataFrame:
+def with_session_vwap(
+    chunked: DataFrame,
+    order_by: Sequence[str],
+    initial: DataFrame | None = None,
+    summarize: DataFrame | None = None,
+) -> DataFrame:
     sums = {"session_pv": F.col("price") * F.col("volume"), "session_volume": F.col("volume")}
-    totals = running(chunked, KEY, order_by, sums=sums, initial=initial)
+    totals = running(chunked, KEY, order_by, sums=sums, initial=initial, summarize=summarize)
     return totals.withColumn("session_vwap", F.try_divide("session_pv", present(F.col("session_volume"))))
 
 
@@ -128,8 +133,8 @@ def pane_statistics(moved: DataFrame) -> DataFrame:
     also hold the tick before it, which is known by `prev_time`.
     """
     change = simple_return(F.col("price"), F.col("prev_price"))
-    paned = moved.select("benchmark", "prev_time", bucket("time", PANE).alias("pane"), change.alias("_ret"))
-    first = F.col("prev_time").isNull() | (F.col("prev_time") < F.col("pane"))
+    paned = moved.select("benchmark", "prev_time", F.window("time", PANE).alias("pane"), change.alias("_ret"))
+    first = F.col("prev_time").isNull() | (F.col("prev_time") < F.col("pane.start"))
     head, tail = F.when(first, F.col("_ret")), F.when(~first, F.col("_ret"))
     return paned.groupBy("benchmark", "pane").agg(
         F.count("*").alias("ticks"),
@@ -146,7 +151,7 @@ def realized_from_panes(panes: DataFrame) -> DataFrame:
     inside = F.col("head_prev") >= F.col("window.start")
     head = F.when(inside, F.col("head"))
     sums = (
-        panes.select("*", F.window("pane", SPAN, PANE))
+        panes.select("*", F.window(F.window_time("pane"), SPAN, PANE))
         .groupBy("window", "benchmark")
         .agg(
             F.sum("ticks").alias("tick_count"),

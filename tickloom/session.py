@@ -52,11 +52,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def lookup(side: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """Compute a small side once and mark it for broadcast only when a count proves it small.
+def broadcast_if_small(side: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame:
+    """Mark a join side for broadcast only when a count proves it small.
 
     A larger side is returned unmarked: the join then shuffles and AQE splits its hot keys.
     """
+    return side.hint("broadcast") if side.limit(max_rows + 1).count() <= max_rows else side
+
+
+def lookup(side: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame:
+    """Compute a small side once, by a reliable checkpoint, and broadcast it if it is small."""
     shared_dir(side.sparkSession)
-    done = side.checkpoint()
-    return done.hint("broadcast") if done.count() <= max_rows else done
+    return broadcast_if_small(side.checkpoint(), max_rows)
