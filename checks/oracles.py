@@ -218,6 +218,29 @@ def _null_checks(table: str, source: str, columns: str) -> str:
     )
 
 
+_WIRE = """
+sent AS (SELECT *, make_timestamp((epoch_us(time) // 1000) * 1000) AS sent_at FROM dense)"""
+
+# windows that the end of the stream leaves open: the watermark stays five seconds behind the newest tick
+_CLOSED = "(SELECT max(time) - INTERVAL 5 SECOND FROM dense)"
+
+
+def _alert_list(source: str, view: str) -> str:
+    return f"WITH {view}, {_alerts(source)} {_ALERT_OUT}"
+
+
+def _refreshed(unit: str, extra: str, until: str, low: str, high: str) -> str:
+    bucket = f"CAST(date_trunc('{unit}', time) AS TIMESTAMP)"
+    more = f", {r('sd')} AS daily_volatility" if extra else ""
+    return f"""WITH {TICKS},
+early AS ({_ohlcv(f"(SELECT * FROM ticks WHERE time < TIMESTAMP '{until}')", bucket, extra)}),
+fresh AS ({_ohlcv(f"(SELECT * FROM ticks WHERE time >= TIMESTAMP '{low}' AND time < TIMESTAMP '{high}')", bucket, extra)}),
+stored AS (
+  SELECT * FROM early WHERE bucket < TIMESTAMP '{low}' OR bucket >= TIMESTAMP '{high}' UNION ALL SELECT * FROM fresh)
+SELECT bucket, benchmark, open, high, low, close, volume, tick_count, {r("pv / nullif(volume, 0)")} AS vwap {more}
+FROM stored"""
+
+
 ORACLES: dict[str, str] = {
     "scan_ticks": f"WITH {TICKS} SELECT * FROM ticks",
     "stg_ticks": f"WITH {STG} SELECT * EXCLUDE (spread), {r('spread')} AS spread FROM stg",
@@ -380,4 +403,56 @@ SELECT 'ticks' AS table_name, 'price' AS column_name, count(*) FILTER (price NOT
 SELECT day_bucket AS time, benchmark, count(*) AS copies FROM daily GROUP BY 1, 2 HAVING count(*) > 1
 UNION ALL
 SELECT time, benchmark, count(*) FROM sync GROUP BY 1, 2 HAVING count(*) > 1""",
+    "decode_ticks_json": f"""WITH {DENSE}, {_WIRE}
+SELECT event_id, CASE WHEN event_id % 7 = 0 THEN TIMESTAMP '1970-01-01' ELSE sent_at END AS time,
+  CASE WHEN event_id % 7 = 0 THEN 'UNKNOWN' ELSE benchmark END AS benchmark, exchange, price, volume, bid, ask,
+  CAST(NULL AS DOUBLE) AS open_interest, source, CAST(NULL AS VARCHAR) AS region
+FROM sent WHERE event_id % 13 <> 0 AND (event_id % 7 = 0 OR event_id % 11 <> 0)""",
+    "dead_letters": f"""WITH {DENSE}
+SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 'unparsable' ELSE 'incomplete' END AS fault
+FROM dense WHERE event_id % 13 = 0 OR (event_id % 7 <> 0 AND event_id % 11 = 0)""",
+    "publish_ticks": f"""WITH {DENSE}
+SELECT event_id, benchmark AS key, epoch_us(time) // 1000 AS event_time, benchmark, exchange, price, volume, bid, source
+FROM dense""",
+    "feed_adapter": f"""WITH {TICKS}
+SELECT event_id, make_timestamp((epoch_us(time) // 1000) * 1000) AS time, 'WTI' AS benchmark, 'NYMEX' AS exchange,
+  price, volume FROM ticks""",
+    "candles_1m_json": f"""WITH {_candles()}
+SELECT benchmark AS key, {iso("time")} AS time, * EXCLUDE (time, vwap), {r("vwap")} AS vwap FROM candles""",
+    "insert_ignore": f"""WITH {SYNC}
+SELECT DISTINCT ON (time, benchmark) event_id, time, benchmark, price FROM sync
+WHERE time >= TIMESTAMP '2024-01-01 04:00:00' ORDER BY time, benchmark, event_id""",
+    "write_partitioned": f"WITH {TICKS} SELECT * FROM ticks WHERE time >= TIMESTAMP '2024-01-08' AND benchmark = 'BRENT'",
+    "compact": f"WITH {TICKS} SELECT * FROM ticks WHERE time < TIMESTAMP '2024-01-24'",
+    "retained_ticks": f"WITH {TICKS} SELECT * FROM ticks WHERE time >= TIMESTAMP '2024-02-10' - INTERVAL 30 DAY",
+    "refresh_rollup": _refreshed("hour", "", "2024-01-20 10:30:00", "2024-01-20 10:00:00", "2024-01-20 12:00:00"),
+    "refresh_rollup_daily": _refreshed(
+        "day", ", stddev_samp(price) AS sd", "2024-01-20 10:30:00", "2024-01-20 00:00:00", "2024-01-22 00:00:00"
+    ),
+    "build_models": f"WITH {_daily()} SELECT * FROM daily",
+    "backfill": f"""WITH {_candles()}, {_alerts("dense")},
+rolled AS ({_ohlcv("dense", _bucket("5 minutes"))})
+SELECT 'ticks' AS table_name, count(*) AS n, count(DISTINCT benchmark) AS benchmarks FROM dense
+UNION ALL SELECT 'candles_1m', count(*), count(DISTINCT benchmark) FROM candles
+UNION ALL SELECT 'candles_5m', count(*), count(DISTINCT benchmark) FROM rolled
+UNION ALL SELECT 'alerts', count(*), count(DISTINCT benchmark) FROM alerts
+UNION ALL SELECT 'volatility', count(*), count(DISTINCT benchmark) FROM vol_dense WHERE seq % 10 = 0 AND vol <> 0""",
+    "replay_ticks": f"WITH {DENSE} SELECT * FROM dense",
+    "replay_candles_1m": f"WITH {_candles()} {_CANDLE_OUT}",
+    "replay_alerts": _alert_list("raw", RAW),
+    "replay_volatility": f"""WITH {DENSE}, {_vol("dense")}
+SELECT time, benchmark, {r("vol")} AS rolling_std_30, CAST(NULL AS DOUBLE) AS rolling_std_1m,
+  CAST(NULL AS DOUBLE) AS atr_14, CAST(NULL AS DOUBLE) AS realized_vol
+FROM vol_dense WHERE seq % 10 = 0 AND vol <> 0""",
+    "replay_live_prices": _live("dense"),
 }
+ORACLES["candles_5m_json"] = ORACLES["candles_5m"]
+ORACLES["replay_candles_5m"] = (
+    f"WITH {DENSE} SELECT * FROM ({ORACLES['candles_5m']}) WHERE window_end <= epoch_ms({_CLOSED})"
+)
+ORACLES["replay_spread_5m"] = (
+    f"WITH {DENSE} SELECT * FROM ({ORACLES['stream_spread_5m']}) WHERE time + INTERVAL 5 MINUTE <= {_CLOSED}"
+)
+ORACLES["replay_realized_vol"] = (
+    f"WITH {DENSE} SELECT * FROM ({ORACLES['realized_vol_1h']}) WHERE window_end <= {_CLOSED}"
+)

@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.columns import rounded
 from tickloom.operators import alerts, asof, candles, quotes, returns, rollups
-from tickloom.plans import dashboard, live, marts, quality, staging
-from tickloom.sources import replay
+from tickloom.operators.ordered import ARRIVAL_ORDER
+from tickloom.plans import dashboard, live, maintenance, marts, quality, staging
+from tickloom.session import prepare, scratch_path
+from tickloom.sources import decode, replay
+from tickloom.sources.tables import LAYOUTS, read_table, write_batch, write_table
+from tickloom.streaming import processor, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,8 +31,7 @@ QUERIES: dict[str, Query] = {}
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return fn(spark, sf_dir)
+        return fn(prepare(spark), sf_dir)
 
     QUERIES[fn.__name__] = run
     return fn
@@ -117,13 +120,7 @@ def candles_1m(spark, sf_dir):
 @query
 def candles_1m_arrival(spark, sf_dir):
     arriving = replay.with_arrival(replay.ticks_dense(spark, sf_dir))
-    return six(candles.candles_1m(arriving, candles_arrival_order()), "vwap")
-
-
-def candles_arrival_order():
-    from tickloom.operators.ordered import ARRIVAL_ORDER
-
-    return ARRIVAL_ORDER
+    return six(candles.candles_1m(arriving, ARRIVAL_ORDER), "vwap")
 
 
 @query
@@ -406,3 +403,235 @@ def dq_unique(spark, sf_dir):
     mart = quality.unique(marts.daily_analytics(_staged(spark, sf_dir)), ["day_bucket", "benchmark"])
     minutes = quality.unique(replay.ticks_sync(spark, sf_dir), ["time", "benchmark"])
     return mart.withColumnRenamed("day_bucket", "time").unionByName(minutes)
+
+
+# messages
+
+
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tick messages of which some are cut off, some lack benchmark and time, some the price."""
+    sent = decode.publish_ticks(replay.ticks_dense(spark, sf_dir))
+    n, text = F.col("event_id"), F.col("value")
+    no_key = F.regexp_replace(F.regexp_replace(text, '"event_time":[0-9]+,', ""), '"benchmark":"[A-Z_]+",', "")
+    damaged = (
+        F.when(n % 13 == 0, F.substring(text, 1, 40))
+        .when(n % 7 == 0, no_key)
+        .when(n % 11 == 0, F.regexp_replace(text, '"price":[0-9.]+,', ""))
+        .otherwise(text)
+    )
+    return sent.select("event_id", damaged.alias("value"))
+
+
+def _unzoned(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns or ("time",)})
+
+
+@query
+def decode_ticks_json(spark, sf_dir):
+    return _unzoned(decode.good_ticks(decode.decode_ticks(_messages(spark, sf_dir))))
+
+
+@query
+def dead_letters(spark, sf_dir):
+    return decode.dead_letters(decode.decode_ticks(_messages(spark, sf_dir))).select("event_id", "fault")
+
+
+@query
+def publish_ticks(spark, sf_dir):
+    sent = decode.publish_ticks(replay.ticks_dense(spark, sf_dir))
+    fields = "event_time bigint, benchmark string, exchange string, price double, volume double, bid double, source string"
+    return sent.select("event_id", "key", F.from_json("value", fields).alias("m")).select("event_id", "key", "m.*")
+
+
+@query
+def feed_adapter(spark, sf_dir):
+    ticks = replay.ticks(spark, sf_dir)
+    trade = F.struct(
+        F.col("price").cast("string").alias("tradePrice"),
+        F.col("volume").alias("tradeQuantity"),
+        F.unix_millis(F.col("time").cast("timestamp")).alias("timestamp"),
+    )
+    trades = ticks.select("event_id", F.to_json(trade).alias("value"))
+    return _unzoned(decode.feed_adapter(trades, "WTI", "NYMEX"))
+
+
+@query
+def candles_1m_json(spark, sf_dir):
+    messages = processor.candle_messages(candles.candles_1m(replay.ticks_dense(spark, sf_dir)))
+    fields = (
+        "time string, benchmark string, open double, high double, low double, close double, "
+        "volume double, vwap double, tick_count int"
+    )
+    return six(messages.select("key", F.from_json("value", fields).alias("m")).select("key", "m.*"), "vwap")
+
+
+@query
+def candles_5m_json(spark, sf_dir):
+    rows = candles.candles_5m(replay.ticks_dense(spark, sf_dir))
+    messages = rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"))
+    fields = (
+        "benchmark string, window_start bigint, window_end bigint, open double, high double, low double, "
+        "close double, volume double, vwap double, tick_count bigint"
+    )
+    return messages.select(F.from_json("value", fields).alias("m")).select("m.*")
+
+
+# tables and upkeep
+
+
+@query
+def insert_ignore(spark, sf_dir):
+    ticks = replay.ticks_sync(spark, sf_dir).select("event_id", "time", "benchmark", "price")
+    stored = ticks.where(F.col("time") < F.lit("2024-01-01 04:00:00").cast("timestamp_ntz"))
+    return maintenance.insert_ignore(ticks, stored, ["time", "benchmark"])
+
+
+@query
+def write_partitioned(spark, sf_dir):
+    ticks = replay.ticks(spark, sf_dir)
+    path = scratch_path(spark, "ticks")
+    write_table(ticks, path, LAYOUTS["ticks"], "overwrite")
+    return read_table(spark, path, ticks.schema, LAYOUTS["ticks"], start=datetime(2024, 1, 8), benchmark="BRENT")
+
+
+@query
+def compact(spark, sf_dir):
+    ticks = replay.ticks(spark, sf_dir)
+    hot, cold = scratch_path(spark, "hot"), scratch_path(spark, "cold")
+    write_batch(ticks, hot, 0)
+    maintenance.compact(spark, hot, cold, ticks.schema, AS_OF)
+    return read_table(spark, cold, ticks.schema, LAYOUTS["ticks"])
+
+
+@query
+def storage_report(spark, sf_dir):
+    ticks = replay.ticks(spark, sf_dir)
+    hot, cold = scratch_path(spark, "hot"), scratch_path(spark, "cold")
+    write_batch(ticks, hot, 0)
+    maintenance.compact(spark, hot, cold, ticks.schema, AS_OF)
+    return maintenance.compaction_report(spark, hot, cold)
+
+
+@query
+def retained_ticks(spark, sf_dir):
+    return maintenance.retained_ticks(replay.ticks(spark, sf_dir), datetime(2024, 2, 10))
+
+
+def _refreshed(spark, sf_dir, rollup, until, as_of, **reach):
+    """A rollup stored at one moment and refreshed at a later one."""
+    ticks = replay.ticks(spark, sf_dir)
+    path = scratch_path(spark, "rollup")
+    early = rollup(ticks.where(F.col("time") < F.lit(str(until)).cast("timestamp_ntz")))
+    rollups.write_rollup(early, path)
+    rollups.refresh_rollup(ticks, path, as_of, rollup, **reach)
+    return rollups.read_rollup(spark, path, early.schema).drop("date")
+
+
+@query
+def refresh_rollup(spark, sf_dir):
+    stored = _refreshed(spark, sf_dir, rollups.rollup_hourly, datetime(2024, 1, 20, 10, 30), datetime(2024, 1, 20, 12, 30))
+    return six(stored, "vwap")
+
+
+@query
+def refresh_rollup_daily(spark, sf_dir):
+    stored = _refreshed(
+        spark, sf_dir, rollups.rollup_daily, datetime(2024, 1, 20, 10, 30), datetime(2024, 1, 22, 12, 30),
+        reach=rollups.DAILY_REFRESH, width=rollups.DAY,
+    )
+    return six(stored, "vwap", "daily_volatility")
+
+
+@query
+def build_models(spark, sf_dir):
+    maintenance.build_models(replay.ticks(spark, sf_dir), AS_OF, "built_", scratch_path(spark, "models"))
+    return spark.table("built_daily_analytics")
+
+
+@query
+def backfill(spark, sf_dir):
+    """Rows and benchmarks per table after a rebuild from stored ticks."""
+    root = scratch_path(spark, "lake")
+    maintenance.backfill(replay.ticks_dense(spark, sf_dir), root)
+    out = None
+    for name in LAYOUTS:
+        rows = spark.read.parquet(f"{root}/{name}").agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("n"), F.count_distinct("benchmark").alias("benchmarks")
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# streams: the events table read as a stream, until it is used up
+
+
+def _tick_stream(spark: SparkSession, sf_dir: str, view=replay.ticks_dense) -> DataFrame:
+    return _zoned(view(spark, sf_dir, streamed=True))
+
+
+def _zoned(ticks: DataFrame) -> DataFrame:
+    return ticks.withColumn("time", F.col("time").cast("timestamp"))
+
+
+def _drained(df: DataFrame, label: str) -> DataFrame:
+    """Run a stream of closed windows to its end and read what it wrote."""
+    spark = df.sparkSession
+    path, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-checkpoint")
+    sink = df.writeStream.outputMode("append").format("parquet").option("path", path)
+    sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@query
+def replay_candles_5m(spark, sf_dir):
+    return _drained(windows.candles_5m(_tick_stream(spark, sf_dir)), "candles_5m")
+
+
+@query
+def replay_spread_5m(spark, sf_dir):
+    rows = _unzoned(_drained(windows.spread_5m(_tick_stream(spark, sf_dir)), "spread_5m"))
+    return six(rows, "wti_brent_spread", "brent_dubai_spread", "wti_dubai_spread")
+
+
+@query
+def replay_realized_vol(spark, sf_dir):
+    rows = _drained(windows.realized_vol(_tick_stream(spark, sf_dir)), "realized_vol")
+    return _unzoned(rows, "window_start", "window_end")
+
+
+def _processed(spark: SparkSession, sf_dir: str, view=replay.ticks_dense) -> str:
+    root = scratch_path(spark, "processed")
+    run = processor.TickProcessor(spark, root)
+    query_ = run.start(_tick_stream(spark, sf_dir, view), scratch_path(spark, "processor-checkpoint"), {"availableNow": True})
+    query_.awaitTermination()
+    return root
+
+
+@query
+def replay_ticks(spark, sf_dir):
+    rows = spark.read.parquet(f"{_processed(spark, sf_dir)}/ticks").drop("batch_id", "date")
+    return _unzoned(rows)
+
+
+@query
+def replay_candles_1m(spark, sf_dir):
+    rows = spark.read.parquet(f"{_processed(spark, sf_dir)}/candles_1m").drop("batch_id", "date")
+    return six(_unzoned(rows), "vwap")
+
+
+@query
+def replay_alerts(spark, sf_dir):
+    root = _processed(spark, sf_dir, replay.ticks_raw_price)
+    return _alert_rows(_unzoned(spark.read.parquet(f"{root}/alerts").drop("batch_id", "date")))
+
+
+@query
+def replay_volatility(spark, sf_dir):
+    rows = spark.read.parquet(f"{_processed(spark, sf_dir)}/volatility")
+    return six(_unzoned(rows), "rolling_std_30").select("time", "benchmark", "rolling_std_30", "rolling_std_1m", "atr_14", "realized_vol")
+
+
+@query
+def replay_live_prices(spark, sf_dir):
+    root = _processed(spark, sf_dir)
+    return processor.TickProcessor(spark, root).live(0).drop("time")

@@ -58,7 +58,7 @@ def whole_buckets(as_of: datetime, reach: tuple[timedelta, timedelta], width: ti
 
 
 def read_rollup(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(StructType(schema.fields).add("date", "date")).parquet(path)
+    return spark.read.schema(StructType([*schema.fields]).add("date", "date")).parquet(path)
 
 
 def refresh_rollup(

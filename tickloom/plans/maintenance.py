@@ -16,15 +16,18 @@ from tickloom.sources.tables import LAYOUTS, Layout, first_day, read_table, writ
 RETAINED_DAYS, COMPACT_AFTER_DAYS = 30, 7
 
 
-def insert_ignore(incoming: DataFrame, stored: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def insert_ignore(
+    incoming: DataFrame, stored: DataFrame, keys: list[str] | None = None, order_by=("event_id",)
+) -> DataFrame:
     """Rows to append. Without keys nothing can collide, so that is all of them.
 
-    With keys both sides shrink to one row per key before they meet, so copies cause no skew.
+    With keys the first row of each key counts. Both sides shrink to one row per key before they
+    meet, so copies cause no skew.
     """
     if not keys:
         return incoming
     known = stored.select(*keys).distinct()
-    return incoming.dropDuplicates(keys).join(known, keys, "left_anti")
+    return marts.distinct_on(incoming, keys, order_by).join(known, keys, "left_anti")
 
 
 def retained_ticks(ticks: DataFrame, as_of: datetime, days: int = RETAINED_DAYS) -> DataFrame:
@@ -50,8 +53,8 @@ def compact(
     Whole target partitions are replaced, so a repeated run gives the same table.
     """
     cutoff = first_day(as_of - timedelta(days=COMPACT_AFTER_DAYS), layout.days)
-    stored = spark.read.schema(StructType(schema.fields).add("date", "date")).parquet(source)
-    old = stored.where(F.col("date") < F.lit(cutoff)).drop("date")
+    stored = spark.read.schema(StructType([*schema.fields]).add("date", "date")).parquet(source)
+    old = stored.where(F.col("date") < F.lit(cutoff)).select(*schema.names)
     write_table(old, target, layout, mode="overwrite")
 
 
@@ -76,14 +79,16 @@ def compaction_report(spark: SparkSession, before: str, after: str) -> DataFrame
     return sides[0].join(sides[1], "date", "left")
 
 
-def build_models(ticks: DataFrame, as_of: datetime, prefix: str = "") -> None:
+def build_models(ticks: DataFrame, as_of: datetime, prefix: str = "", location: str | None = None) -> None:
     """Publish the staging view, then the two marts that read it, as rebuilt tables."""
     spark = ticks.sparkSession
-    staged = staging.stg_ticks(ticks, as_of)
-    staged.createOrReplaceTempView(f"{prefix}stg_ticks")
+    staging.stg_ticks(ticks, as_of).createOrReplaceTempView(f"{prefix}stg_ticks")
     view = spark.table(f"{prefix}stg_ticks")
-    marts.daily_analytics(view).write.mode("overwrite").saveAsTable(f"{prefix}daily_analytics")
-    marts.spread_analysis(view).write.mode("overwrite").saveAsTable(f"{prefix}spread_analysis")
+    for name, mart in (("daily_analytics", marts.daily_analytics), ("spread_analysis", marts.spread_analysis)):
+        writer = mart(view).write.mode("overwrite")
+        if location:
+            writer = writer.option("path", f"{location}/{name}")
+        writer.saveAsTable(f"{prefix}{name}")
 
 
 def backfill(lake_ticks: DataFrame, root: str) -> None:

@@ -34,6 +34,13 @@ def build_session(name: str = "tickloom", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set what the operators rely on in a session that was built elsewhere."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass"):
+        spark.conf.set(key, SETTINGS[key])
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`; in local mode a fresh one when that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)

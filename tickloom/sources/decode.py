@@ -47,7 +47,7 @@ def decode_json(messages: DataFrame) -> DataFrame:
     Missing times become the epoch and missing benchmarks UNKNOWN; messages that do not parse or
     lack price or volume keep their text in `raw`.
     """
-    schema = StructType(WIRE_TICK.fields).add(_CORRUPT, StringType())
+    schema = StructType([*WIRE_TICK.fields]).add(_CORRUPT, StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     text = messages.withColumn("value", F.col("value").cast("string"))
     return _typed(text.withColumn("_message", F.from_json("value", schema, options)), "_message")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.columns import micros
 from tickloom.operators.quotes import derive_quotes
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 BASE_MICROS = 1_704_067_200_000_000  # 2024-01-01
 SQUEEZE = 60
 
@@ -65,20 +66,24 @@ def _as_ticks(events: DataFrame, time: Column, price: Column) -> DataFrame:
     )
 
 
-def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+def read_events(spark: SparkSession, sf_dir: str, streamed: bool = False) -> DataFrame:
+    path = f"{sf_dir}/events.parquet"
+    if not streamed:
+        return spark.read.parquet(path)
+    # a stream wants a folder or a pattern; this one fits the single file and a folder of files
+    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
 
 
-def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_ticks(read_events(spark, sf_dir), F.col("ts"), _price())
+def ticks(spark: SparkSession, sf_dir: str, streamed: bool = False) -> DataFrame:
+    return _as_ticks(read_events(spark, sf_dir, streamed), F.col("ts"), _price())
 
 
-def ticks_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_ticks(read_events(spark, sf_dir), _squeezed(), _price())
+def ticks_dense(spark: SparkSession, sf_dir: str, streamed: bool = False) -> DataFrame:
+    return _as_ticks(read_events(spark, sf_dir, streamed), _squeezed(), _price())
 
 
-def ticks_raw_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_ticks(read_events(spark, sf_dir), F.col("ts"), F.col("value"))
+def ticks_raw_price(spark: SparkSession, sf_dir: str, streamed: bool = False) -> DataFrame:
+    return _as_ticks(read_events(spark, sf_dir, streamed), F.col("ts"), F.col("value"))
 
 
 def ticks_sync(spark: SparkSession, sf_dir: str) -> DataFrame:

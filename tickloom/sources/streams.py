@@ -16,7 +16,7 @@ def read_messages(spark: SparkSession, servers: str, topic: str, start: str = "l
     """Messages of a topic; offsets live in the query's checkpoint. Needs the Kafka package."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
     log = reader.option("startingOffsets", start).options(**options).load()
-    # one position over all partitions: the broker's time first would tie, so partition and offset are merged
+    # offsets rise per partition and a benchmark stays in one, so this keeps each benchmark's order
     position = F.col("offset") * 1024 + F.col("partition")
     return log.select(position.alias("event_id"), "partition", "offset", "value")
 

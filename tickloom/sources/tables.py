@@ -81,9 +81,9 @@ def read_table(
     benchmark: str | None = None,
 ) -> DataFrame:
     """Scan a table; time and benchmark bounds also become partition filters."""
-    full = StructType(schema.fields).add("date", "date")
+    full = StructType([*schema.fields]).add("date", "date")
     if layout.spaces:
-        full = full.add("space", "int")
+        full = full.add("space", "integer")
     df = spark.read.schema(full).parquet(path)
     if start is not None:
         df = df.where((F.col("date") >= F.lit(first_day(start, layout.days))) & (F.col("time") >= moment(df, "time", start)))

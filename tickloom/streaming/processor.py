@@ -9,6 +9,7 @@ that is run again after a failure starts from the same state and replaces its ow
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -31,6 +32,7 @@ from tickloom.operators.ordered import (
     CHUNK,
     EVENT_ORDER,
     HISTORY_CHUNK,
+    MAX_CHUNKS,
     with_chunk,
     with_sequence,
 )
@@ -45,6 +47,7 @@ CANDLE_TOPIC, ALERT_TOPIC = "candles.1m", "alerts"
 FLUSH = "2 seconds"
 SAMPLE_EVERY = 10
 HISTORY_ALERTS = 100
+CHUNK_ROWS = 250_000  # a quiet batch is one chunk, a large one is split
 
 _TAIL = "benchmark string, time timestamp, event_id bigint, price double"
 _TOTALS = "benchmark string, session_pv double, session_volume double, seen bigint"
@@ -94,17 +97,25 @@ class TickProcessor:
             writer.partitionBy("batch_id").json(f"{self.root}/topics/{topic}")
 
     def run_batch(self, batch: DataFrame, batch_id: int) -> None:
+        """Enrich the batch once, then write its independent outputs side by side."""
         ticks = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        enriched = self.enrich(ticks, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            enriched = self.enrich(ticks, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
-            self.write_ticks(ticks, batch_id)
-            self.write_candles(ticks, batch_id)
-            self.write_alerts(enriched, batch_id)
-            self.write_volatility(enriched, batch_id)
-            self.write_live(enriched, batch_id)
-            self.write_state(ticks, batch_id)
-            enriched.unpersist()
+            enriched.count()
+            outputs = [
+                (self.write_candles, ticks),
+                (self.write_alerts, enriched),
+                (self.write_live, enriched),
+                (self.write_series, enriched),
+                (self.write_state, ticks),
+                (self.write_ticks, ticks),
+                (self.write_volatility, enriched),
+            ]
+            with ThreadPoolExecutor(len(outputs)) as pool:
+                for done in [pool.submit(write, rows, batch_id) for write, rows in outputs]:
+                    done.result()  # a failed output fails the batch, which is then run again
         finally:
+            enriched.unpersist()
             ticks.unpersist()
 
     def enrich(self, ticks: DataFrame, batch_id: int) -> DataFrame:
@@ -112,7 +123,8 @@ class TickProcessor:
         totals = self._state("totals", batch_id, _TOTALS)
         before = totals.agg(F.coalesce(F.sum("seen"), F.lit(0)).alias("n")).first()["n"]
         history = self._state("tail", batch_id, _TAIL).withColumn(CHUNK, F.lit(HISTORY_CHUNK).cast("long"))
-        fresh = with_chunk(ticks.select("event_id", "time", "benchmark", "price", "volume"))
+        narrow = ticks.select("event_id", "time", "benchmark", "price", "volume")
+        fresh = with_chunk(narrow, chunks=min(ticks.count() // CHUNK_ROWS + 1, MAX_CHUNKS))
         chunked = fresh.unionByName(history, allowMissingColumns=True)
         inputs = alert_inputs_chunked(chunked, EVENT_ORDER).where(F.col(CHUNK) != HISTORY_CHUNK)
         priced = with_session_vwap(inputs, EVENT_ORDER, totals.drop("seen"), summarize=fresh)
@@ -142,11 +154,12 @@ class TickProcessor:
             )
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
-        closed = close_candles(merged)
+        closed = close_candles(merged).persist(StorageLevel.MEMORY_AND_DISK)
         write_batch(closed, f"{self.root}/candles_1m", batch_id, days=7)
         self._topic(candle_messages(closed), CANDLE_TOPIC, batch_id)
         last = merged.groupBy("benchmark").agg(F.max_by(F.struct(*[c for c in _names(_OPEN) if c != "benchmark"]), "time").alias("c"))
         self._keep(last.select("benchmark", "c.*").select(*_names(_OPEN)), "open", batch_id)
+        closed.unpersist()
         merged.unpersist()
 
     def write_alerts(self, enriched: DataFrame, batch_id: int) -> None:
@@ -165,7 +178,7 @@ class TickProcessor:
         write_batch(sampled.select("time", "benchmark", "rolling_std_30", *empty), f"{self.root}/volatility", batch_id, days=7)
 
     def write_live(self, enriched: DataFrame, batch_id: int) -> None:
-        """Newest state per benchmark and the points of the last hour."""
+        """Newest state per benchmark."""
         key = F.struct("time", "event_id")
         newest = enriched.groupBy("benchmark").agg(
             F.max_by(F.struct("time", "price", "session_vwap", "rolling_std_30"), key).alias("last")
@@ -181,6 +194,8 @@ class TickProcessor:
         known = self._state("live", batch_id, _LIVE).join(fresh.select("benchmark"), "benchmark", "left_anti")
         self._keep(known.unionByName(fresh), "live", batch_id)
 
+    def write_series(self, enriched: DataFrame, batch_id: int) -> None:
+        """The points of the last hour per benchmark."""
         points = self._state("series", batch_id, _SERIES).unionByName(enriched.select(*_names(_SERIES)))
         bound = points.groupBy("benchmark").agg((F.max("time") - F.make_dt_interval(secs=F.lit(SERIES_SECONDS))).alias("after"))
         hour = points.join(broadcast_if_small(bound), "benchmark").where(F.col("time") > F.col("after")).drop("after")
