@@ -54,7 +54,7 @@ def tick_returns(ticks: DataFrame, order_by: Sequence[str] = EVENT_ORDER) -> Dat
 def with_rolling(haloed: DataFrame, order_by: Sequence[str] = EVENT_ORDER) -> DataFrame:
     """Add previous price and rolling volatility to a frame whose halo has 30 rows; keeps the halo."""
     spec = scan(KEY, order_by)
-    enough = F.lag("time", MIN_VOL_TICKS - 1).over(spec).isNotNull()
+    enough = F.lag("price", MIN_VOL_TICKS - 1).over(spec).isNotNull()
     spread = F.stddev_pop("_ret").over(spec.rowsBetween(2 - ROLLING_TICKS, 0))
     return (
         haloed.withColumn("prev_price", F.lag("price").over(spec))
