@@ -595,7 +595,7 @@ def replay_spread_5m(spark, sf_dir):
 
 @query
 def replay_realized_vol(spark, sf_dir):
-    rows = _drained(windows.realized_vol(_tick_stream(spark, sf_dir)), "realized_vol")
+    rows = spark.read.parquet(f"{_processed(spark, sf_dir)}/realized_vol").drop("batch_id", "date", "time")
     return _unzoned(rows, "window_start", "window_end")
 
 

@@ -61,11 +61,6 @@ def test_five_minute_spread(spark, ticks, folder, tmp_path):
     assert_same(found, asof.spread_5m(ticks).where(end <= F.lit(newest(ticks))))
 
 
-def test_realized_volatility(spark, ticks, folder, tmp_path):
-    found = drain(windows.realized_vol(streams.read_tick_files(spark, folder)), f"{tmp_path}/out", f"{tmp_path}/ck")
-    assert_same(found, returns.realized_vol(ticks).where(F.col("window_end") <= F.lit(newest(ticks))))
-
-
 @pytest.fixture(scope="module")
 def processed(spark, folder, tmp_path_factory):
     """The processor stopped after two batches and started again."""
@@ -87,6 +82,8 @@ def test_processor_equals_the_table_operators(spark, ticks, processed):
     assert_same(read("alerts"), alerts.alerts_all(ticks), "delta", "delta_pct")
     sampled = returns.volatility_sampled(ticks).select("time", "benchmark", "rolling_std_30")
     assert_same(read("volatility").select(*sampled.columns), sampled, "rolling_std_30")
+    closed = returns.realized_vol(ticks).where(F.col("window_end") <= F.lit(newest(ticks)))
+    assert_same(read("realized_vol"), closed)
 
 
 def test_processor_live_views(spark, ticks, processed):

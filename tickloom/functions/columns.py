@@ -8,11 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def bucket(time: str | Column, interval: str) -> Column:
-    """Start of the epoch-aligned bucket that holds `time`; keeps the timestamp kind of the input."""
-    return F.window(time, interval)["start"]
-
-
 def truncated(df: DataFrame, time: str, unit: str) -> Column:
     """`date_trunc` that keeps the timestamp kind of column `time` in `df`."""
     return F.date_trunc(unit, F.col(time)).cast(df.schema[time].dataType)
@@ -29,6 +24,12 @@ def micros(time: str | Column) -> Column:
     return F.unix_micros(column.cast("timestamp"))
 
 
+def start_of(time: str | Column, seconds: int) -> Column:
+    """Start of the epoch-aligned bucket of `seconds` that holds `time`."""
+    at = micros(time)
+    return F.timestamp_micros(at - F.pmod(at, F.lit(seconds * 1_000_000)))
+
+
 def iso_text(time: str | Column) -> Column:
     """ISO 8601 in UTC; the fraction is left out when it is zero."""
     column = F.col(time) if isinstance(time, str) else time

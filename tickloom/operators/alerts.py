@@ -36,7 +36,7 @@ def alert_inputs_chunked(chunked: DataFrame, order_by: Sequence[str] = EVENT_ORD
     All three scans need the same chunks, so the rows are spread by chunk once and every
     window below reuses that.
     """
-    spread = with_halo(chunked, KEY, order_by, ROLLING_TICKS, ["price"]).repartition(CHUNK)
+    spread = with_halo(chunked, KEY, order_by, ROLLING_TICKS, ["price", "time"]).repartition(CHUNK)
     rolled = with_rolling(spread, order_by).where(~F.col(HALO)).drop(HALO)
     return with_brent(rolled, chunked, order_by)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.columns import micros, present, rounded
+from tickloom.functions.columns import micros, present, rounded, start_of
 from tickloom.operators.ordered import (
     EVENT_ORDER,
     HALO,
@@ -22,7 +22,7 @@ from tickloom.schemas import MIN_VOL_TICKS, ROLLING_TICKS
 KEY = ["benchmark"]
 # Fixed value: half-second ticks of 252 trading days of 8 hours.
 TICKS_PER_YEAR = 252 * 8 * 3600 * 2
-PANE, SPAN = "5 minutes", "1 hour"
+PANE, PANE_SECONDS, SPAN = "5 minutes", 300, "1 hour"
 
 
 def simple_return(price: Column, previous: Column) -> Column:
@@ -57,7 +57,7 @@ def with_rolling(haloed: DataFrame, order_by: Sequence[str] = EVENT_ORDER) -> Da
     enough = F.lag("price", MIN_VOL_TICKS - 1).over(spec).isNotNull()
     spread = F.stddev_pop("_ret").over(spec.rowsBetween(2 - ROLLING_TICKS, 0))
     return (
-        haloed.withColumn("prev_price", F.lag("price").over(spec))
+        haloed.withColumns({"prev_price": F.lag("price").over(spec), "prev_time": F.lag("time").over(spec)})
         .withColumn("_ret", simple_return(F.col("price"), F.col("prev_price")))
         .withColumn("rolling_std_30", F.when(enough, spread))
         .drop("_ret")
@@ -66,7 +66,7 @@ def with_rolling(haloed: DataFrame, order_by: Sequence[str] = EVENT_ORDER) -> Da
 
 def rolling_vol(ticks: DataFrame, order_by: Sequence[str] = EVENT_ORDER) -> DataFrame:
     """Population deviation of the returns among the last 30 prices; null below five prices."""
-    haloed = with_halo(with_chunk(ticks, order_by), KEY, order_by, ROLLING_TICKS, ["price"])
+    haloed = with_halo(with_chunk(ticks, order_by), KEY, order_by, ROLLING_TICKS, ["price", "time"])
     return with_rolling(haloed, order_by).where(~F.col(HALO)).drop(HALO)
 
 
@@ -126,39 +126,33 @@ def rolling_std_1m(ticks: DataFrame) -> DataFrame:
 
 
 def pane_statistics(moved: DataFrame) -> DataFrame:
-    """Five-minute sums of returns, with the first return of a pane kept apart.
+    """Sums of returns per five-minute pane and pane of the tick before.
 
-    `moved` has `time`, `price`, `prev_price`, `prev_time`. Within one pane all ticks but the
-    first follow a tick of the same pane. The first one's return counts only in windows that
-    also hold the tick before it, which is known by `prev_time`.
+    A return counts in the windows that hold both of its ticks. Windows start on pane borders, so
+    the two panes decide that, and the sums of single ticks can be merged in any order.
     """
     change = simple_return(F.col("price"), F.col("prev_price"))
-    paned = moved.select("benchmark", "prev_time", F.window("time", PANE).alias("pane"), change.alias("_ret"))
-    first = F.col("prev_time").isNull() | (F.col("prev_time") < F.col("pane.start"))
-    head, tail = F.when(first, F.col("_ret")), F.when(~first, F.col("_ret"))
-    return paned.groupBy("benchmark", "pane").agg(
+    kind = moved.schema["time"].dataType
+    paned = moved.select(
+        "benchmark",
+        start_of("time", PANE_SECONDS).cast(kind).alias("pane"),
+        start_of("prev_time", PANE_SECONDS).cast(kind).alias("prev_pane"),
+        change.alias("_ret"),
+    )
+    return paned.groupBy("benchmark", "pane", "prev_pane").agg(
         F.count("*").alias("ticks"),
-        F.count(tail).alias("n"),
-        F.sum(tail).alias("s"),
-        F.sum(tail * tail).alias("ss"),
-        F.max(head).alias("head"),
-        F.max(F.when(first, F.col("prev_time"))).alias("head_prev"),
+        F.count("_ret").alias("n"),
+        F.sum("_ret").alias("s"),
+        F.sum(F.col("_ret") * F.col("_ret")).alias("ss"),
     )
 
 
 def realized_from_panes(panes: DataFrame) -> DataFrame:
-    """Combine twelve panes per sliding hour; rows here are panes, not ticks."""
-    inside = F.col("head_prev") >= F.col("window.start")
-    head = F.when(inside, F.col("head"))
-    sums = (
-        panes.select("*", F.window(F.window_time("pane"), SPAN, PANE))
-        .groupBy("window", "benchmark")
-        .agg(
-            F.sum("ticks").alias("tick_count"),
-            (F.sum("n") + F.count(head)).alias("n"),
-            (F.coalesce(F.sum("s"), F.lit(0.0)) + F.coalesce(F.sum(head), F.lit(0.0))).alias("s"),
-            (F.coalesce(F.sum("ss"), F.lit(0.0)) + F.coalesce(F.sum(head * head), F.lit(0.0))).alias("ss"),
-        )
+    """Combine the panes of each sliding hour; rows here are panes, not ticks."""
+    placed = panes.select("*", F.window("pane", SPAN, PANE))
+    inside = (F.col("prev_pane") >= F.col("window.start")) & (F.col("prev_pane") < F.col("window.end"))
+    sums = placed.groupBy("window", "benchmark").agg(
+        F.sum("ticks").alias("tick_count"), *[F.sum(F.when(inside, F.col(c)).otherwise(0)).alias(c) for c in ("n", "s", "ss")]
     )
     std = deviation(F.col("n"), F.col("s"), F.col("ss"))
     return sums.select(

@@ -36,12 +36,18 @@ from tickloom.operators.ordered import (
     with_chunk,
     with_sequence,
 )
-from tickloom.operators.returns import with_session_vwap
+from tickloom.operators.returns import (
+    SPAN,
+    pane_statistics,
+    realized_from_panes,
+    with_session_vwap,
+)
 from tickloom.plans.live import SERIES_SECONDS, tail
 from tickloom.schemas import ROLLING_TICKS
 from tickloom.session import broadcast_if_small
 from tickloom.sources.streams import write_topic
 from tickloom.sources.tables import read_version, write_batch, write_version
+from tickloom.streaming.windows import LATENESS
 
 CANDLE_TOPIC, ALERT_TOPIC = "candles.1m", "alerts"
 FLUSH = "2 seconds"
@@ -55,6 +61,8 @@ _OPEN = (
     "time timestamp, benchmark string, open double, high double, low double, close double, "
     "volume double, pv double, tick_count bigint"
 )
+_PANES = "benchmark string, pane timestamp, prev_pane timestamp, ticks bigint, n bigint, s double, ss double"
+_CLOCK = "newest timestamp"
 _LIVE = "benchmark string, price double, vwap double, vol double, ts string, time timestamp"
 _SERIES = "benchmark string, time timestamp, price double"
 _ALERTS = (
@@ -107,6 +115,7 @@ class TickProcessor:
                 (self.write_alerts, enriched),
                 (self.write_live, enriched),
                 (self.write_series, enriched),
+                (self.write_realized, enriched),
                 (self.write_state, ticks),
                 (self.write_ticks, ticks),
                 (self.write_volatility, enriched),
@@ -177,6 +186,33 @@ class TickProcessor:
         empty = [F.lit(None).cast("double").alias(c) for c in ("rolling_std_1m", "atr_14", "realized_vol")]
         write_batch(sampled.select("time", "benchmark", "rolling_std_30", *empty), f"{self.root}/volatility", batch_id, days=7)
 
+    def write_realized(self, enriched: DataFrame, batch_id: int) -> None:
+        """Realized volatility of the hours that this batch closed.
+
+        The clock stays five seconds behind the newest tick. Panes add up, so only their sums are
+        kept, and only while an open window holds them.
+        """
+        earlier = self._state("clock", batch_id, _CLOCK)
+        clock = earlier.unionByName(enriched.select(F.col("time").alias("newest"))).agg(F.max("newest").alias("newest"))
+        self._keep(clock, "clock", batch_id)
+        then, now = self._closed_until(earlier), self._closed_until(self._state("clock", batch_id + 1, _CLOCK))
+
+        known = self._state("panes", batch_id, _PANES).unionByName(pane_statistics(enriched))
+        sums = [F.sum(c).alias(c) for c in ("ticks", "n", "s", "ss")]
+        panes = known.groupBy("benchmark", "pane", "prev_pane").agg(*sums).persist(StorageLevel.MEMORY_AND_DISK)
+        windows = realized_from_panes(panes)
+        closed = windows.where((F.col("window_end") <= now) & (F.coalesce(F.col("window_end") > then, F.lit(True))))
+        rows = closed.withColumn("time", F.col("window_start"))
+        write_batch(rows, f"{self.root}/realized_vol", batch_id, days=7)
+        self._keep(panes.where(F.col("pane") + F.expr(f"interval {SPAN}") > now), "panes", batch_id)
+        panes.unpersist()
+
+    @staticmethod
+    def _closed_until(clock: DataFrame):
+        """Windows that end by this moment are closed; null before the first tick."""
+        moment_of = clock.agg((F.max("newest") - F.expr(f"interval {LATENESS}")).cast("string").alias("t")).first()["t"]
+        return F.lit(moment_of).cast("timestamp")
+
     def write_live(self, enriched: DataFrame, batch_id: int) -> None:
         """Newest state per benchmark."""
         key = F.struct("time", "event_id")

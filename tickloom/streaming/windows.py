@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor
 
-from tickloom.operators import asof, candles, returns
+from tickloom.operators import asof, candles
 
 LATENESS = "5 seconds"
 
@@ -24,44 +22,3 @@ def candles_5m(ticks: DataFrame) -> DataFrame:
 def spread_5m(ticks: DataFrame) -> DataFrame:
     """Five-minute spreads of the three majors; one grouped window instead of stream joins."""
     return asof.spread_5m(watermarked(ticks))
-
-
-def with_previous_tick(ticks: DataFrame) -> DataFrame:
-    """Add price and time of the tick before, per benchmark, in arrival order.
-
-    The state is one tick per benchmark. Rows of a micro-batch are put in event order first.
-    """
-
-    class Previous(StatefulProcessor):
-        def init(self, handle):
-            self.last = handle.getValueState("last", "price double, time timestamp")
-
-        def handleInputRows(self, key, rows, timerValues):
-            batch = pd.concat(list(rows)).sort_values(["time", "event_id"])
-            known = self.last.get() if self.last.exists() else (None, None)
-            out = batch[["benchmark", "time", "price"]].copy()
-            out["prev_price"] = out["price"].shift(1)
-            out["prev_time"] = out["time"].shift(1)
-            if known[0] is not None:
-                out.iloc[0, out.columns.get_loc("prev_price")] = known[0]
-                out.iloc[0, out.columns.get_loc("prev_time")] = pd.Timestamp(known[1])
-            self.last.update((float(out["price"].iloc[-1]), out["time"].iloc[-1].to_pydatetime()))
-            yield out
-
-        def close(self):
-            pass
-
-    columns = "benchmark string, time timestamp, price double, prev_price double, prev_time timestamp"
-    narrow = watermarked(ticks).select("benchmark", "time", "event_id", "price")
-    return narrow.groupBy("benchmark").transformWithStateInPandas(
-        Previous(), columns, "Append", "EventTime", eventTimeColumnName="time"
-    )
-
-
-def realized_vol(ticks: DataFrame) -> DataFrame:
-    """Realized volatility of each hour, sliding by five minutes.
-
-    Returns come from the keyed state; five-minute sums and their sliding combination are two
-    window aggregates, so no window keeps its ticks.
-    """
-    return returns.realized_from_panes(returns.pane_statistics(with_previous_tick(ticks)))
