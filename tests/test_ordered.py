@@ -100,6 +100,18 @@ def test_empty_input(spark):
     assert ordered.with_chunk(empty).count() == 0
 
 
+def test_borders_from_a_sample_give_the_same_rows(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "SAMPLE_PER_CHUNK", 4)
+    data = history(3000, 900)
+    chunked = ordered.with_chunk(frame(spark, data), chunks=20)
+    assert chunked.select(CHUNK).distinct().count() >= 15
+    out = ordered.running(chunked, KEY, EVENT_ORDER, sums={"total": F.col("price")})
+    found = {r["event_id"]: r["total"] for r in out.collect()}
+    assert found == {
+        row[0]: total for group in by_key(data).values() for row, total in zip(group, accumulate(r[3] for r in group))
+    }
+
+
 def test_hot_key_is_split(spark):
     """A key with nearly all rows is spread over many groups."""
     data = [(i, START + timedelta(seconds=i), "A" if i % 50 else "B", 1.0) for i in range(1000)]

@@ -82,7 +82,8 @@ def test_compaction_keeps_rows_in_fewer_files(spark, tmp_path):
     for batch in range(4):
         write_batch(ticks.where(F.col("event_id") % 4 == batch), hot, batch)
     as_of = datetime(2024, 1, 20)
-    maintenance.compact(spark, hot, cold, ticks.schema, as_of)
+    maintenance.compact(spark, hot, cold, ticks.schema, as_of - timedelta(days=3))
+    maintenance.compact(spark, hot, cold, ticks.schema, as_of, since=as_of - timedelta(days=3))
     maintenance.compact(spark, hot, cold, ticks.schema, as_of)
     found = read_table(spark, cold, ticks.schema, LAYOUTS["ticks"])
     want = ticks.where(F.col("time") < F.lit("2024-01-13").cast("timestamp_ntz"))

@@ -28,6 +28,8 @@ HALO = "halo"
 EVENT_ORDER = ("time", "event_id")
 ARRIVAL_ORDER = ("arrival_us", "event_id")
 MAX_CHUNKS = 16_384
+MIN_CHUNK_ROWS = 4_096
+SAMPLE_PER_CHUNK = 64
 HISTORY_CHUNK = -1
 
 
@@ -46,11 +48,16 @@ def _position(df: DataFrame, column: str) -> Column:
     return (micros(column) if timed else F.col(column)).cast("double")
 
 
-def _quantiles(df: DataFrame, position: Column, parts: int) -> list[float]:
-    """At most `parts` - 1 borders; one partial aggregate over one column."""
-    steps = [i / parts for i in range(1, parts)]
-    found = df.agg(F.percentile_approx(position, steps, 4 * parts).alias("q")).first()["q"]
-    return list(found or [])
+def _quantiles(df: DataFrame, position: Column, parts: int, rows: int) -> list[float]:
+    """At most `parts` - 1 borders, read off a sample of bounded size that is spread over all tasks.
+
+    The sample only places the borders; every row is then put between them.
+    """
+    points = df.select(position.alias("at"))
+    wanted = parts * SAMPLE_PER_CHUNK
+    if rows > 2 * wanted:
+        points = points.sample(wanted / rows, seed=1)
+    return points.approxQuantile("at", [i / parts for i in range(1, parts)], 0.25 / parts)
 
 
 def chunk_cuts(df: DataFrame, order_by: Sequence[str] = EVENT_ORDER, chunks: int | None = None) -> Cuts:
@@ -60,17 +67,19 @@ def chunk_cuts(df: DataFrame, order_by: Sequence[str] = EVENT_ORDER, chunks: int
     microsecond). Such values get chunks of their own, split further on the second order column.
     The borders only balance the work; any borders give the same result.
     """
+    rows = df.count()
     if chunks is None:
-        chunks = min(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_CHUNKS)
+        most = min(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_CHUNKS)
+        chunks = min(most, rows // MIN_CHUNK_ROWS + 1)
     if chunks < 2:
         return Cuts([], [], [])
     first = _position(df, order_by[0])
-    borders = _quantiles(df, first, chunks)
+    borders = _quantiles(df, first, chunks, rows)
     crowded = sorted({a for a, b in zip(borders, borders[1:]) if a == b})
     second = []
     if crowded and len(order_by) > 1:
         tied = df.where(first.isin(crowded))
-        second = sorted(set(_quantiles(tied, _position(df, order_by[1]), chunks)))
+        second = sorted(set(_quantiles(tied, _position(df, order_by[1]), chunks, rows)))
     cuts = sorted(set(borders) | set(crowded) | {value + 1 for value in crowded})
     return Cuts(cuts, crowded, second)
 

@@ -18,9 +18,16 @@ LIVE_SECONDS, SERIES_SECONDS = 60, 3600
 
 
 def tail(ticks: DataFrame, rows: int = ROLLING_TICKS, order_by: Sequence[str] = EVENT_ORDER) -> DataFrame:
-    """The newest `rows` ticks per benchmark; a top-k that is cut per input partition first."""
-    newest = Window.partitionBy(*KEY).orderBy(*[F.desc(c) for c in order_by])
-    return ticks.withColumn("back", F.row_number().over(newest)).where(F.col("back") <= rows)
+    """The newest `rows` ticks per benchmark.
+
+    Both steps are top-k windows that Spark cuts per input partition; the first one, per day,
+    keeps the rows that reach the second one few however many partitions there are.
+    """
+    newest = [F.desc(c) for c in order_by]
+    day = Window.partitionBy(*KEY, F.to_date("time")).orderBy(*newest)
+    daily = ticks.withColumn("back", F.row_number().over(day)).where(F.col("back") <= rows).drop("back")
+    whole = Window.partitionBy(*KEY).orderBy(*newest)
+    return daily.withColumn("back", F.row_number().over(whole)).where(F.col("back") <= rows)
 
 
 def live_state(ticks: DataFrame, order_by: Sequence[str] = EVENT_ORDER) -> DataFrame:

@@ -46,16 +46,25 @@ def drop_expired(spark: SparkSession, table: str, as_of: datetime, days: int = R
 
 
 def compact(
-    spark: SparkSession, source: str, target: str, schema: StructType, as_of: datetime, layout: Layout = LAYOUTS["ticks"]
+    spark: SparkSession,
+    source: str,
+    target: str,
+    schema: StructType,
+    as_of: datetime,
+    since: datetime | None = None,
+    layout: Layout = LAYOUTS["ticks"],
 ) -> None:
     """Rewrite dates older than seven days from many small batch files into clustered, sorted files.
 
-    Whole target partitions are replaced, so a repeated run gives the same table.
+    Whole target partitions are replaced, so a repeated run gives the same table. `since` is the
+    `as_of` of the run before; only dates that came of age after it are read.
     """
-    cutoff = first_day(as_of - timedelta(days=COMPACT_AFTER_DAYS), layout.days)
+    age = timedelta(days=COMPACT_AFTER_DAYS)
     stored = spark.read.schema(StructType([*schema.fields]).add("date", "date")).parquet(source)
-    old = stored.where(F.col("date") < F.lit(cutoff)).select(*schema.names)
-    write_table(old, target, layout, mode="overwrite")
+    old = stored.where(F.col("date") < F.lit(first_day(as_of - age, layout.days)))
+    if since is not None:
+        old = old.where(F.col("date") >= F.lit(first_day(since - age, layout.days)))
+    write_table(old.select(*schema.names), target, layout, mode="overwrite")
 
 
 def storage_report(spark: SparkSession, path: str) -> DataFrame:

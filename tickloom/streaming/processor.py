@@ -32,7 +32,6 @@ from tickloom.operators.ordered import (
     CHUNK,
     EVENT_ORDER,
     HISTORY_CHUNK,
-    MAX_CHUNKS,
     with_chunk,
     with_sequence,
 )
@@ -53,7 +52,6 @@ CANDLE_TOPIC, ALERT_TOPIC = "candles.1m", "alerts"
 FLUSH = "2 seconds"
 SAMPLE_EVERY = 10
 HISTORY_ALERTS = 100
-CHUNK_ROWS = 250_000  # a quiet batch is one chunk, a large one is split
 
 _TAIL = "benchmark string, time timestamp, event_id bigint, price double"
 _TOTALS = "benchmark string, session_pv double, session_volume double, seen bigint"
@@ -106,6 +104,8 @@ class TickProcessor:
 
     def run_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Enrich the batch once, then write its independent outputs side by side."""
+        # a stream's session plans without AQE; the batch is a plain table and wants it back
+        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         ticks = batch.persist(StorageLevel.MEMORY_AND_DISK)
         enriched = self.enrich(ticks, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -133,7 +133,7 @@ class TickProcessor:
         before = totals.agg(F.coalesce(F.sum("seen"), F.lit(0)).alias("n")).first()["n"]
         history = self._state("tail", batch_id, _TAIL).withColumn(CHUNK, F.lit(HISTORY_CHUNK).cast("long"))
         narrow = ticks.select("event_id", "time", "benchmark", "price", "volume")
-        fresh = with_chunk(narrow, chunks=min(ticks.count() // CHUNK_ROWS + 1, MAX_CHUNKS))
+        fresh = with_chunk(narrow)
         chunked = fresh.unionByName(history, allowMissingColumns=True)
         inputs = alert_inputs_chunked(chunked, EVENT_ORDER).where(F.col(CHUNK) != HISTORY_CHUNK)
         priced = with_session_vwap(inputs, EVENT_ORDER, totals.drop("seen"), summarize=fresh)
@@ -195,7 +195,8 @@ class TickProcessor:
         earlier = self._state("clock", batch_id, _CLOCK)
         clock = earlier.unionByName(enriched.select(F.col("time").alias("newest"))).agg(F.max("newest").alias("newest"))
         self._keep(clock, "clock", batch_id)
-        then, now = self._closed_until(earlier), self._closed_until(self._state("clock", batch_id + 1, _CLOCK))
+        kept = self._state("clock", batch_id + 1, _CLOCK)  # as the next batch will read it
+        then, now = self._closed_until(earlier), self._closed_until(kept)
 
         known = self._state("panes", batch_id, _PANES).unionByName(pane_statistics(enriched))
         sums = [F.sum(c).alias(c) for c in ("ticks", "n", "s", "ss")]
