@@ -85,9 +85,8 @@ def chunk_cuts(df: DataFrame, order_by: Sequence[str] = EVENT_ORDER, chunks: int
 
 
 def _bucketed(df: DataFrame, source: str, borders: list[float], name: str) -> DataFrame:
-    if not borders:
-        return df.withColumn(name, F.lit(0.0))
-    splits = [float("-inf"), *borders, float("inf")]
+    # one border at least: a constant chunk would be folded away, and the joins on it with it
+    splits = [float("-inf"), *(borders or [0.0]), float("inf")]
     return Bucketizer(splits=splits, inputCol=source, outputCol=name).transform(df)
 
 
