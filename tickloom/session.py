@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +39,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Set what the operators rely on in a session that was built elsewhere."""
     for key in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass"):
         spark.conf.set(key, SETTINGS[key])
+    # Python workers on this machine find the package where the driver did; on a cluster it is installed or sent
+    here = str(Path(__file__).resolve().parents[1])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
+    if here not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = ":".join(filter(None, [here, *paths]))
     return spark
 
 
