@@ -40,8 +40,8 @@ _STATISTIC = "CASE rule {} END".format(
 ORACLES["op7_risk_rules"] = f"""
 WITH cut AS (
     SELECT doc_id, lang, coalesce(text, '') AS text,
-           list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS words,
-           list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+           list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
     FROM documents
 ), windows AS (
     SELECT doc_id, w, list_slice(words, w, w + 4) AS five
