@@ -5,11 +5,12 @@ spacers between its letters, or with letters repeated. Chunks of a text that sho
 lattice of possible letters; the Viterbi path under a character trigram model of the corpus and
 the channel's costs is the restored spelling. All other chunks have one path, themselves.
 
-The restored words, and their beginnings of four to six letters, are hashed to features; their
-document counts in toxic and clean labelled texts choose those that speak for toxicity, and a text's
-score is the chance that at least one of its features means it.
+The restored words, and their beginnings of four to six letters, are hashed to features. Document
+counts in toxic and clean labelled texts choose those that speak for toxicity and weigh them by their
+log-likelihood ratio. A logistic curve over a text's sum of weights and its number of features, fitted
+to a quarter of the labelled texts that the weights do not see, turns them into a score.
 
-Cases: a null text is the empty text and scores PRIOR, as does any text without evidence; a label
+Cases: a null text is the empty text and scores PRIOR, as does any text without a weighed feature; a label
 that occurs several times for a doc_id counts as toxic if one of them does; null labels are ignored;
 without toxic labels nothing is evidence; repeated rows score alike; an empty table gives an empty
 result.
@@ -21,6 +22,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -37,6 +39,8 @@ BUCKETS = 1 << 20
 PRIOR = 0.01
 #: Labelled documents that the features are chosen from, about; all if there are fewer.
 TAUGHT = 40_000
+#: A feature has to be in so many toxic texts, and so many standard deviations above its share of all.
+LEAST_TEXTS, LEAST_DEVIATION = 5, 5.0
 #: Words whose features a worker process keeps.
 KEPT_WORDS = 150_000
 
@@ -168,86 +172,133 @@ def _features(word: str) -> list[int]:
 
 
 class Reader:
-    """Features of texts; those of frequent chunks are kept."""
+    """Features of texts. Frequent chunks are kept with their number of features and the wanted ones."""
 
-    def __init__(self, model: np.ndarray, wanted: set[int] | None = None):
-        self.model, self.wanted, self.known = model, wanted, {}
+    def __init__(self, model: np.ndarray, weights: dict[int, float] | None = None):
+        """Without `weights` every feature is wanted."""
+        self.model, self.weights, self.known = model, weights, {}
 
-    def chunk(self, chunk: str) -> tuple[int, ...]:
+    def chunk(self, chunk: str) -> tuple[int, tuple[int, ...]]:
         core = chunk.strip(_EDGES)
         words = restore_chunk(core, self.model).split() if suspicious(core) else [core]
-        found = {f for w in words if w for f in _features(w)}
-        found = tuple(found if self.wanted is None else found & self.wanted)
+        parts = {f for w in words if w for f in _features(w)}
+        found = len(parts), tuple(parts if self.weights is None else parts & self.weights.keys())
         if len(self.known) < KEPT_WORDS:
             self.known[chunk] = found
         return found
 
-    def features(self, text: str) -> set[int]:
+    def features(self, text: str) -> tuple[list[int], int]:
+        """(distinct wanted features, number of features of the distinct chunks)."""
         text = text.lower()
         chunks = set(text.split())
         if _MAY_BE_SPACED.search(text):
             chunks.update(w for m in _SPACED.finditer(text) for w in restore_chunk(m[0], self.model).split())
-        known, out = self.known, set()
+        known, out, size = self.known.get, set(), 0
         for c in chunks:
-            found = known.get(c)
-            out.update(self.chunk(c) if found is None else found)
-        return out
+            count, found = known(c) or self.chunk(c)
+            size += count
+            if found:
+                out.update(found)
+        return sorted(out), size
 
+    def weighed(self, text: str) -> tuple[float, int]:
+        found, size = self.features(text)
+        return math.fsum(self.weights[f] for f in found), size
 
-def evidence(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> dict[int, float]:
-    """feature -> chance that a text with it is toxic, for the features that speak for toxicity.
 
-    `labels`: doc_id, toxic. About TAUGHT of them, chosen by a hash, are matched with the texts by a
-    broadcast of their ids; so many ids have 0.6 MB.
+@dataclass
+class Evidence:
+    """Weights of the features that speak for toxicity, and the curve over (1, sum, log sum, log size)."""
+
+    weights: dict[int, float]
+    curve: tuple[float, ...] = (-4.6, 10.0, 0.0, 0.0)
+
+    def score(self, weight: float, size: int) -> float:
+        if not weight:
+            return PRIOR
+        z = sum(b * x for b, x in zip(self.curve, _position(weight, size)))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+def _position(weight: float, size: int) -> tuple[float, ...]:
+    return 1.0, weight / 10, math.log1p(weight), math.log1p(size)
+
+
+def taught_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """text, toxic, part of about TAUGHT labelled documents, chosen by a hash; part 0 is for the curve.
+
+    The ids are broadcast to the texts: so many have 0.6 MB.
     """
-    schema = pa.schema([("feature", pa.int32()), ("toxic", pa.int64()), ("clean", pa.int64())])
     given = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     given = given.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     share = min(1.0, TAUGHT / max(1, given.count()))
     given = given.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    taught = docs.select("doc_id", "text").join(F.broadcast(given), "doc_id").select("text", "toxic")
+    given = given.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4)).cast("int"))
+    return docs.select("doc_id", "text").join(F.broadcast(given), "doc_id").select("text", "toxic", "part")
+
+
+def feature_weights(taught: DataFrame, model: np.ndarray) -> dict[int, float]:
+    """feature -> log-likelihood ratio, for features that are clearly more frequent in toxic texts."""
+    schema = pa.schema([("feature", pa.int32()), ("toxic", pa.int64()), ("clean", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, total, any_rows = Reader(model), np.zeros((2, BUCKETS), np.int64), np.zeros(2, np.int64)
+        reader, total, texts_of = Reader(model), np.zeros((2, BUCKETS), np.int64), np.zeros(2, np.int64)
         for columns, texts in groups(batches):
             for text, toxic in zip(texts, columns["toxic"]):
-                total[toxic, np.fromiter(reader.features(text), np.int64)] += 1
-                any_rows[toxic] += 1
+                total[toxic, reader.features(text)[0]] += 1
+                texts_of[toxic] += 1
         used = np.flatnonzero(total.any(axis=0))
-        yield rows(schema, np.append(used, -1), np.append(total[1, used], any_rows[1]), np.append(total[0, used], any_rows[0]))
+        # feature -1 counts the texts
+        yield rows(schema, np.append(used, -1), *(np.append(total[k, used], texts_of[k]) for k in (1, 0)))
 
-    counted = taught.mapInArrow(count, "feature int, toxic long, clean long")
+    counted = taught.where("part > 0").select("text", "toxic").mapInArrow(count, "feature int, toxic long, clean long")
     summed = counted.groupBy("feature").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
-    found = summed.where("feature = -1 or t >= 5").collect()
-    rows_of = next(((r["t"], r["c"]) for r in found if r["feature"] == -1), (0, 0))
-    toxic, clean = rows_of
-    chances = {}
+    found = summed.where(f"feature = -1 or t >= {LEAST_TEXTS}").collect()
+    toxic, clean = next(((r["t"], r["c"]) for r in found if r["feature"] == -1), (0, 0))
+    weights = {}
     for r in found:
         t, c = r["t"], r["c"]
-        if r["feature"] == -1 or t < 0.004 * toxic:
+        if r["feature"] == -1 or not toxic:
             continue
-        lift = (t / toxic) / ((c + 0.5) / (clean + 1))
-        everywhere = (t + c) / (toxic + clean)
-        deviation = (t / toxic - everywhere) / math.sqrt(everywhere * (1 - everywhere) / toxic + 1e-12)
-        if lift >= 10 and deviation >= 5:
-            chances[r["feature"]] = t / (t + c + 0.5)
-    return chances
+        overall = (t + c) / (toxic + clean)
+        deviation = (t / toxic - overall) / math.sqrt(overall * (1 - overall) / toxic + 1e-12)
+        if deviation >= LEAST_DEVIATION:
+            weights[r["feature"]] = max(0.0, math.log(t / (toxic + 1)) - math.log((c + 0.5) / (clean + 1)))
+    return weights
+
 
+def evidence(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> Evidence:
+    """Weights and curve, learned from `labels` (doc_id, toxic) and their texts."""
+    taught = taught_texts(docs, labels)
+    found = Evidence(feature_weights(taught, model))
+    schema = pa.schema([("weight", pa.float64()), ("size", pa.int64()), ("toxic", pa.int32())])
 
-def scorer(model: np.ndarray, chances: dict[int, float]):
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(model, found.weights)
+        for columns, texts in groups(batches):
+            yield rows(schema, *zip(*(reader.weighed(t) for t in texts)), columns["toxic"])
+
+    held = taught.where("part = 0").select("text", "toxic").mapInArrow(weigh, "weight double, size long, toxic int")
+    points = held.where("weight > 0").toPandas()  # a quarter of TAUGHT at most
+    if points["toxic"].nunique() == 2:
+        x = np.array([_position(w, n) for w, n in zip(points["weight"], points["size"])])
+        curve, y = np.zeros(x.shape[1]), points["toxic"].to_numpy()
+        for _ in range(50):  # Newton steps with a slight pull to zero
+            p = 1 / (1 + np.exp(-np.clip(x @ curve, -30, 30)))
+            slope = x.T @ (x * (p * (1 - p))[:, None]) + 0.01 * np.eye(len(curve))
+            curve = curve + np.linalg.solve(slope, x.T @ (y - p) - 0.01 * curve)
+        found.curve = tuple(curve.tolist())
+    return found
+
+
+def scorer(model: np.ndarray, found: Evidence):
     """Column function: text -> score."""
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        reader = Reader(model, set(chances))
+        reader = Reader(model, found.weights)
         for texts in batches:
-            out = []
-            for text in texts:
-                clean = 1 - PRIOR
-                for f in reader.features(text or ""):
-                    clean *= 1 - chances[f]
-                out.append(1 - clean)
-            yield pd.Series(out, dtype="float64")
+            yield pd.Series([found.score(*reader.weighed(t or "")) for t in texts], dtype="float64")
 
     return score
 
