@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.texts import free_name, saved, text_key
 
-LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßéèêçàñíóáúîïâ"
-GROUPS = {"symbols": r"[#*$%&|<>!@=_{}~^+]", "digits": r"[0-9]", "capitals": r"[A-ZÀ-Þ]"}
-OTHERS = r"[^A-Za-zÀ-ÿ0-9#*$%&|<>!@=_{}~^+]"
+#: Letters whose shares tell the languages apart, in either case, and two groups of other characters.
+LETTERS = "aehnostwzqcjéèêñóäöüß"
+GROUPS = {"symbols": r"[#*$%&|<>!]", "capitals": r"[A-ZÀ-Þ]"}
 NAMES = [f"c{i}" for i in range(len(LETTERS))] + list(GROUPS) + ["others"]
 WORD = r"[^\x20\x09-\x0D]+"
 #: How many characters' worth of evidence a text of n characters has: EVIDENCE * sqrt(n).
@@ -38,19 +38,24 @@ EVIDENCE = 3.0
 STEPS, PRECISION = 30, 1e-3
 
 
-def counts() -> list[Column]:
-    """Character counts of `text`; letters in either case."""
-    text = F.coalesce("text", F.lit(""))
-    lower = F.lower(text)
-    found = [(F.length(lower) - F.length(F.replace(lower, F.lit(c), F.lit("")))).alias(f"c{i}") for i, c in enumerate(LETTERS)]
-    found += [F.regexp_count(text, F.lit(p)).alias(name) for name, p in GROUPS.items()]
-    return found + [F.regexp_count(text, F.lit(OTHERS)).alias("others")]
-
-
 def measured(docs: DataFrame, *columns) -> DataFrame:
-    """`columns`, text_key, tokens (words) and the character counts of each row."""
-    tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("double").alias("tokens")
-    return docs.select(*columns, text_key(F.col("text")).alias("text_key"), tokens, *counts())
+    """`columns`, text_key, tokens (words) and the character counts of each row.
+
+    A text is lower-cased once, in a projection of its own.
+    """
+    text = F.coalesce("text", F.lit(""))
+    held = docs.select(*columns, text.alias("text"), F.lower(text).alias("lower"), text_key(F.col("text")).alias("text_key"))
+    found = [F.length("lower") - F.length(F.replace("lower", F.lit(c), F.lit(""))) for c in LETTERS]
+    found += [F.regexp_count("text", F.lit(p)) for p in GROUPS.values()]
+    counted = held.select(
+        *columns,
+        "text_key",
+        F.regexp_count("text", F.lit(WORD)).cast("double").alias("tokens"),
+        *[c.alias(n) for c, n in zip(found, NAMES)],
+        F.length("text").alias("n_chars"),
+    )
+    rest = F.greatest(F.col("n_chars") - _sum([F.col(n) for n in NAMES[:-1]]), F.lit(0))
+    return counted.withColumn("others", rest).drop("n_chars")
 
 
 @dataclass
