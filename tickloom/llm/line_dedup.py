@@ -47,7 +47,9 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, separator: str = "\n")
     """doc_id, text_key, units: the numbers of the units to remove, one row per document that has any."""
     found = saved(units(docs, min_words, separator), "units")
     first = found.groupBy("digest").agg(F.min("rank").alias("first"), F.count("*").alias("times"))
-    later = found.join(first.where("times > 1").drop("times"), "digest").where("rank > first")
+    # written, so that the join reads it through a shuffle of its own and a frequent digest can be split
+    first = saved(first.where("times > 1").drop("times"), "repeated-units")
+    later = found.join(first, "digest").where("rank > first")
     # a document's own units: as many as its text has lines
     return later.groupBy("doc_id", "text_key").agg(F.collect_set("unit").alias("units"))
 
