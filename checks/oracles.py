@@ -43,31 +43,33 @@ stg AS (
     CAST(date_trunc('hour', time) AS TIMESTAMP) AS hour_bucket, CAST(date_trunc('day', time) AS TIMESTAMP) AS day_bucket
   FROM ticks WHERE time >= TIMESTAMP '2024-01-31' - INTERVAL 30 DAY)"""
 
-STATS = """
-stats AS (
-  SELECT day_bucket, benchmark, region, event_id, tick_time,
-    first_value(price) OVER w AS open_price, max(price) OVER w AS high_price, min(price) OVER w AS low_price,
-    last_value(price) OVER w AS close_price, sum(volume) OVER w AS total_volume,
-    sum(price * volume) OVER w / nullif(sum(volume) OVER w, 0) AS vwap,
-    stddev_samp(price) OVER w AS price_volatility, count(*) OVER w AS tick_count, avg(spread) OVER w AS avg_spread
-  FROM stg WINDOW w AS (PARTITION BY day_bucket, benchmark ORDER BY tick_time, event_id
-    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"""
+# Per day and benchmark: plain aggregates; opening and closing prices by their smallest and largest position.
+DAYS = """
+days AS (
+  SELECT day_bucket, benchmark, any_value(region) AS region, arg_min(price, (tick_time, event_id)) AS open_price,
+    max(price) AS high_price, min(price) AS low_price, arg_max(price, (tick_time, event_id)) AS close_price,
+    sum(volume) AS total_volume, sum(price * volume) / nullif(sum(volume), 0) AS vwap,
+    stddev_samp(price) AS price_volatility, count(*) AS tick_count, avg(spread) AS avg_spread
+  FROM stg GROUP BY ALL)"""
+
+STATS = f"""{DAYS},
+stats AS (SELECT stg.event_id, stg.tick_time, days.* FROM stg JOIN days USING (day_bucket, benchmark))"""
 
 
 def _daily() -> str:
+    regimes = "CASE WHEN abs(pct) > 3 THEN 'HIGH' WHEN abs(pct) > 1.5 THEN 'MEDIUM' ELSE 'NORMAL' END"
     return f"""{STG}, {STATS},
-days AS (SELECT DISTINCT ON (day_bucket, benchmark) * FROM stats ORDER BY day_bucket DESC, benchmark),
-changed AS (
-  SELECT *, close_price - lag(close_price) OVER b AS change,
-    (close_price - lag(close_price) OVER b) / nullif(lag(close_price) OVER b, 0) * 100 AS pct
-  FROM days WINDOW b AS (PARTITION BY benchmark ORDER BY day_bucket)),
+day_moves AS (
+  SELECT d.*, d.close_price - p.close_price AS moved, (d.close_price / nullif(p.close_price, 0) - 1) * 100 AS pct
+  FROM days d LEFT JOIN days p ON p.benchmark = d.benchmark AND p.day_bucket =
+    (SELECT max(e.day_bucket) FROM days e WHERE e.benchmark = d.benchmark AND e.day_bucket < d.day_bucket)),
 daily AS (
-  SELECT day_bucket, benchmark, region, {r("open_price", 3)} AS open, {r("high_price", 3)} AS high,
-    {r("low_price", 3)} AS low, {r("close_price", 3)} AS close, {r("vwap", 3)} AS vwap,
-    {r("total_volume", 0)} AS total_volume, {r("price_volatility", 4)} AS daily_volatility,
-    {r("avg_spread", 4)} AS avg_spread, {r("change", 3)} AS price_change, {r("pct", 4)} AS pct_change, tick_count,
-    CASE WHEN abs(pct) > 3 THEN 'HIGH' WHEN abs(pct) > 1.5 THEN 'MEDIUM' ELSE 'NORMAL' END AS volatility_regime
-  FROM changed)"""
+  SELECT benchmark, day_bucket, region, tick_count, {regimes} AS volatility_regime,
+    {r("open_price", 3)} AS open, {r("close_price", 3)} AS close, {r("high_price", 3)} AS high,
+    {r("low_price", 3)} AS low, {r("moved", 3)} AS price_change, {r("pct", 4)} AS pct_change,
+    {r("vwap", 3)} AS vwap, {r("total_volume", 0)} AS total_volume, {r("avg_spread", 4)} AS avg_spread,
+    {r("price_volatility", 4)} AS daily_volatility
+  FROM day_moves)"""
 
 
 HOURS = """
@@ -77,20 +79,22 @@ hours AS (
 
 
 def _spread(where: str = "true") -> str:
+    side = lambda b: f"(SELECT hour_bucket, avg_price AS {b.lower()} FROM hours WHERE benchmark = '{b}')"
+    gap = "abs(wti - brent)"
     return f"""{STG}, chosen AS (SELECT * FROM stg WHERE {where}), {HOURS.format(source="chosen")},
-pivoted AS (
-  SELECT hour_bucket, max(CASE WHEN benchmark = 'WTI' THEN avg_price END) AS wti,
-    max(CASE WHEN benchmark = 'BRENT' THEN avg_price END) AS brent,
-    max(CASE WHEN benchmark = 'DUBAI' THEN avg_price END) AS dubai
-  FROM hours GROUP BY hour_bucket HAVING count(DISTINCT benchmark) = 3),
+full_hours AS (SELECT hour_bucket FROM chosen GROUP BY 1 HAVING count(DISTINCT benchmark) = 3),
+aligned AS (
+  SELECT * FROM full_hours LEFT JOIN {side("WTI")} USING (hour_bucket) LEFT JOIN {side("BRENT")} USING (hour_bucket)
+    LEFT JOIN {side("DUBAI")} USING (hour_bucket)),
+numbered AS (SELECT *, row_number() OVER (ORDER BY hour_bucket) AS n FROM aligned),
+averaged AS (
+  SELECT a.n, avg(b.wti - b.brent) AS moving FROM numbered a JOIN numbered b ON b.n BETWEEN a.n - 167 AND a.n GROUP BY a.n),
 spread AS (
-  SELECT hour_bucket, {r("wti", 3)} AS wti_price, {r("brent", 3)} AS brent_price, {r("dubai", 3)} AS dubai_price,
-    {r("wti - brent", 3)} AS wti_brent_spread, {r("brent - dubai", 3)} AS brent_dubai_spread,
-    {r("wti - dubai", 3)} AS wti_dubai_spread,
-    CASE WHEN abs(wti - brent) > 5 THEN 'WIDE' WHEN abs(wti - brent) > 3 THEN 'MODERATE' ELSE 'NORMAL' END
-      AS spread_regime,
-    avg(wti - brent) OVER (ORDER BY hour_bucket ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) AS moving
-  FROM pivoted)"""
+  SELECT hour_bucket, moving, if({gap} > 5, 'WIDE', if({gap} > 3, 'MODERATE', 'NORMAL')) AS spread_regime,
+    {r("wti - dubai", 3)} AS wti_dubai_spread, {r("brent - dubai", 3)} AS brent_dubai_spread,
+    {r("wti - brent", 3)} AS wti_brent_spread, {r("dubai", 3)} AS dubai_price, {r("brent", 3)} AS brent_price,
+    {r("wti", 3)} AS wti_price
+  FROM numbered JOIN averaged USING (n))"""
 
 
 _MAJORS = "benchmark IN ('WTI', 'BRENT', 'DUBAI')"
@@ -145,7 +149,7 @@ vol_{source} AS (
 
 def _alerts(source: str) -> str:
     return f"""{_vol(source)},
-moves AS (
+day_moves AS (
   SELECT event_id, 0 AS rank, time, benchmark, CASE WHEN price > prev_price THEN 'SPIKE' ELSE 'DROP' END AS alert_type,
     price, price - prev_price AS delta, pct AS delta_pct,
     CASE WHEN abs(pct) > 2 THEN 'CRITICAL' WHEN abs(pct) > 1 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
@@ -381,8 +385,6 @@ WHERE bucket > TIMESTAMP '2024-01-31' - INTERVAL 6 HOUR""",
 SELECT {_bucket("1 minute")} AS minute, benchmark, {r("avg(price)")} AS avg_price, sum(volume) AS total_volume
 FROM dense WHERE time > TIMESTAMP '2024-01-01 12:00:00' - INTERVAL 12 HOUR GROUP BY 1, 2""",
     "tick_count": f"WITH {TICKS} SELECT count(*) AS count FROM ticks",
-    "row_capped": f"""WITH {TICKS}
-SELECT event_id, time, benchmark, price FROM ticks ORDER BY time DESC, event_id DESC LIMIT 100000""",
     "dq_not_null": f"""WITH {_daily()}, chosen AS (SELECT * FROM stg), {HOURS.format(source="chosen")},
 pivoted AS (SELECT hour_bucket FROM hours GROUP BY hour_bucket HAVING count(DISTINCT benchmark) = 3),
 {_candles()}, {_alerts("ticks")}

@@ -358,12 +358,6 @@ def tick_count(spark, sf_dir):
     return dashboard.tick_count(replay.ticks(spark, sf_dir))
 
 
-@query
-def row_capped(spark, sf_dir):
-    shown = replay.ticks(spark, sf_dir).select("event_id", "time", "benchmark", "price")
-    return dashboard.row_capped(shown, [F.desc("time"), F.desc("event_id")])
-
-
 # data quality
 
 

@@ -109,13 +109,14 @@ def test_a_repeated_batch_replaces_its_output(spark, ticks, processed):
     assert {n: spark.read.parquet(f"{processed}/{n}").count() for n in before} == before
 
 
-def test_late_tick_folds_into_the_open_candle(spark, make_ticks, tmp_path):
-    """The second batch starts with a tick from before the open candle."""
+@pytest.mark.parametrize("borders", [[2], [], [1, 2, 3], [3]])
+def test_late_tick_folds_into_the_open_candle(spark, make_ticks, tmp_path, borders):
+    """A tick from before the open candle, wherever the batches end."""
     run = processor.TickProcessor(spark, str(tmp_path))
     rows = make_ticks([(5, "WTI", 80), (65, "WTI", 81), (30, "WTI", 90), (130, "WTI", 82)])
     full = rows.selectExpr("*", "1D bid", "2D ask", "'s' source").withColumn("time", F.col("time").cast("timestamp"))
-    run.run_batch(full.where("event_id < 2"), 0)
-    run.run_batch(full.where("event_id >= 2"), 1)
+    for batch, (low, high) in enumerate(zip([0, *borders], [*borders, 4])):
+        run.run_batch(full.where(f"event_id >= {low} and event_id < {high}"), batch)
     found = spark.read.parquet(f"{tmp_path}/candles_1m").orderBy("time").collect()
     assert [(r["open"], r["high"], r["close"], r["tick_count"]) for r in found] == [(80.0, 80.0, 80.0, 1), (81.0, 90.0, 90.0, 2)]
 

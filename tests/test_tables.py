@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL, START
 from tickloom.operators import alerts, asof, candles, returns, rollups
 from tickloom.plans import live, maintenance, staging
-from tickloom.session import broadcast_if_small
 from tickloom.sources import decode, replay
 from tickloom.sources.tables import LAYOUTS, read_table, write_batch, write_table
 
@@ -58,12 +57,6 @@ def test_rollups_aggregate_before_the_shuffle(spark):
     assert text.count("partial_max_by") == 1 and text.count("Exchange") == 1
 
 
-def test_broadcast_only_after_a_count(spark):
-    rows = spark.range(100)
-    assert "rightHint=(strategy=broadcast)" in spark.range(5).join(broadcast_if_small(rows), "id")._jdf.queryExecution().toString()
-    assert "strategy=broadcast" not in spark.range(5).join(broadcast_if_small(rows, 10), "id")._jdf.queryExecution().toString()
-
-
 def test_overwrite_replaces_only_its_partitions(spark, tmp_path):
     ticks = replay.ticks(spark, SMALL)
     write_table(ticks, str(tmp_path), LAYOUTS["candles_1m"], "overwrite")
@@ -83,8 +76,7 @@ def test_compaction_keeps_rows_in_fewer_files(spark, tmp_path):
         write_batch(ticks.where(F.col("event_id") % 4 == batch), hot, batch)
     as_of = datetime(2024, 1, 20)
     maintenance.compact(spark, hot, cold, ticks.schema, as_of - timedelta(days=3))
-    maintenance.compact(spark, hot, cold, ticks.schema, as_of, since=as_of - timedelta(days=3))
-    maintenance.compact(spark, hot, cold, ticks.schema, as_of)
+    maintenance.compact(spark, hot, cold, ticks.schema, as_of, since=as_of - timedelta(days=3), after_batch=3)
     found = read_table(spark, cold, ticks.schema, LAYOUTS["ticks"])
     want = ticks.where(F.col("time") < F.lit("2024-01-13").cast("timestamp_ntz"))
     assert found.exceptAll(want).count() == 0 and want.exceptAll(found).count() == 0
@@ -92,6 +84,47 @@ def test_compaction_keeps_rows_in_fewer_files(spark, tmp_path):
     assert report.where("files_after < files_before").count() == report.count() == 12
 
 
+def test_compaction_takes_late_rows_along(spark, tmp_path):
+    ticks = replay.ticks(spark, SMALL)
+    hot, cold = f"{tmp_path}/hot", f"{tmp_path}/cold"
+    as_of = datetime(2024, 1, 20)
+    write_batch(ticks.where("event_id % 4 > 0"), hot, 0)
+    maintenance.compact(spark, hot, cold, ticks.schema, as_of)
+    write_batch(ticks.where("event_id % 4 = 0"), hot, 1)
+    maintenance.compact(spark, hot, cold, ticks.schema, as_of, since=as_of, after_batch=0)
+    found = maintenance.read_hot_and_cold(spark, hot, cold, ticks.schema, as_of)
+    assert found.exceptAll(ticks).count() == 0 and ticks.exceptAll(found).count() == 0
+
+
+def test_retention_keeps_weeks_that_reach_into_the_retained_days(spark, tmp_path):
+    ticks = replay.ticks(spark, SMALL)
+    write_table(ticks, f"{tmp_path}/w", LAYOUTS["candles_1m"], "overwrite")
+    spark.sql("DROP TABLE IF EXISTS weekly")
+    spark.sql(f"CREATE TABLE weekly USING parquet LOCATION '{tmp_path}/w'")
+    spark.sql("MSCK REPAIR TABLE weekly")
+    as_of = datetime(2024, 2, 12)
+    dropped = maintenance.drop_expired(spark, "weekly", as_of, layout=LAYOUTS["candles_1m"])
+    assert dropped == ["2023-12-28", "2024-01-04"]
+    kept = maintenance.retained_ticks(ticks, as_of)
+    assert kept.select("event_id").exceptAll(spark.table("weekly").select("event_id")).count() == 0
+    spark.sql("DROP TABLE weekly")
+
+
+def test_backfill_replaces_whole_tables(spark, tmp_path):
+    ticks = replay.ticks(spark, SMALL)
+    maintenance.backfill(ticks, str(tmp_path))
+    few = ticks.where(F.col("time") < F.lit("2024-01-10").cast("timestamp_ntz"))
+    maintenance.backfill(few, str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/ticks").count() == few.count()
+
+
+def test_first_refresh_builds_the_rollup(spark, make_ticks, tmp_path):
+    ticks = make_ticks([(10, "WTI", 80), (3700, "WTI", 81), (7300, "WTI", 82), (10900, "WTI", 83)])
+    rollups.refresh_rollup(ticks, f"{tmp_path}/new", START + timedelta(hours=3, minutes=30))
+    found = spark.read.parquet(f"{tmp_path}/new").orderBy("bucket").collect()
+    assert [r["open"] for r in found] == [81.0, 82.0]
+
+
 def test_retention_drops_whole_days(spark, tmp_path):
     ticks = replay.ticks(spark, SMALL).withColumn("date", F.to_date("time"))
     ticks.write.partitionBy("date").option("path", f"{tmp_path}/t").mode("overwrite").saveAsTable("retained")

@@ -27,7 +27,7 @@ CHUNK = "chunk"
 HALO = "halo"
 EVENT_ORDER = ("time", "event_id")
 ARRIVAL_ORDER = ("arrival_us", "event_id")
-MAX_CHUNKS = 16_384
+CHUNK_ROWS = 250_000
 MIN_CHUNK_ROWS = 4_096
 SAMPLE_PER_CHUNK = 64
 HISTORY_CHUNK = -1
@@ -69,8 +69,9 @@ def chunk_cuts(df: DataFrame, order_by: Sequence[str] = EVENT_ORDER, chunks: int
     """
     rows = df.count()
     if chunks is None:
-        most = min(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_CHUNKS)
-        chunks = min(most, rows // MIN_CHUNK_ROWS + 1)
+        # chunks hold CHUNK_ROWS at most, however many rows there are; fewer if that keeps all tasks busy
+        spread = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        chunks = max(rows // CHUNK_ROWS, min(spread, rows // MIN_CHUNK_ROWS)) + 1
     if chunks < 2:
         return Cuts([], [], [])
     first = _position(df, order_by[0])
@@ -194,7 +195,7 @@ def with_sequence(
 ) -> DataFrame:
     """Number all rows of a chunked frame from 0 along the order, across keys."""
     before = Window.partitionBy().orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per chunk, at most MAX_CHUNKS
+    # one row per chunk
     counted = df if summarize is None else summarize
     carry = counted.groupBy(CHUNK).agg(F.count("*").alias("_n")).select(CHUNK, F.sum("_n").over(before).alias("_before"))
     numbered = df.join(carry.hint("shuffle_hash"), CHUNK)

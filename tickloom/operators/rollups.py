@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -72,7 +73,13 @@ def refresh_rollup(
     if low >= high:
         return
     fresh = rollup(ticks.where((F.col("time") >= moment(ticks, "time", low)) & (F.col("time") < moment(ticks, "time", high))))
-    stored = read_rollup(ticks.sparkSession, path, fresh.schema)
+    try:
+        stored = read_rollup(ticks.sparkSession, path, fresh.schema)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        write_rollup(fresh, path)  # the first refresh builds the table
+        return
     touched = F.col("date").between(F.lit(low.date()), F.lit((high - timedelta(microseconds=1)).date()))
     outside = (F.col("bucket") < moment(stored, "bucket", low)) | (F.col("bucket") >= moment(stored, "bucket", high))
     write_rollup(stored.where(touched & outside).drop("date").unionByName(fresh), path)

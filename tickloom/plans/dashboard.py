@@ -11,8 +11,6 @@ from tickloom.functions.columns import moment, order_key, rounded
 from tickloom.operators.ordered import EVENT_ORDER
 from tickloom.plans.staging import between
 
-ROW_CAP = 100_000
-
 
 def latest_price(ticks: DataFrame, benchmark: str) -> DataFrame:
     """Newest price of one benchmark; one row, by a mergeable aggregate behind a pushed filter."""
@@ -73,8 +71,3 @@ def minute_summary(ticks: DataFrame, as_of: datetime, hours: int = 1) -> DataFra
 
 def tick_count(ticks: DataFrame) -> DataFrame:
     return ticks.agg(F.count("*").alias("count"))
-
-
-def row_capped(df: DataFrame, order_by, cap: int = ROW_CAP) -> DataFrame:
-    """The row limit of an ad-hoc query: a report keeps at most `cap` rows of its order."""
-    return df.orderBy(*order_by).limit(cap)

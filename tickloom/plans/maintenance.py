@@ -34,12 +34,19 @@ def retained_ticks(ticks: DataFrame, as_of: datetime, days: int = RETAINED_DAYS)
     return ticks.where(F.col("time") >= moment(ticks, "time", as_of - timedelta(days=days)))
 
 
-def drop_expired(spark: SparkSession, table: str, as_of: datetime, days: int = RETAINED_DAYS) -> list[str]:
-    """Drop the date partitions of a catalog table that lie wholly before the retained days."""
-    cutoff = (as_of - timedelta(days=days)).date().isoformat()
-    partitions = [row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]  # one name per date
-    dates = sorted({part.split("/")[0].split("=")[1] for part in partitions})
-    expired = [d for d in dates if d < cutoff]
+def drop_expired(
+    spark: SparkSession, table: str, as_of: datetime, days: int = RETAINED_DAYS, layout: Layout = Layout(1)
+) -> list[str]:
+    """Drop the date partitions of a catalog table that lie wholly before the retained days.
+
+    A partition of `layout` is named by its first day and holds `layout.days` days; it goes when its
+    last day has passed.
+    """
+    cutoff = (as_of - timedelta(days=days)).date()
+    names = spark.sql(f"SHOW PARTITIONS {table}")  # one name per partition
+    named = names.select(F.regexp_extract("partition", r"(?:^|/)date=([0-9-]+)", 1).alias("date")).distinct()
+    last = F.date_add(F.to_date("date"), layout.days - 1)
+    expired = [row["date"] for row in named.where(last < F.lit(cutoff)).orderBy("date").collect()]
     for day in expired:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (date = '{day}')")
     return expired
@@ -52,21 +59,43 @@ def compact(
     schema: StructType,
     as_of: datetime,
     since: datetime | None = None,
+    after_batch: int | None = None,
     layout: Layout = LAYOUTS["ticks"],
 ) -> None:
     """Rewrite dates older than seven days from many small batch files into clustered, sorted files.
 
-    Whole target partitions are replaced, so a repeated run gives the same table. `since` is the
-    `as_of` of the run before; only dates that came of age after it are read.
+    Whole target partitions are replaced, so a repeated run gives the same table. A run after an
+    earlier one may pass that run's `as_of` as `since` and its last batch as `after_batch`: then only
+    the dates are rewritten that came of age since, or that a later batch has late rows for.
     """
-    age = timedelta(days=COMPACT_AFTER_DAYS)
-    stored = spark.read.schema(StructType([*schema.fields]).add("date", "date")).parquet(source)
-    old = stored.where(F.col("date") < F.lit(first_day(as_of - age, layout.days)))
-    if since is not None:
-        old = old.where(F.col("date") >= F.lit(first_day(since - age, layout.days)))
+    stored = _hot(spark, source, schema)
+    old = stored.where(F.col("date") < F.lit(_cold_until(as_of, layout)))
+    if since is not None and after_batch is not None:
+        late = old.where(F.col("batch_id") > after_batch).select("date").distinct()
+        aged = old.where(F.col("date") >= F.lit(_cold_until(since, layout))).select("date").distinct()
+        old = old.join(late.unionByName(aged).distinct(), "date", "left_semi")
     write_table(old.select(*schema.names), target, layout, mode="overwrite")
 
 
+def _hot(spark: SparkSession, source: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(StructType([*schema.fields]).add("date", "date").add("batch_id", "long")).parquet(source)
+
+
+def _cold_until(as_of: datetime, layout: Layout):
+    return first_day(as_of - timedelta(days=COMPACT_AFTER_DAYS), layout.days)
+
+
+def read_hot_and_cold(
+    spark: SparkSession, source: str, target: str, schema: StructType, as_of: datetime, layout: Layout = LAYOUTS["ticks"]
+) -> DataFrame:
+    """All rows once: compacted dates from `target`, younger ones from the batches in `source`.
+
+    `as_of` is that of the last compaction.
+    """
+    young = _hot(spark, source, schema).where(F.col("date") >= F.lit(_cold_until(as_of, layout)))
+    return young.select(*schema.names).unionByName(read_table(spark, target, schema, layout).select(*schema.names))
+
+
 def storage_report(spark: SparkSession, path: str) -> DataFrame:
     """Number and size of files per date; reads file listings, not contents."""
     files = (
@@ -101,14 +130,17 @@ def build_models(ticks: DataFrame, as_of: datetime, prefix: str = "", location:
 
 
 def backfill(lake_ticks: DataFrame, root: str) -> None:
-    """Rebuild all derived tables from stored ticks, with the same operators as the stream."""
-    write_table(lake_ticks, f"{root}/ticks", LAYOUTS["ticks"], "overwrite")
+    """Rebuild all derived tables from stored ticks, with the same operators as the stream.
+
+    Each table is replaced as a whole: dates that the stored ticks no longer have are gone.
+    """
+    write_table(lake_ticks, f"{root}/ticks", LAYOUTS["ticks"], "overwrite", whole=True)
     stored = read_table(lake_ticks.sparkSession, f"{root}/ticks", lake_ticks.schema, LAYOUTS["ticks"])
-    write_table(candles.candles_1m(stored), f"{root}/candles_1m", LAYOUTS["candles_1m"], "overwrite")
+    write_table(candles.candles_1m(stored), f"{root}/candles_1m", LAYOUTS["candles_1m"], "overwrite", whole=True)
     five = candles.candles_5m(stored)
     timed = five.withColumn("time", F.timestamp_millis("window_start").cast(stored.schema["time"].dataType))
-    write_table(timed, f"{root}/candles_5m", LAYOUTS["candles_5m"], "overwrite")
+    write_table(timed, f"{root}/candles_5m", LAYOUTS["candles_5m"], "overwrite", whole=True)
     raised = alerts.alerts_all(stored)
-    write_table(raised, f"{root}/alerts", LAYOUTS["alerts"], "overwrite")
+    write_table(raised, f"{root}/alerts", LAYOUTS["alerts"], "overwrite", whole=True)
     sampled = returns.volatility_sampled(stored).select("time", "benchmark", "rolling_std_30")
-    write_table(sampled, f"{root}/volatility", LAYOUTS["volatility"], "overwrite")
+    write_table(sampled, f"{root}/volatility", LAYOUTS["volatility"], "overwrite", whole=True)

@@ -21,9 +21,6 @@ SETTINGS = {
     ),
 }
 
-# A lookup side of at most this many rows is broadcast (about 10 MB of narrow rows).
-LOOKUP_ROWS = 100_000
-
 
 def build_session(name: str = "tickloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the engine's settings; `master` is left to spark-submit unless given."""
@@ -67,15 +64,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def broadcast_if_small(side: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """Mark a join side for broadcast only when a count proves it small.
-
-    A larger side is returned unmarked: the join then shuffles and AQE splits its hot keys.
-    """
-    return side.hint("broadcast") if side.limit(max_rows + 1).count() <= max_rows else side
-
-
-def lookup(side: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """Compute a small side once, by a reliable checkpoint, and broadcast it if it is small."""
+def lookup(side: DataFrame) -> DataFrame:
+    """Compute a join side that is used twice once, by a reliable checkpoint; AQE measures it and picks the join."""
     shared_dir(side.sparkSession)
-    return broadcast_if_small(side.checkpoint(), max_rows)
+    return side.checkpoint()

@@ -65,9 +65,10 @@ def arranged(df: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
-def write_table(df: DataFrame, path: str, layout: Layout, mode: str = "append") -> None:
-    """Write in the table's layout; `overwrite` replaces only the partitions that `df` holds."""
-    writer = arranged(df, layout).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+def write_table(df: DataFrame, path: str, layout: Layout, mode: str = "append", whole: bool = False) -> None:
+    """Write in the table's layout; `overwrite` replaces only the partitions that `df` holds, or the `whole` table."""
+    replaced = "static" if whole else "dynamic"
+    writer = arranged(df, layout).write.mode(mode).option("partitionOverwriteMode", replaced)
     writer.partitionBy(*layout.partitions).parquet(path)
 
 

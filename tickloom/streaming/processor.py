@@ -32,6 +32,7 @@ from tickloom.operators.ordered import (
     CHUNK,
     EVENT_ORDER,
     HISTORY_CHUNK,
+    running,
     with_chunk,
     with_sequence,
 )
@@ -43,7 +44,6 @@ from tickloom.operators.returns import (
 )
 from tickloom.plans.live import SERIES_SECONDS, tail
 from tickloom.schemas import ROLLING_TICKS
-from tickloom.session import broadcast_if_small
 from tickloom.sources.streams import write_topic
 from tickloom.sources.tables import read_version, write_batch, write_version
 from tickloom.streaming.windows import LATENESS
@@ -53,6 +53,7 @@ FLUSH = "2 seconds"
 SAMPLE_EVERY = 10
 HISTORY_ALERTS = 100
 
+_ARRIVED = ("event_id",)
 _TAIL = "benchmark string, time timestamp, event_id bigint, price double"
 _TOTALS = "benchmark string, session_pv double, session_volume double, seen bigint"
 _OPEN = (
@@ -145,12 +146,16 @@ class TickProcessor:
         write_batch(filled.select(*stored), f"{self.root}/ticks", batch_id)
 
     def write_candles(self, ticks: DataFrame, batch_id: int) -> None:
-        """Fold the batch into the open candles; a tick older than its open candle joins that one."""
+        """Fold the batch, in order of arrival, into the open candles.
+
+        A tick older than the candle that is open when it arrives joins that one, whether an earlier
+        batch opened it or an earlier tick of this one.
+        """
         open_before = self._state("open", batch_id, _OPEN)
-        minute = truncated(ticks, "time", "minute")
-        started = broadcast_if_small(open_before.select("benchmark", F.col("time").alias("_open")))
-        placed = ticks.join(started, "benchmark", "left").withColumn("candle", F.greatest(minute, F.col("_open")))
-        fresh = placed.groupBy("benchmark", "candle").agg(*ohlcv()).withColumnRenamed("candle", "time")
+        arrived = with_chunk(ticks.withColumn("minute", truncated(ticks, "time", "minute")), _ARRIVED)
+        opened = open_before.select("benchmark", F.col("time").alias("candle"))
+        placed = running(arrived, ["benchmark"], _ARRIVED, maxes={"candle": F.col("minute")}, initial=opened)
+        fresh = placed.groupBy("benchmark", "candle").agg(*ohlcv(_ARRIVED)).withColumnRenamed("candle", "time")
         parts = open_before.withColumn("part", F.lit(0)).unionByName(fresh.withColumn("part", F.lit(1)))
         merged = (
             parts.groupBy("benchmark", "time")
@@ -235,7 +240,7 @@ class TickProcessor:
         """The points of the last hour per benchmark."""
         points = self._state("series", batch_id, _SERIES).unionByName(enriched.select(*_names(_SERIES)))
         bound = points.groupBy("benchmark").agg((F.max("time") - F.make_dt_interval(secs=F.lit(SERIES_SECONDS))).alias("after"))
-        hour = points.join(broadcast_if_small(bound), "benchmark").where(F.col("time") > F.col("after")).drop("after")
+        hour = points.join(bound, "benchmark").where(F.col("time") > F.col("after")).drop("after")
         self._keep(hour.dropDuplicates(), "series", batch_id)
 
     def write_state(self, ticks: DataFrame, batch_id: int) -> None:
