@@ -149,7 +149,7 @@ vol_{source} AS (
 
 def _alerts(source: str) -> str:
     return f"""{_vol(source)},
-day_moves AS (
+moves AS (
   SELECT event_id, 0 AS rank, time, benchmark, CASE WHEN price > prev_price THEN 'SPIKE' ELSE 'DROP' END AS alert_type,
     price, price - prev_price AS delta, pct AS delta_pct,
     CASE WHEN abs(pct) > 2 THEN 'CRITICAL' WHEN abs(pct) > 1 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
