@@ -95,6 +95,8 @@ def prototypes(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = 7) ->
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, sums = Letters(dimensions, seed), {}
         for columns, texts in groups(batches):
+            if not any(texts):
+                continue
             alphabet, codes, owner = trigram_codes(texts)
             langs = np.array(columns["lang"])
             distinct, place = np.unique(codes, return_inverse=True)
@@ -114,8 +116,10 @@ def prototypes(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = 7) ->
         .agg(F.sum("value").alias("value"))
         .toPandas()
     )
+    if found.empty:
+        return [], np.zeros((0, dimensions))
     wide = found.pivot(index="lang", columns="dimension", values="value").sort_index().astype(float)
-    matrix = wide.to_numpy().reshape(len(wide), -1)
+    matrix = wide.to_numpy()
     lengths = np.linalg.norm(matrix, axis=1)
     kept = lengths > 0
     return [x for x, k in zip(wide.index, kept) if k], matrix[kept] / lengths[kept, None]
