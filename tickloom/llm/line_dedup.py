@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.texts import free_name, saved, text_key
 
 MIN_WORDS = 5
-SPACE = r"[ \t\r\f\x0B]+"
+SPACE = r"[ \t\n\r\f\x0B]+"
 
 
 def normalised(unit: Column) -> Column:
