@@ -5,7 +5,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import QUERIES
 from tests.conftest import SMALL, START
+from tickloom.functions.columns import order_key
 from tickloom.operators import alerts, asof, candles, returns, rollups
 from tickloom.plans import live, maintenance, staging
 from tickloom.sources import decode, replay
@@ -190,3 +192,18 @@ def test_avro_round_trip(spark):
     sent = decode.publish_ticks(ticks, "avro")
     framed = sent.withColumn("value", F.concat(F.unhex(F.lit("0000000001")), F.col("value")))
     assert decode.good_ticks(decode.decode_ticks(framed, "avro")).count() == ticks.count()
+
+
+@pytest.mark.parametrize(
+    "name", ["candles_5m", "rollup_hourly", "rollup_daily", "daily_analytics", "live_prices", "latest_spread", "spread_heatmap"]
+)
+def test_ordered_aggregates_need_no_sort_of_the_input(spark, name):
+    shown = plan(QUERIES[name](spark, SMALL))
+    assert "HashAggregate" in shown and "SortAggregate" not in shown
+
+
+def test_order_key_orders_as_its_columns_do(spark):
+    rows = [(t, e) for t in (-1, 0, 1, 253_402_300_799_999_999) for e in (-(2**63), -1, 0, 2**63 - 1)]
+    df = spark.createDataFrame(rows, "us long, event_id long").withColumn("time", F.timestamp_micros("us"))
+    found = df.orderBy(order_key(("time", "event_id"))).select("us", "event_id").collect()
+    assert [tuple(r) for r in found] == sorted(rows)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,8 +50,21 @@ def present(value: Column) -> Column:
     return F.when(value != 0, value)
 
 
+#: More than the span of a long, so that the second order column never reaches into the first.
+_SPAN = Decimal(2 * 10**19)
+
+
 def order_key(order_by) -> Column:
-    return F.struct(*[F.col(c) for c in order_by])
+    """One number that orders as the columns do: event times, positions, or a time and a position.
+
+    A number fits in a hash aggregate's buffer; a struct would make Spark sort before it aggregates.
+    Times of the years 1 to 9999 with any long position stay within 38 digits.
+    """
+    first, *rest = [micros(c) if c.endswith("time") else F.col(c) for c in order_by]
+    if not rest:
+        return first
+    (second,) = rest
+    return first.cast("decimal(18,0)") * F.lit(_SPAN) + second.cast("decimal(20,0)")
 
 
 def region_of(benchmark: str | Column = "benchmark") -> Column:

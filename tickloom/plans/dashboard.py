@@ -15,8 +15,9 @@ from tickloom.plans.staging import between
 def latest_price(ticks: DataFrame, benchmark: str) -> DataFrame:
     """Newest price of one benchmark; one row, by a mergeable aggregate behind a pushed filter."""
     own = ticks.where(F.col("benchmark") == benchmark)
-    found = own.agg(F.max_by(F.struct("time", "price"), order_key(EVENT_ORDER)).alias("last"))
-    return found.where(F.col("last").isNotNull()).select(F.lit(benchmark).alias("benchmark"), "last.*")
+    key = order_key(EVENT_ORDER)
+    found = own.agg(F.max_by("time", key).alias("time"), F.max_by("price", key).alias("price"))
+    return found.where(F.col("time").isNotNull()).select(F.lit(benchmark).alias("benchmark"), "time", "price")
 
 
 def latest_ticks(ticks: DataFrame, count: int = 9) -> DataFrame:

@@ -39,7 +39,8 @@ def live_state(ticks: DataFrame, order_by: Sequence[str] = EVENT_ORDER) -> DataF
     key = order_key(order_by)
     pv = F.sum(F.col("price") * F.col("volume"))
     totals = ticks.groupBy(*KEY).agg(
-        F.max_by(F.struct("time", "price"), key).alias("last"),
+        F.max_by("time", key).alias("time"),
+        F.max_by("price", key).alias("price"),
         F.try_divide(pv, present(F.sum("volume"))).alias("vwap"),
     )
     along = Window.partitionBy(*KEY).orderBy(F.desc("back"))
@@ -49,7 +50,7 @@ def live_state(ticks: DataFrame, order_by: Sequence[str] = EVENT_ORDER) -> DataF
     vol = returns.groupBy(*KEY).agg(
         F.when(F.count("price") >= MIN_VOL_TICKS, F.stddev_pop("ret")).alias("vol")
     )
-    return totals.join(vol, KEY).select(*KEY, "last.time", "last.price", "vwap", "vol")
+    return totals.join(vol, KEY).select(*KEY, "time", "price", "vwap", "vol")
 
 
 def live_prices(ticks: DataFrame, as_of: datetime | None = None, order_by: Sequence[str] = EVENT_ORDER) -> DataFrame:

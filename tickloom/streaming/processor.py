@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.functions.columns import iso_text, moment, present, rounded, truncated
+from tickloom.functions.columns import iso_text, moment, order_key, present, rounded, truncated
 from tickloom.operators.alerts import (
     alert_inputs_chunked,
     alert_messages,
@@ -221,17 +221,15 @@ class TickProcessor:
 
     def write_live(self, enriched: DataFrame, batch_id: int) -> None:
         """Newest state per benchmark."""
-        key = F.struct("time", "event_id")
-        newest = enriched.groupBy("benchmark").agg(
-            F.max_by(F.struct("time", "price", "session_vwap", "rolling_std_30"), key).alias("last")
-        )
+        key, shown = order_key(EVENT_ORDER), ("time", "price", "session_vwap", "rolling_std_30")
+        newest = enriched.groupBy("benchmark").agg(*[F.max_by(c, key).alias(c) for c in shown])
         fresh = newest.select(
             "benchmark",
-            rounded(F.col("last.price"), 3).alias("price"),
-            rounded(present(F.col("last.session_vwap")), 3).alias("vwap"),
-            rounded(present(F.col("last.rolling_std_30")), 6).alias("vol"),
-            iso_text(F.col("last.time")).alias("ts"),
-            F.col("last.time").alias("time"),
+            rounded(F.col("price"), 3).alias("price"),
+            rounded(present(F.col("session_vwap")), 3).alias("vwap"),
+            rounded(present(F.col("rolling_std_30")), 6).alias("vol"),
+            iso_text("time").alias("ts"),
+            "time",
         )
         known = self._state("live", batch_id, _LIVE).join(fresh.select("benchmark"), "benchmark", "left_anti")
         self._keep(known.unionByName(fresh), "live", batch_id)
