@@ -35,7 +35,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     doc, key = free_name(docs, "kept_doc"), free_name(docs, "kept_text")
     first = first.select(F.col("component_id").alias(doc), F.col("text_key").alias(key))
     matches = docs["doc_id"].eqNullSafe(first[doc]) & (text_key(docs["text"]) == first[key])
-    return docs.join(first, matches).drop(first[doc]).dropDuplicates([key]).drop(key)
+    # by doc_id too: different texts whose keys agree are no repeated rows
+    return docs.join(first, matches).dropDuplicates([doc, key]).drop(doc, key)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -97,7 +97,9 @@ def patterns(demand: np.ndarray, tolerance: float = TOLERANCE, together: int = 3
     basis = [np.bincount([i], minlength=len(used)) * (room // (s + 1)) for i, s in enumerate(used)]
     inverse = np.diag([1 / (room // (s + 1)) for s in used])
     amount = inverse @ need
-    while True:
+    size, idle = np.inf, 0
+    # pivots that free no part of a sequence could go round in a circle; the basis is feasible at any time
+    while idle < 2 * len(used):
         values = np.zeros(room)
         values[used] = inverse.sum(axis=0)
         best, first = knapsack(values, room)
@@ -118,6 +120,8 @@ def patterns(demand: np.ndarray, tolerance: float = TOLERANCE, together: int = 3
             inverse -= np.outer(change, row)
             inverse[out] = row
             basis[out] = column
+        idle = 0 if amount.sum() < size - 1e-9 else idle + 1
+        size = min(size, amount.sum())
     found, left = [], demand.astype(np.int64).copy()
     for column, x in zip(basis, amount):
         whole = np.zeros(room, np.int64)

@@ -45,8 +45,8 @@ def query(fn: Query) -> Query:
 
 
 def domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, domain: the language of labelled good documents, `junk` for the others."""
-    lang = docs.select("doc_id", "lang").dropDuplicates(["doc_id"])
+    """doc_id, domain: the language of labelled good documents (the first by name if rows differ), `junk` for the others."""
+    lang = docs.groupBy("doc_id").agg(F.min("lang").alias("lang"))
     domain = F.when(F.col("quality") == 1, F.col("lang")).when(F.col("quality") == 0, F.lit("junk"))
     return labels.select("doc_id", "quality").distinct().join(lang, "doc_id").select("doc_id", domain.alias("domain"))
 
