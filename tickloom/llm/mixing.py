@@ -45,7 +45,9 @@ def measured(docs: DataFrame, *columns) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     held = docs.select(*columns, text.alias("text"), F.lower(text).alias("lower"), text_key(F.col("text")).alias("text_key"))
-    found = [F.length("lower") - F.length(F.replace("lower", F.lit(c), F.lit(""))) for c in LETTERS]
+    # bytes are counted, as their number is known without reading the text again
+    lost = [F.octet_length("lower") - F.octet_length(F.replace("lower", F.lit(c), F.lit(""))) for c in LETTERS]
+    found = [(n / len(c.encode())).cast("int") for n, c in zip(lost, LETTERS)]
     found += [F.regexp_count("text", F.lit(p)) for p in GROUPS.values()]
     counted = held.select(
         *columns,
