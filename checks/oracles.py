@@ -129,26 +129,26 @@ candles AS (
 _CANDLE_OUT = f"SELECT * EXCLUDE (vwap), {r('vwap')} AS vwap FROM candles"
 
 
-def _vol(source: str) -> str:
+def _vol(source: str, order: str = "time, event_id") -> str:
     return f"""
 moved_{source} AS (
-  SELECT *, lag(price) OVER (PARTITION BY benchmark ORDER BY time, event_id) AS prev_price,
-    lag(time) OVER (PARTITION BY benchmark ORDER BY time, event_id) AS prev_time,
-    row_number() OVER (ORDER BY time, event_id) - 1 AS seq FROM {source}),
+  SELECT *, lag(price) OVER (PARTITION BY benchmark ORDER BY {order}) AS prev_price,
+    lag(time) OVER (PARTITION BY benchmark ORDER BY {order}) AS prev_time,
+    row_number() OVER (ORDER BY {order}) - 1 AS seq FROM {source}),
 ret_{source} AS (SELECT *, (price - prev_price) / nullif(prev_price, 0) AS ret FROM moved_{source}),
 vol_{source} AS (
-  SELECT *, CASE WHEN count(price) OVER (PARTITION BY benchmark ORDER BY time, event_id
+  SELECT *, CASE WHEN count(price) OVER (PARTITION BY benchmark ORDER BY {order}
       ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) >= 5
-    THEN stddev_pop(ret) OVER (PARTITION BY benchmark ORDER BY time, event_id
+    THEN stddev_pop(ret) OVER (PARTITION BY benchmark ORDER BY {order}
       ROWS BETWEEN 28 PRECEDING AND CURRENT ROW) END AS vol,
-    last_value(CASE WHEN benchmark = 'BRENT' THEN price END IGNORE NULLS) OVER (ORDER BY time, event_id
+    last_value(CASE WHEN benchmark = 'BRENT' THEN price END IGNORE NULLS) OVER (ORDER BY {order}
       ROWS UNBOUNDED PRECEDING) AS brent,
     (price - prev_price) / nullif(prev_price, 0) * 100 AS pct
   FROM ret_{source})"""
 
 
-def _alerts(source: str) -> str:
-    return f"""{_vol(source)},
+def _alerts(source: str, order: str = "time, event_id") -> str:
+    return f"""{_vol(source, order)},
 moves AS (
   SELECT event_id, 0 AS rank, time, benchmark, CASE WHEN price > prev_price THEN 'SPIKE' ELSE 'DROP' END AS alert_type,
     price, price - prev_price AS delta, pct AS delta_pct,
@@ -447,6 +447,15 @@ SELECT time, benchmark, {r("vol")} AS rolling_std_30, CAST(NULL AS DOUBLE) AS ro
   CAST(NULL AS DOUBLE) AS atr_14, CAST(NULL AS DOUBLE) AS realized_vol
 FROM vol_dense WHERE seq % 10 = 0 AND vol <> 0""",
     "replay_live_prices": _live("dense"),
+    "replay_candles_1m_arrival": f"WITH {_candles('arrival_us, event_id', folded=True)} {_CANDLE_OUT}",
+    "replay_alerts_arrival": f"""WITH {DENSE},
+arrived AS (
+  SELECT * REPLACE (row_number() OVER (ORDER BY epoch_us(time) + (event_id * 7919 % 20) * 1000000, event_id) - 1 AS event_id)
+  FROM dense), {_alerts("arrived", "event_id")} {_ALERT_OUT}""",
+    "storage_report": f"""WITH {TICKS}
+SELECT strftime(time, '%Y-%m-%d') AS date, count(*) AS rows_before,
+  count(*) FILTER (time < TIMESTAMP '2024-01-24') AS rows_after, bool_and(time < TIMESTAMP '2024-01-24') AS compacted
+FROM ticks GROUP BY 1""",
 }
 ORACLES["candles_5m_json"] = ORACLES["candles_5m"]
 ORACLES["replay_candles_5m"] = (

@@ -11,13 +11,15 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.functions.columns import rounded
 from tickloom.operators import alerts, asof, candles, quotes, returns, rollups
-from tickloom.operators.ordered import ARRIVAL_ORDER
+from tickloom.operators.ordered import ARRIVAL_ORDER, with_chunk, with_sequence
 from tickloom.plans import dashboard, live, maintenance, marts, quality, staging
+from tickloom.schemas import TICK
 from tickloom.session import prepare, scratch_path
-from tickloom.sources import decode, replay
+from tickloom.sources import decode, replay, streams
 from tickloom.sources.tables import LAYOUTS, read_table, write_batch, write_table
 from tickloom.streaming import processor, windows
 
@@ -503,7 +505,12 @@ def storage_report(spark, sf_dir):
     hot, cold = scratch_path(spark, "hot"), scratch_path(spark, "cold")
     write_batch(ticks, hot, 0)
     maintenance.compact(spark, hot, cold, ticks.schema, AS_OF)
-    return maintenance.compaction_report(spark, hot, cold)
+    report = maintenance.compaction_report(spark, hot, cold).select("date", F.col("files_after").isNotNull().alias("compacted"))
+    for side, path in (("before", hot), ("after", cold)):
+        day = F.col("date").cast("string").alias("date")
+        counts = spark.read.parquet(path).groupBy(day).agg(F.count("*").alias(f"rows_{side}"))
+        report = report.join(counts, "date", "left")
+    return report.fillna(0, ["rows_after"])
 
 
 @query
@@ -593,11 +600,31 @@ def replay_realized_vol(spark, sf_dir):
     return _unzoned(rows, "window_start", "window_end")
 
 
+#: Micro-batches of a replay.
+BATCHES = 4
+
+
+def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The jittered feed; event_id is the position of arrival."""
+    ticks = replay.with_arrival(replay.ticks_dense(spark, sf_dir))
+    numbered = with_sequence(with_chunk(ticks, ARRIVAL_ORDER), ARRIVAL_ORDER)
+    return numbered.withColumn("event_id", F.col("seq").cast("long"))
+
+
 def _processed(spark: SparkSession, sf_dir: str, view=replay.ticks_dense) -> str:
-    root = scratch_path(spark, "processed")
-    run = processor.TickProcessor(spark, root)
-    query_ = run.start(_tick_stream(spark, sf_dir, view), scratch_path(spark, "processor-checkpoint"), {"availableNow": True})
-    query_.awaitTermination()
+    """What the processor wrote when the ticks came in BATCHES parts, by arrival, with a restart after each."""
+    root, staged, feed, checkpoint = (scratch_path(spark, n) for n in ("processed", "staged", "feed", "processor-checkpoint"))
+    ticks = _zoned(view(spark, sf_dir)).select(*TICK.names)
+    borders = ticks.approxQuantile("event_id", [i / BATCHES for i in range(1, BATCHES)], 0.01)
+    part = F.lit(0)
+    for border in borders:
+        part = part + (F.col("event_id") >= border).cast("int")
+    ticks.withColumn("part", part).write.partitionBy("part").parquet(staged)
+    parts = spark.read.schema(StructType([*TICK.fields]).add("part", "integer")).parquet(staged)
+    for number in range(BATCHES):
+        parts.where(F.col("part") == number).drop("part").write.mode("append").parquet(feed)
+        source = streams.read_tick_files(spark, feed, files_per_trigger=None)
+        processor.TickProcessor(spark, root).start(source, checkpoint, {"availableNow": True}).awaitTermination()
     return root
 
 
@@ -628,4 +655,16 @@ def replay_volatility(spark, sf_dir):
 @query
 def replay_live_prices(spark, sf_dir):
     root = _processed(spark, sf_dir)
-    return processor.TickProcessor(spark, root).live(0).drop("time")
+    return processor.TickProcessor(spark, root).live(BATCHES - 1).drop("time")
+
+
+@query
+def replay_candles_1m_arrival(spark, sf_dir):
+    rows = spark.read.parquet(f"{_processed(spark, sf_dir, _arriving)}/candles_1m").drop("batch_id", "date")
+    return six(_unzoned(rows), "vwap")
+
+
+@query
+def replay_alerts_arrival(spark, sf_dir):
+    root = _processed(spark, sf_dir, _arriving)
+    return _alert_rows(_unzoned(spark.read.parquet(f"{root}/alerts").drop("batch_id", "date")))

@@ -121,6 +121,19 @@ def test_late_tick_folds_into_the_open_candle(spark, make_ticks, tmp_path, borde
     assert [(r["open"], r["high"], r["close"], r["tick_count"]) for r in found] == [(80.0, 80.0, 80.0, 1), (81.0, 90.0, 90.0, 2)]
 
 
+@pytest.mark.parametrize("borders", [[7], [], [2, 3, 11]])
+def test_alerts_do_not_depend_on_where_batches_end(spark, make_ticks, tmp_path, borders):
+    """Late ticks, as they arrive, against the table operators in the order of arrival."""
+    rows = make_ticks([(60 * i - 200 * (i % 3 == 2), ("WTI", "BRENT")[i % 4 == 1], 80 + (i * 7) % 5 * 1.5) for i in range(16)])
+    full = rows.selectExpr("*", "1D bid", "2D ask", "'s' source").withColumn("time", F.col("time").cast("timestamp"))
+    run = processor.TickProcessor(spark, str(tmp_path))
+    for batch, (low, high) in enumerate(zip([0, *borders], [*borders, 16])):
+        run.run_batch(full.where(f"event_id >= {low} and event_id < {high}"), batch)
+    found = spark.read.parquet(f"{tmp_path}/alerts")
+    assert_same(found, alerts.alerts_all(full, ("event_id",)), "delta", "delta_pct")
+    assert_same(run.live(len(borders)).drop("time"), live.live_prices(full, order_by=("event_id",)))
+
+
 def test_windows_drop_what_the_watermark_passed(spark, make_ticks, tmp_path):
     """The late tick comes one batch after its window was closed; Spark filters by the batch before."""
     rows = make_ticks([(10, "WTI", 80), (700, "WTI", 81), (1400, "WTI", 82), (20, "WTI", 99)])

@@ -1,7 +1,8 @@
 """The tick processor: candles, volatility, session price, alerts and live views of a stream.
 
-Each micro-batch runs the same chunked operators as a table does, with what is known from
-earlier batches put in front of it: the last 30 ticks, the open candle and the running sums of
+Ticks count in the order of their arrival (event_id), within a batch as over batches, so results do
+not depend on where a batch ends. Each micro-batch runs the same chunked operators as a table does,
+with what is known from earlier batches put in front of it: the last 30 ticks, the open candle and the running sums of
 each benchmark. A busy benchmark is thus split over many tasks inside a batch, which one state
 per key could not do. What a batch leaves behind is a small table per batch number, so a batch
 that is run again after a failure starts from the same state and replaces its own output.
@@ -30,7 +31,6 @@ from tickloom.operators.alerts import (
 from tickloom.operators.candles import close_candles, ohlcv
 from tickloom.operators.ordered import (
     CHUNK,
-    EVENT_ORDER,
     HISTORY_CHUNK,
     running,
     with_chunk,
@@ -134,11 +134,11 @@ class TickProcessor:
         before = totals.agg(F.coalesce(F.sum("seen"), F.lit(0)).alias("n")).first()["n"]
         history = self._state("tail", batch_id, _TAIL).withColumn(CHUNK, F.lit(HISTORY_CHUNK).cast("long"))
         narrow = ticks.select("event_id", "time", "benchmark", "price", "volume")
-        fresh = with_chunk(narrow)
+        fresh = with_chunk(narrow, _ARRIVED)
         chunked = fresh.unionByName(history, allowMissingColumns=True)
-        inputs = alert_inputs_chunked(chunked, EVENT_ORDER).where(F.col(CHUNK) != HISTORY_CHUNK)
-        priced = with_session_vwap(inputs, EVENT_ORDER, totals.drop("seen"), summarize=fresh)
-        return with_sequence(priced, EVENT_ORDER, summarize=fresh).withColumn("seq", F.col("seq") + before).drop(CHUNK)
+        inputs = alert_inputs_chunked(chunked, _ARRIVED).where(F.col(CHUNK) != HISTORY_CHUNK)
+        priced = with_session_vwap(inputs, _ARRIVED, totals.drop("seen"), summarize=fresh)
+        return with_sequence(priced, _ARRIVED, summarize=fresh).withColumn("seq", F.col("seq") + before).drop(CHUNK)
 
     def write_ticks(self, ticks: DataFrame, batch_id: int) -> None:
         stored = ["event_id", "time", "benchmark", "exchange", "price", "volume", "bid", "ask", "source"]
@@ -192,7 +192,7 @@ class TickProcessor:
         write_batch(sampled.select("time", "benchmark", "rolling_std_30", *empty), f"{self.root}/volatility", batch_id, days=7)
 
     def write_realized(self, enriched: DataFrame, batch_id: int) -> None:
-        """Realized volatility of the hours that this batch closed.
+        """Realized volatility of the hours that this batch closed, from the returns between arrivals.
 
         The clock stays five seconds behind the newest tick. Panes add up, so only their sums are
         kept, and only while an open window holds them.
@@ -220,8 +220,8 @@ class TickProcessor:
         return F.lit(moment_of).cast("timestamp")
 
     def write_live(self, enriched: DataFrame, batch_id: int) -> None:
-        """Newest state per benchmark."""
-        key, shown = order_key(EVENT_ORDER), ("time", "price", "session_vwap", "rolling_std_30")
+        """State at the newest arrival per benchmark."""
+        key, shown = order_key(_ARRIVED), ("time", "price", "session_vwap", "rolling_std_30")
         newest = enriched.groupBy("benchmark").agg(*[F.max_by(c, key).alias(c) for c in shown])
         fresh = newest.select(
             "benchmark",
@@ -243,7 +243,7 @@ class TickProcessor:
 
     def write_state(self, ticks: DataFrame, batch_id: int) -> None:
         narrow = self._state("tail", batch_id, _TAIL).unionByName(ticks.select(*_names(_TAIL)))
-        self._keep(tail(narrow, ROLLING_TICKS).drop("back"), "tail", batch_id)
+        self._keep(tail(narrow, ROLLING_TICKS, _ARRIVED).drop("back"), "tail", batch_id)
         sums = ticks.groupBy("benchmark").agg(
             F.sum(F.col("price") * F.col("volume")).alias("session_pv"),
             F.sum("volume").alias("session_volume"),
