@@ -200,6 +200,61 @@ def test_kneser_ney_probabilities_sum_to_one(spark):
     assert np.allclose(sums, 1, atol=1e-3)
 
 
+def brute_perplexities(trusted, texts):
+    """Interpolated modified Kneser-Ney by its definition, over dictionaries."""
+
+    table = kneser_ney.symbol_table()
+
+    def symbols(text):
+        kinds = [int(table[ord(c)]) for c in text.lower()] + [0]
+        out = [0, 0, 0]
+        for k in kinds:
+            if k or out[-1]:
+                out.append(k)
+        return out
+
+    def grams(text):
+        s = symbols(text)
+        return [tuple(s[i - 3 : i + 1]) for i in range(3, len(s))]
+
+    counts = {4: Counter(g for t in trusted for g in grams(t))}
+    for order in (3, 2, 1):
+        counts[order] = Counter(g[1:] for g in counts[order + 1])
+    discounts, totals, kinds = {}, {}, {}
+    for order, seen_grams in counts.items():
+        n = [max(1, sum(v == i for v in seen_grams.values())) for i in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1])
+        raw = [1 - 2 * y * n[1] / n[0], 2 - 3 * y * n[2] / n[1], 3 - 4 * y * n[3] / n[2]]
+        discounts[order] = [min(max(d, 0.1), i + 0.95) for i, d in enumerate(raw)]
+        for g, v in seen_grams.items():
+            totals[order, g[:-1]] = totals.get((order, g[:-1]), 0) + v
+            kinds.setdefault((order, g[:-1]), []).append(min(v, 3))
+
+    def p(gram):
+        order = len(gram)
+        if not order:
+            return 1 / kneser_ney.SYMBOLS
+        seen = (order, gram[:-1])
+        if seen not in totals:
+            return p(gram[1:])
+        v, d = counts[order][gram], discounts[order]
+        own = max(0, v - d[min(v, 3) - 1]) if v else 0
+        return (own + sum(d[k - 1] for k in kinds[seen]) * p(gram[1:])) / totals[seen]
+
+    return [2 ** (-sum(math.log2(p(g)) for g in grams(t)) / len(grams(t))) for t in texts]
+
+
+def test_perplexities_by_definition(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").where("n_chars < 1500").orderBy("doc_id").limit(40).collect()
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in rows if r["text"].strip()]
+    trusted = [r for i, r in enumerate(rows) if i % 2]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = kneser_ney.judge(docs, spark.createDataFrame([(r[0], 1) for r in trusted], "doc_id long, quality int"))
+    found = {r["doc_id"]: r["perplexity"] for r in found.collect()}
+    want = brute_perplexities([r[1] for r in trusted], [r[1] for r in rows])
+    assert [found[r[0]] for r in rows] == pytest.approx(want, rel=1e-4)
+
+
 def test_mix_meets_its_targets(spark):
     docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
     wanted = queries.domains(docs, spark.read.parquet(f"{MIDDLE}/labels.parquet"))
