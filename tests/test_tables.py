@@ -146,6 +146,14 @@ def test_refresh_leaves_other_buckets_alone(spark, make_ticks, tmp_path):
     assert [r["open"] for r in found] == [80.0, 181.0, 182.0]
 
 
+def test_refresh_empties_a_date_without_ticks(spark, make_ticks, tmp_path):
+    hours = [(10, "WTI", 80), (86_400 + 10, "WTI", 81), (86_400 + 3700, "WTI", 82)]
+    rollups.write_rollup(rollups.rollup_hourly(make_ticks(hours)), str(tmp_path))
+    rollups.refresh_rollup(make_ticks(hours[:1]), str(tmp_path), START + timedelta(days=1, hours=2, minutes=30))
+    found = spark.read.schema("bucket timestamp_ntz, open double, date date").parquet(str(tmp_path)).collect()
+    assert [(r["bucket"], r["open"]) for r in found] == [(START, 80.0)]
+
+
 @pytest.mark.parametrize(
     "as_of,low,high", [((12, 30), (10, 0), (12, 0)), ((12, 0), (9, 0), (11, 0)), ((12, 1), (10, 0), (12, 0))]
 )
@@ -190,8 +198,12 @@ def test_avro_round_trip(spark):
         pytest.skip("the spark-avro package is not on the class path")
     ticks = replay.ticks_dense(spark, SMALL).withColumn("region", F.lit("EUROPE")).withColumn("open_interest", F.lit(None).cast("double"))
     sent = decode.publish_ticks(ticks, "avro")
-    framed = sent.withColumn("value", F.concat(F.unhex(F.lit("0000000001")), F.col("value")))
-    assert decode.good_ticks(decode.decode_ticks(framed, "avro")).count() == ticks.count()
+    assert decode.good_ticks(decode.decode_ticks(sent, "avro")).count() == ticks.count()
+
+
+def test_registry_header(spark):
+    body = spark.range(1).select(decode.framed(F.lit(b"body"), 258).alias("value")).first()["value"]
+    assert bytes(body) == b"\x00\x00\x00\x01\x02body" and len(body) == decode.REGISTRY_HEADER + 4
 
 
 @pytest.mark.parametrize(

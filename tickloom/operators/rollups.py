@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from tickloom.functions.columns import moment, present
 from tickloom.operators.candles import ohlcv
+from tickloom.session import lookup
 
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
 # How far back and how near a refresh reaches.
@@ -67,7 +68,8 @@ def refresh_rollup(
 ) -> None:
     """Recompute the buckets in reach of `as_of` and keep all others.
 
-    Only the dates the reach touches are read and rewritten, and only their ticks are scanned.
+    Only the dates the reach touches are read and rewritten, and only their ticks are scanned. A date
+    that is left without buckets loses its stored rows.
     """
     low, high = whole_buckets(as_of, reach, width)
     if low >= high:
@@ -82,4 +84,12 @@ def refresh_rollup(
         return
     touched = F.col("date").between(F.lit(low.date()), F.lit((high - timedelta(microseconds=1)).date()))
     outside = (F.col("bucket") < moment(stored, "bucket", low)) | (F.col("bucket") >= moment(stored, "bucket", high))
-    write_rollup(stored.where(touched & outside).drop("date").unionByName(fresh), path)
+    # a few buckets per benchmark, used twice
+    now = lookup(stored.where(touched & outside).drop("date").unionByName(fresh))
+    emptied = stored.where(touched).select("date").distinct().join(
+        now.select(F.to_date("bucket").alias("date")).distinct(), "date", "left_anti"
+    )
+    gone = [row["date"] for row in emptied.collect()]  # dates in reach
+    write_rollup(now, path)
+    for day in gone:
+        now.limit(0).write.mode("overwrite").parquet(f"{path.rstrip('/')}/date={day}")

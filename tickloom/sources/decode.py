@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -102,8 +102,16 @@ def _wire(ticks: DataFrame):
     return F.struct(*fields)
 
 
-def publish_ticks(ticks: DataFrame, fmt: str = "json") -> DataFrame:
-    """Ticks as messages keyed by benchmark, so a keyed log keeps each benchmark's order."""
+def framed(body: Column, schema_id: int) -> Column:
+    """Avro bytes behind the registry's header: a zero byte and the schema's number."""
+    return F.concat(F.unhex(F.lit(f"00{schema_id:08x}")), body)
+
+
+def publish_ticks(ticks: DataFrame, fmt: str = "json", schema_id: int = 1) -> DataFrame:
+    """Ticks as messages keyed by benchmark, so a keyed log keeps each benchmark's order.
+
+    Avro is framed as `decode_avro` expects it; `schema_id` is the number that the registry gave the schema.
+    """
     wire = _wire(ticks)
-    value = F.to_json(wire, {"ignoreNullFields": "false"}) if fmt == "json" else _avro().to_avro(wire, AVRO_TICK)
+    value = F.to_json(wire, {"ignoreNullFields": "false"}) if fmt == "json" else framed(_avro().to_avro(wire, AVRO_TICK), schema_id)
     return ticks.select("event_id", F.col("benchmark").alias("key"), value.alias("value"))
