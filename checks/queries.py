@@ -346,8 +346,7 @@ def vwap_vs_price(spark, sf_dir):
 
 @query
 def hourly_vwap_recent(spark, sf_dir):
-    hourly = rollups.rollup_hourly(replay.ticks(spark, sf_dir))
-    return six(dashboard.hourly_vwap_recent(hourly, AS_OF), "vwap")
+    return six(dashboard.hourly_vwap_of_ticks(replay.ticks(spark, sf_dir), AS_OF), "vwap")
 
 
 @query

@@ -42,6 +42,10 @@ def test_staging_filter_reaches_the_scan(spark):
     assert "GreaterThanOrEqual(ts,2024-01-01T00:00)" in text
 
 
+def test_recent_hours_read_recent_ticks(spark):
+    assert "GreaterThan(ts,2024-01-30T18:00)" in plan(QUERIES["hourly_vwap_recent"](spark, SMALL))
+
+
 @pytest.mark.parametrize("operator", [asof.asof_spread, alerts.alerts_all, returns.rolling_vol, candles.candles_1m, live.live_state])
 def test_no_pairwise_join_and_no_unbounded_key_window(spark, operator):
     text = plan(operator(replay.ticks(spark, SMALL)))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.columns import moment, order_key, rounded
 from tickloom.operators.ordered import EVENT_ORDER
+from tickloom.operators.rollups import rollup_hourly
 from tickloom.plans.staging import between
 
 
@@ -59,6 +60,12 @@ def hourly_vwap_recent(rollup: DataFrame, as_of: datetime, hours: int = 6) -> Da
     return recent.select("bucket", "benchmark", "vwap", "volume").orderBy(F.desc("bucket"), "benchmark")
 
 
+def hourly_vwap_of_ticks(ticks: DataFrame, as_of: datetime, hours: int = 6) -> DataFrame:
+    """The same without a stored rollup; only the ticks of the shown buckets are read."""
+    late = ticks.where(F.col("time") > moment(ticks, "time", as_of - timedelta(hours=hours)))
+    return hourly_vwap_recent(rollup_hourly(late), as_of, hours)
+
+
 def minute_summary(ticks: DataFrame, as_of: datetime, hours: int = 1) -> DataFrame:
     """Average price and volume per minute and benchmark after `as_of` - `hours`."""
     recent = ticks.where(F.col("time") > moment(ticks, "time", as_of - timedelta(hours=hours)))
