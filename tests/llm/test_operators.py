@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from checks.compare import differences, duck
@@ -104,6 +105,24 @@ def test_store_and_pieces_hold_the_tokenizers_ids(spark, odd, tmp_path):
     assert cutting_stock.pack(odd.limit(0), queries.tokenizer()).count() == 0
 
 
+def test_added_tokens_are_ids_of_their_own(spark, tmp_path):
+    whole = Tokenizer.from_file(queries.tokenizer())
+    texts = [
+        "a b <|endoftext|> c", "<|startoftext|>The Cat<|endoftext|><|endoftext|>", "x<|ENDOFTEXT|>y <|endoftext|", "<|endoftext|>",
+        "it's<|endoftext|>'s \u00e9<|startoftext|>\u0301e 12\n<|endoftext|>\n", "plain words only", "", "<<|endoftext|>|endoftext|>",
+    ]
+    want = {k: [*whole.encode(t, add_special_tokens=False).ids, 1] for k, t in enumerate(texts)}
+    assert want[0] == [320, 321, 49407, 322, 1]
+    ids, borders = Encoder(queries.tokenizer()).encode(texts)
+    assert {k: ids[a:b].tolist() for k, (a, b) in enumerate(zip(borders, borders[1:]))} == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    token_store.write_store(docs, queries.tokenizer(), f"{tmp_path}/s", shards=2)
+    found = token_store.read_store(spark, f"{tmp_path}/s").collect()
+    assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in found} == want
+    crcs = {r["doc_id"]: r["ids_crc32"] for r in cutting_stock.pack(docs, queries.tokenizer()).collect()}
+    assert crcs == {k: zlib.crc32(np.array(v, "<u4").tobytes()) for k, v in want.items()}
+
+
 def test_planes_come_back():
     ids = np.random.default_rng(1).integers(0, 49_408, 10_001).astype(np.uint32)
     assert (token_store.join_planes(token_store.shuffle_planes(ids), len(ids)) == ids).all()

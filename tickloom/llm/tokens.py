@@ -5,6 +5,9 @@ encodes the text's words one after another. So a batch is split at ASCII white s
 distinct word goes through the tokenizer once, and the ids are gathered per text. A space is also set
 between an ASCII letter and ASCII punctuation other than the apostrophe, where word_bpe_49k.json
 starts a new word anyway; that makes words fewer. Words met early stay in a store per worker process.
+
+The file's added tokens are found in the text as it stands, before anything is lower-cased, and have an
+id each; texts are cut at them first. In the words between, the same letters in upper case are ordinary text.
 """
 
 from __future__ import annotations
@@ -38,7 +41,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        tokens = self.tokenizer.get_added_tokens_decoder()
+        if any(not t.special or t.normalized or t.single_word or t.lstrip or t.rstrip for t in tokens.values()):
+            raise ValueError(f"{path}: an added token is not plain text")
+        self.added = {t.content: k for k, t in tokens.items()}
+        # of tokens that begin at the same place the longest is taken
+        self.any_added = "(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")"
+        # for lower-cased words without added tokens: "<|ENDOFTEXT|>" is none
+        self.between = Tokenizer.from_file(path)
+        self.between.encode_special_tokens = True
         self.words = pa.array([], pa.large_string())  # kept words; word k has ids[ends[k]:ends[k + 1]]
         self.ids = np.zeros(0, np.uint32)
         self.ends = np.zeros(1, np.int64)
@@ -51,7 +62,7 @@ class Encoder:
 
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of ids of each). Plain words go to the model itself."""
-        merge, whole, plain = self.tokenizer.model.tokenize, self.tokenizer.encode, _PLAIN.fullmatch
+        merge, whole, plain = self.between.model.tokenize, self.between.encode, _PLAIN.fullmatch
         ids, counts = [], []
         for word in words:
             if plain(word):
@@ -66,9 +77,23 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id; border of each text in them: len(texts) + 1)."""
-        spaced = pc.replace_substring_regex(
-            pc.ascii_lower(pa.array(texts, pa.large_string())), r"([a-z])([.,!?;:*#$%&|])", r"\1 \2"
-        )
+        whole = pa.array(texts, pa.large_string())
+        if not self.added or not pc.any(pc.match_substring_regex(whole, self.any_added), min_count=0).as_py():
+            return self._encode_parts(whole)
+        parts, ends, stops = [], [], [0]
+        for text in texts:
+            found = re.split(self.any_added, text)
+            parts += found[::2]
+            ends += [*(self.added[t] for t in found[1::2]), END]
+            stops.append(len(parts))
+        ids, borders = self._encode_parts(pa.array(parts, pa.large_string()))
+        # every part got the end id; behind all but a text's last part stands an added token instead
+        ids[borders[1:] - 1] = ends
+        return ids, borders[stops]
+
+    def _encode_parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As `encode`, for texts without added tokens."""
+        spaced = pc.replace_substring_regex(pc.ascii_lower(parts), r"([a-z])([.,!?;:*#$%&|])", r"\1 \2")
         split = pc.ascii_split_whitespace(spaced)
         # an empty word stands where white space begins or ends a text; it has no ids
         words = split.values.dictionary_encode()
@@ -96,5 +121,5 @@ class Encoder:
         stops = np.cumsum(sizes)
         places = np.arange(int(stops[-1]) if len(stops) else 0)
         places += np.repeat(starts[order] - (stops - sizes), sizes)
-        word_ends = borders[1:] + np.arange(1, len(texts) + 1)
+        word_ends = borders[1:] + np.arange(1, len(parts) + 1)
         return pool[places], np.concatenate([[0], stops[word_ends - 1]])
