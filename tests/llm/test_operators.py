@@ -139,6 +139,32 @@ def test_patterns_meet_the_demand():
     assert sum(n for _, n in found) <= sum(n for _, n in cutting_stock.first_fit(demand))
 
 
+def test_short_pieces_fill_their_sequences(spark):
+    lengths = {"same": [17] * 1200, "empty": [1] * 4096, "mixed": np.random.default_rng(3).integers(1, 65, 3000).tolist()}
+    for name, sizes in lengths.items():
+        docs = spark.createDataFrame([(k, "a " * (n - 1)) for k, n in enumerate(sizes)], "doc_id long, text string")
+        found = cutting_stock.pack(docs, queries.tokenizer()).toPandas()
+        assert sorted(found["length"]) == sorted(sizes), name
+        assert found.groupby("sequence_id")["length"].sum().max() <= 2048, name
+        assert found["sequence_id"].nunique() <= math.ceil(sum(sizes) / 2040), name
+
+
+def test_classes_hold_their_lengths(spark):
+    for length in (2048, 1000, 100):
+        sizes = cutting_stock.class_sizes(length)
+        found = spark.range(1, length + 1).select("id", cutting_stock.class_of(F.col("id"), length)).collect()
+        assert [r[1] for r in found] == (np.searchsorted(sizes, np.arange(1, length + 1)) + 1).tolist()
+        assert all(sizes[c - 1] - n < n / cutting_stock.EXACT for n, c in found) and sizes[-1] == length
+
+
+def test_column_generation_beats_first_fit():
+    sizes, lengths = cutting_stock.class_sizes(2048), np.random.default_rng(4).integers(600, 1100, 100_000)
+    demand = np.bincount(np.searchsorted(sizes, lengths), minlength=len(sizes))
+    found = cutting_stock.patterns(demand, sizes)
+    assert (sum(p * n for p, n in found) == demand).all() and all(p @ sizes <= 2048 for p, _ in found)
+    assert sum(n for _, n in found) < 0.98 * sum(n for _, n in cutting_stock.first_fit(demand, sizes))
+
+
 def test_extensions_and_spans():
     a, b = "the cat sat on the mat", "a cat sat on the rug"
     x, y = (prefix_hash.Prefixes(prefix_hash.code_points(t)) for t in (a, b))

@@ -1,14 +1,15 @@
 """Packing by cutting-stock column generation.
 
-A document is cut into pieces of the sequence length and one rest. Rests fall into classes of equal
-rounded-up length. The histogram of the classes is a cutting-stock problem: a pattern says how many
+A document is cut into pieces of the sequence length and one rest. Rests of up to 2 * EXACT tokens have
+a class for each length; longer ones are rounded up to classes whose width doubles with the length, so
+that a rest is rounded by less than one part in EXACT. The histogram of the classes is a cutting-stock problem: a pattern says how many
 rests of each class share a sequence. The linear program over patterns is solved by the revised
 simplex method; a knapsack dynamic program prices new patterns against the dual values until none
 improves by more than TOLERANCE. Pattern counts are rounded down, and the few rests left over are
 placed first-fit by decreasing class. Documents are ranked within their class, and ranks are mapped
 to the patterns' places by ranges, so any number of documents is assigned by joins and windows.
 
-The histogram has at most length / WIDTH classes, whatever the number of documents; only it and the
+The histogram has at most a few hundred classes, whatever the number of documents; only it and the
 patterns are on the driver. A pattern's pieces stand without gaps, so a sequence is short by what its
 rounded lengths and its pattern leave over.
 
@@ -23,15 +24,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.texts import groups, rows, saved
 from tickloom.llm.tokens import BATCH_CHARS, Encoder
 
 LENGTH = 2048
-#: Lengths that share a class.
-WIDTH = 16
+#: Lengths up to twice as many tokens have a class each; above, each doubling of the length has as many classes.
+EXACT = 64
 #: Relative gap to the linear program's optimum at which no more patterns are sought.
 TOLERANCE = 1e-3
 
@@ -55,59 +56,88 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(cut, ", ".join(f"{n} long" for n in names))
 
 
-def knapsack(values: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+def steps(length: int, exact: int = EXACT) -> list[tuple[int, int, int]]:
+    """(low, high, width): lengths in (low, high] are rounded up to low and a multiple of `width`, or to `high`."""
+    found, low, width = [], 0, 1
+    while low < length:
+        high = min(2 * exact * width, length)
+        found.append((low, high, width))
+        low, width = high, 2 * width
+    return found
+
+
+def class_sizes(length: int, exact: int = EXACT) -> np.ndarray:
+    """The largest length of each class, ascending."""
+    return np.array([min(high, at + width) for low, high, width in steps(length, exact) for at in range(low, high, width)])
+
+
+def class_of(size: Column, length: int, exact: int = EXACT) -> Column:
+    """The class of a length, from 1: the place in `class_sizes` of the first that is no less."""
+    found, number = F, 0
+    for low, high, width in steps(length, exact):
+        found = found.when(size <= high, F.ceil((size - low) / width) + number)
+        number += -(-(high - low) // width)
+    return found.cast("int")
+
+
+def knapsack(values: np.ndarray, sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
     """For every space up to `room`: the best value, and the class to take first (-1: leave a unit free).
 
-    Class i takes i + 1 units and may be taken again.
+    Class i takes sizes[i] units, ascending, and may be taken again.
     """
     best, first = np.zeros(room + 1), np.full(room + 1, -1)
+    fitting = np.searchsorted(sizes, np.arange(room + 1), side="right").tolist()
     for space in range(1, room + 1):
-        take = values[:space] + best[space - 1 :: -1]
-        k = int(take.argmax())
-        if take[k] > best[space - 1] + 1e-12:
-            best[space], first[space] = take[k], k
-        else:
-            best[space] = best[space - 1]
+        best[space] = best[space - 1]
+        if fitting[space]:
+            take = values[: fitting[space]] + best[space - sizes[: fitting[space]]]
+            k = int(take.argmax())
+            if take[k] > best[space] + 1e-12:
+                best[space], first[space] = take[k], k
     return best, first
 
 
-def pattern(first: np.ndarray, room: int, start: int) -> np.ndarray:
+def pattern(first: np.ndarray, sizes: np.ndarray, room: int, start: int) -> np.ndarray:
     """Counts per class of the best pattern that has class `start`."""
-    counts, space = np.zeros(room, np.int64), room - start - 1
+    counts, space = np.zeros(len(sizes), np.int64), room - int(sizes[start])
     counts[start] = 1
     while space > 0:
         if first[space] < 0:
             space -= 1
         else:
             counts[first[space]] += 1
-            space -= int(first[space]) + 1
+            space -= int(sizes[first[space]])
     return counts
 
 
-def patterns(demand: np.ndarray, tolerance: float = TOLERANCE, together: int = 32) -> list[tuple[np.ndarray, int]]:
-    """Patterns and how often each is cut, so that every class i (i + 1 units) meets its demand exactly.
+def patterns(
+    demand: np.ndarray, sizes: np.ndarray | None = None, tolerance: float = TOLERANCE, together: int = 32
+) -> list[tuple[np.ndarray, int]]:
+    """Patterns and how often each is cut, so that every class i meets its demand exactly.
 
-    A sequence has len(demand) units. Each pricing offers the best pattern of each class; up to
-    `together` of them enter the basis while they still improve it.
+    Class i takes sizes[i] units, i + 1 if not given; a sequence has as many units as the last class.
+    First-fit gives the first columns. If sequences without any gap would save less than `tolerance` on
+    it, it stands. Otherwise each pricing offers the best pattern of each class; up to `together` of them
+    enter the basis while they still improve it.
     """
-    room, used = len(demand), np.flatnonzero(demand)
+    sizes = np.arange(1, len(demand) + 1) if sizes is None else sizes
+    used = np.flatnonzero(demand)
     if not len(used):
         return []
+    room, size = int(sizes[-1]), sizes[used]
     need = demand[used].astype(float)
-    basis = [np.bincount([i], minlength=len(used)) * (room // (s + 1)) for i, s in enumerate(used)]
-    inverse = np.diag([1 / (room // (s + 1)) for s in used])
+    fitted = first_fit(demand.astype(np.int64), sizes)
+    count, least = sum(n for _, n in fitted), float(need @ size) / room
+    if count < least * (1 + tolerance) + 1:
+        return fitted
+    basis = [np.bincount([i], minlength=len(used)) * (room // s) for i, s in enumerate(size)]
+    inverse = np.diag([1 / (room // s) for s in size])
     amount = inverse @ need
-    size, idle = np.inf, 0
+    columns = [p[used] for p, _ in fitted]
+    total, idle = np.inf, 0
     # pivots that free no part of a sequence could go round in a circle; the basis is feasible at any time
-    while idle < 2 * len(used):
-        values = np.zeros(room)
-        values[used] = inverse.sum(axis=0)
-        best, first = knapsack(values, room)
-        prices = values[used] + best[room - used - 1]
-        if prices.max() <= 1 + tolerance:
-            break
-        for k in used[np.argsort(-prices, kind="stable")[:together]]:
-            column = pattern(first, room, int(k))[used]
+    while idle < 2 * len(used) and total > least * (1 + tolerance):
+        for column in columns:
             if inverse.sum(axis=0) @ column <= 1 + tolerance:
                 continue
             change = inverse @ column
@@ -120,27 +150,35 @@ def patterns(demand: np.ndarray, tolerance: float = TOLERANCE, together: int = 3
             inverse -= np.outer(change, row)
             inverse[out] = row
             basis[out] = column
-        idle = 0 if amount.sum() < size - 1e-9 else idle + 1
-        size = min(size, amount.sum())
+        idle = 0 if amount.sum() < total - 1e-9 else idle + 1
+        total = min(total, amount.sum())
+        values = inverse.sum(axis=0)
+        best, first = knapsack(values, size, room)
+        prices = values + best[room - size]
+        if prices.max() <= 1 + tolerance:
+            break
+        columns = [pattern(first, size, room, int(k)) for k in np.argsort(-prices, kind="stable")[:together]]
     found, left = [], demand.astype(np.int64).copy()
     for column, x in zip(basis, amount):
-        whole = np.zeros(room, np.int64)
+        whole = np.zeros(len(demand), np.int64)
         whole[used] = column
         times = min(int(x + 1e-9), int(np.min(left[whole > 0] // whole[whole > 0])))
         if times:
             found.append((whole, times))
             left -= times * whole
-    return found + first_fit(left)
+    found += first_fit(left, sizes)
+    return found if sum(n for _, n in found) < count else fitted
 
 
-def first_fit(left: np.ndarray) -> list[tuple[np.ndarray, int]]:
+def first_fit(left: np.ndarray, sizes: np.ndarray | None = None) -> list[tuple[np.ndarray, int]]:
     """Patterns for what rounding leaves over: repeatedly the largest classes that still fit."""
+    sizes = np.arange(1, len(left) + 1) if sizes is None else sizes
     found, left = [], left.copy()
     while left.any():
-        pattern, room = np.zeros(len(left), np.int64), len(left)
+        pattern, room = np.zeros(len(left), np.int64), int(sizes[-1])
         for k in np.flatnonzero(left)[::-1]:
-            pattern[k] = min(left[k], room // (k + 1))
-            room -= pattern[k] * (k + 1)
+            pattern[k] = min(left[k], room // sizes[k])
+            room -= pattern[k] * sizes[k]
         times = int(np.min(left[pattern > 0] // pattern[pattern > 0]))
         found.append((pattern, times))
         left -= times * pattern
@@ -155,7 +193,7 @@ def ranked(items: DataFrame, sizes: dict[int, int]) -> DataFrame:
     spark = items.sparkSession
     share = sum(sizes.values()) // (2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     target = max(500, share)
-    parts = F.element_at(F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (c, -(-n // target))]), F.col("class"))
+    parts = F.element_at(F.array(*[F.lit(max(1, -(-sizes.get(c, 0) // target))) for c in range(1, max(sizes) + 1)]), F.col("class"))
     keys = ["doc_id", "start", "ids_crc32"]
     dealt = items.withColumn("part", F.pmod(F.xxhash64(*keys, F.col("salt")), parts))
     before = Window.partitionBy("class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -166,21 +204,21 @@ def ranked(items: DataFrame, sizes: dict[int, int]) -> DataFrame:
     return numbered.withColumn("rank", F.col("before") + F.col("number")).drop("part", "number", "before")
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, width: int = WIDTH) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, exact: int = EXACT) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: each piece and its place."""
     spark = docs.sparkSession
-    classes = -(-length // width)
+    room = class_sizes(length, exact)
     # `salt` spreads rows that are equal in all else
-    cut = pieces(docs, tokenizer, length).withColumn("class", F.ceil(F.col("length") / width).cast("int"))
+    cut = pieces(docs, tokenizer, length).withColumn("class", class_of(F.col("length"), length, exact))
     cut = saved(cut.withColumn("salt", F.monotonically_increasing_id()), "pieces")
     sizes = {r["class"]: r["count"] for r in cut.groupBy("class").count().collect()}
     if not sizes:
         return cut.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", *(F.lit(0).cast("long").alias(c) for c in ("sequence_id", "offset")))
-    demand = np.zeros(classes, np.int64)
+    demand = np.zeros(len(room), np.int64)
     for c, n in sizes.items():
         demand[c - 1] = n
-    places, taken, sequences = [], np.zeros(classes, np.int64), 0
-    for pattern, times in patterns(demand):
+    places, taken, sequences = [], np.zeros(len(room), np.int64), 0
+    for pattern, times in patterns(demand, room):
         for k in np.flatnonzero(pattern).tolist():
             low, each = int(taken[k]), int(pattern[k])
             places.append((k + 1, low, low + times * each, each, sequences))
