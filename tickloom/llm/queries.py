@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (
+    conversations,
     cutting_stock,
     kneser_ney,
     langid,
@@ -111,6 +112,11 @@ def op10_cutting_stock(spark, sf_dir):
     return cutting_stock.pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
+@query
+def op13_conversations(spark, sf_dir):
+    return conversations.repaired_after_damage(table(spark, sf_dir, "conversations"))
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
