@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from brute import without_passages
 from checks.compare import differences, duck
 from tickloom.llm import (
     components,
@@ -86,7 +87,7 @@ def test_stages_keep_the_columns_of_documents(spark, odd, labels, tmp_path):
 
 
 def test_store_and_pieces_hold_the_tokenizers_ids(spark, odd, tmp_path):
-    whole = Encoder.of(queries.tokenizer()).tokenizer
+    whole = Tokenizer.from_file(queries.tokenizer())
     want = Counter()
     for r in odd.collect():
         ids = np.array([*whole.encode(r["text"] or "", add_special_tokens=False).ids, 1], "<u4")
@@ -229,6 +230,32 @@ def test_reference_sql(spark, name):
     assert differences(queries.QUERIES[name](spark, SMALL), duck(SMALL), ORACLES[name]).startswith("= ")
 
 
+def test_passages_at_any_place(spark):
+    """Copies, near copies, overlaps, borders of 49, 50 and 51 words, many tasks."""
+    rng = np.random.default_rng(5)
+    fresh = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n))
+    shared = {n: fresh(n) for n in (49, 50, 51, 400)}
+    found = [fresh(200), "a " * 300, None, "", "x\n" * 49, "Y\ty " * 60]
+    found += [fresh(int(k)) + " \n" + p.upper() + "\t" + fresh(int(k % 7)) for p in shared.values() for k in rng.integers(0, 90, 6)]
+    found += [found[0], found[0].upper(), found[0] + " more", "less " + found[0], shared[400][40:], found[0]]
+    docs = spark.createDataFrame(list(enumerate(found)), "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(docs).collect()}
+    want = without_passages({k: t or "" for k, t in enumerate(found)})
+    assert {k: t or "" for k, t in got.items()} == want and got[2] is None
+    changed = {k for k, t in enumerate(found) if want[k] != (t or "")}
+    assert not changed & set(range(6, 12)) and set(range(13, 18)) <= changed
+
+
+def test_units_do_not_depend_on_their_surroundings():
+    rng = np.random.default_rng(6)
+    passage = " ".join(f"w{x}" for x in rng.integers(0, 500, 300))
+    texts = ["", "one", passage, "some words before it " + passage + " and behind"]
+    hashes, borders = line_dedup.word_hashes(texts)
+    starts, ends, owner, digests = line_dedup.units(hashes, borders)
+    alone, inside = (set(zip((starts - borders[k])[owner == k] - shift, digests[owner == k])) for k, shift in ((2, 0), (3, 4)))
+    assert alone <= inside and len(alone) > 10 and (ends - starts > line_dedup.REACH).all()
+
+
 def test_binomial_tail(spark):
     cases = [(0, 100), (3, 900), (7, 2000), (50, 100)]
     df = spark.createDataFrame([(float(k), float(n)) for k, n in cases], "k double, n double")

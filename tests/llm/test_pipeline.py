@@ -8,11 +8,12 @@ import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
+from brute import without_passages, words
 from tickloom.llm import queries
 from tickloom.llm.texts import saved
-from tickloom.llm.tokens import Encoder
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -71,19 +72,14 @@ def test_one_document_of_each_group_stays(steps):
     assert len(steps[2]) == len(texts(steps[2])) < len(steps[1])
 
 
-def test_later_lines_go(steps):
-    seen, want = set(), {}
-    for doc_id, text in sorted(texts(steps[2]).items()):
-        kept = []
-        for line in text.split("\n"):
-            unit = re.sub(r"[ \t\n\r\f\x0B]+", " ", line.lower()).strip(" ")
-            if unit and unit.count(" ") >= 4:
-                if unit in seen:
-                    continue
-                seen.add(unit)
-            kept.append(line)
-        want[doc_id] = "\n".join(kept)
+def test_later_passages_go(steps):
+    want = without_passages(texts(steps[2]))
     assert texts(steps[3]) == want != texts(steps[2])
+    passages = Counter()
+    for text in texts(steps[3]).values():
+        low = words(text)
+        passages.update({tuple(low[k : k + 50]) for k in range(len(low) - 49)})
+    assert max(passages.values()) == 1
 
 
 def test_mixing_repeats_rows_and_loses_none(steps):
@@ -92,7 +88,7 @@ def test_mixing_repeats_rows_and_loses_none(steps):
 
 
 def test_pieces_hold_all_ids_and_sequences_have_no_gap(steps):
-    whole, want = Encoder.of(queries.tokenizer()).tokenizer, Counter()
+    whole, want = Tokenizer.from_file(queries.tokenizer()), Counter()
     for r in steps[4]:
         ids = [*whole.encode(r["text"] or "", add_special_tokens=False).ids, 1]
         raw = np.array(ids, "<u4")

@@ -6,28 +6,47 @@ from tickloom.llm import line_dedup, risk_rules
 
 ORACLES: dict[str, str] = {}
 
-_SPACES = "[ \\t\\r\\f\\v]+"
-
 ORACLES["op8_line_dedup"] = f"""
 WITH cut AS (
-    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
-), lines AS (
-    SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) - 1 AS unit FROM cut
+    SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
+           regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') AS spaces,
+           CASE WHEN regexp_matches(text, '^[\\x20\\x09-\\x0D]') THEN 1 ELSE 0 END AS lead
+    FROM documents
+), normed AS (
+    SELECT *, list_transform(words, lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS norm FROM cut
+), passages AS (
+    SELECT *, list_transform(range(len(words)), lambda i: CASE WHEN i + {line_dedup.WORDS} <= len(words)
+                             THEN md5(array_to_string(norm[i + 1 : i + {line_dedup.WORDS}], ' ')) END) AS passages FROM normed
+), each AS (
+    -- before word k stand k words and k + lead stretches of white space
+    SELECT doc_id, CASE WHEN lead = 1 THEN length(spaces[1]) ELSE 0 END AS indent, unnest(words) AS word,
+           unnest(spaces[1 + lead : len(words) - 1 + lead]) AS space, unnest(passages) AS passage,
+           generate_subscripts(words, 1) - 1 AS k
+    FROM passages
 ), placed AS (
-    SELECT *, trim(regexp_replace(lower(line), '{_SPACES}', ' ', 'g')) AS norm,
-           coalesce(sum(length(line) + 1) OVER (
-               PARTITION BY doc_id ORDER BY unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
-    FROM lines
+    SELECT doc_id, k, passage, length(word) AS size,
+           indent + coalesce(sum(length(word) + coalesce(length(space), 0)) OVER (
+               PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+    FROM each
+), ranked AS (
+    SELECT *, passage IS NOT NULL AND row_number() OVER (PARTITION BY passage ORDER BY doc_id, k) > 1 AS later FROM placed
 ), seen AS (
-    SELECT *, length(norm) - length(replace(norm, ' ', '')) >= {line_dedup.MIN_WORDS - 1}
-              AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, unit) > 1 AS gone
-    FROM placed
+    SELECT *, coalesce(max(CASE WHEN later THEN k END) OVER (
+        PARTITION BY doc_id ORDER BY k ROWS BETWEEN {line_dedup.WORDS - 1} PRECEDING AND CURRENT ROW) IS NOT NULL, false) AS gone
+    FROM ranked
+), spans AS (
+    SELECT doc_id, CAST(min(pos) AS BIGINT) AS a, CAST(max(pos + size) AS BIGINT) AS b
+    FROM (SELECT *, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS run FROM seen WHERE gone) GROUP BY doc_id, run
+), pieces AS (
+    SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM spans
+), joined AS (
+    SELECT doc_id, count(*) AS n_removed, string_agg(a || ':' || b, ' ' ORDER BY a) AS removed_spans, max(b) AS last,
+           string_agg(substr(text, CAST(before + 1 AS BIGINT), CAST(a - before AS BIGINT)), '' ORDER BY a) AS kept
+    FROM pieces JOIN documents USING (doc_id) GROUP BY doc_id
 )
-SELECT doc_id,
-       coalesce(string_agg(line, chr(10) ORDER BY unit) FILTER (NOT gone), '') AS text,
-       CAST(count(*) FILTER (gone) AS INT) AS n_removed,
-       coalesce(string_agg(pos || ':' || (pos + length(line)), ' ' ORDER BY unit) FILTER (gone), '') AS removed_spans
-FROM seen GROUP BY doc_id
+SELECT doc_id, CASE WHEN n_removed IS NULL THEN text ELSE kept || substr(text, last + 1) END AS text,
+       CAST(coalesce(n_removed, 0) AS INT) AS n_removed, coalesce(removed_spans, '') AS removed_spans
+FROM documents LEFT JOIN joined USING (doc_id)
 """
 
 _GRID = ", ".join(
