@@ -19,6 +19,7 @@ from tickloom.llm import (
     simhash,
     token_store,
     toxicity,
+    whitening,
 )
 from tickloom.llm.texts import table
 from tickloom.session import prepare, scratch_path
@@ -112,6 +113,11 @@ def op10_cutting_stock(spark, sf_dir):
     return cutting_stock.pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
+@query
+def op12_whitening(spark, sf_dir):
+    return whitening.components_of_rows(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
 @query
 def op13_conversations(spark, sf_dir):
     return conversations.repaired_after_damage(table(spark, sf_dir, "conversations"))
