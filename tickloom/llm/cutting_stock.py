@@ -43,15 +43,16 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
     schema = pa.schema([(n, pa.int64()) for n in names])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(tokenizer)
+        encoder = Encoder(tokenizer)
         for columns, texts in groups(batches, most=BATCH_CHARS):
             ids, borders = encoder.encode(texts)
-            raw, out = ids.astype("<u4"), []
+            raw, out = ids.astype("<u4", copy=False), []
             for doc_id, begin, end in zip(columns["doc_id"], borders[:-1].tolist(), borders[1:].tolist()):
                 for at in range(begin, end, length):
                     stop = min(end, at + length)
                     out.append((doc_id, at - begin, stop - at, zlib.crc32(raw[at:stop]), end - begin))
             yield rows(schema, *zip(*out))
+            pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text").mapInArrow(cut, ", ".join(f"{n} long" for n in names))
 

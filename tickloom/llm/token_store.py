@@ -92,7 +92,7 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, shards: int | None =
     )
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, number = Encoder.of(tokenizer), None, 0
+        encoder, shard, number = Encoder(tokenizer), None, 0
         doc_ids: list[int] = []
         counts: list[int] = []
         held: list[np.ndarray] = []
@@ -117,6 +117,7 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, shards: int | None =
                 if sum(counts) >= CHUNK_IDS:
                     yield close()
                     number, doc_ids, counts, held = number + 1, [], [], []
+            pa.default_memory_pool().release_unused()
         if doc_ids:
             yield close()
 

@@ -4,7 +4,8 @@ A tokenizer whose pre-tokenizer never joins text across ASCII white space encode
 encodes the text's words one after another. So a batch is split at ASCII white space by Arrow, each
 distinct word goes through the tokenizer once, and the ids are gathered per text. A space is also set
 between an ASCII letter and ASCII punctuation other than the apostrophe, where word_bpe_49k.json
-starts a new word anyway; that makes words fewer. Words met early stay in a store per worker process.
+starts a new word anyway; that makes words fewer. Short words met early stay in a store, which is
+bounded in bytes and lives as long as its task: a worker process keeps the tokenizer alone.
 
 The file's added tokens are found in the text as it stands, before anything is lower-cased, and have an
 id each; texts are cut at them first. In the words between, the same letters in upper case are ordinary text.
@@ -14,15 +15,18 @@ from __future__ import annotations
 
 import os
 import re
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words that a worker process keeps, about 30 bytes each; further words are encoded in every batch.
-KEPT_WORDS = 1_000_000
+#: Bytes that the words kept by a task and their ids may take; further words are encoded in every batch.
+KEPT_BYTES = 8_000_000
+#: Bytes of a word that may be kept.
+KEPT_WORD = 32
 #: Characters that are encoded at once.
-BATCH_CHARS = 6_000_000
+BATCH_CHARS = 1_000_000
 END = 1
 
 # Words that only the merges change: lower case, one code point a letter, nothing to normalise.
@@ -32,34 +36,33 @@ _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_LETTERS = {b: chr(b) for b in _PRINTED}
 _BYTE_LETTERS |= {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _BYTE_LETTERS)}
 
-_encoders: dict[str, Encoder] = {}
+
+@cache
+def _loaded(path: str):
+    """The file's tokenizer, for texts between added tokens: "<|ENDOFTEXT|>" in lower case is none."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
 
 
 class Encoder:
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+    """One per task; the words it keeps go with it."""
 
-        self.tokenizer = Tokenizer.from_file(path)
-        tokens = self.tokenizer.get_added_tokens_decoder()
+    def __init__(self, path: str):
+        self.between = _loaded(path)
+        tokens = self.between.get_added_tokens_decoder()
         if any(not t.special or t.normalized or t.single_word or t.lstrip or t.rstrip for t in tokens.values()):
             raise ValueError(f"{path}: an added token is not plain text")
         self.added = {t.content: k for k, t in tokens.items()}
         # of tokens that begin at the same place the longest is taken
         self.any_added = "(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")"
-        # for lower-cased words without added tokens: "<|ENDOFTEXT|>" is none
-        self.between = Tokenizer.from_file(path)
-        self.between.encode_special_tokens = True
         self.words = pa.array([], pa.large_string())  # kept words; word k has ids[ends[k]:ends[k + 1]]
         self.ids = np.zeros(0, np.uint32)
         self.ends = np.zeros(1, np.int64)
 
-    @staticmethod
-    def of(path: str) -> Encoder:
-        if path not in _encoders:
-            _encoders[path] = Encoder(path)
-        return _encoders[path]
-
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of ids of each). Plain words go to the model itself."""
         merge, whole, plain = self.between.model.tokenize, self.between.encode, _PLAIN.fullmatch
@@ -75,6 +78,20 @@ class Encoder:
             counts.append(len(found))
         return np.array(ids, np.uint32), np.array(counts, np.int64)
 
+    def _keep(self, words: pa.Array, ids: np.ndarray, counts: np.ndarray) -> None:
+        lengths = pc.binary_length(words).to_numpy(zero_copy_only=False)
+        short = np.flatnonzero(lengths <= KEPT_WORD)
+        taken = self.words.nbytes + self.ids.nbytes + self.ends.nbytes
+        # a word costs its bytes, its ids and two offsets
+        room = taken + np.cumsum(lengths[short] + 4 * counts[short] + 16) <= KEPT_BYTES
+        short = short[room]
+        if len(short):
+            stops = np.cumsum(counts)
+            whole = np.concatenate([ids[a:b] for a, b in zip((stops - counts)[short].tolist(), stops[short].tolist())])
+            self.words = pa.concat_arrays([self.words, words.take(pa.array(short))])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts[short])])
+            self.ids = np.concatenate([self.ids, whole])
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id; border of each text in them: len(texts) + 1)."""
         whole = pa.array(texts, pa.large_string())
@@ -109,11 +126,7 @@ class Encoder:
         place[missing] = len(self.words) + np.arange(len(missing))
         starts = np.append(ends[place], len(pool) - 1)
         counts = np.append(ends[place + 1] - ends[place], 1)
-        room = max(0, KEPT_WORDS - len(self.words))
-        if room and len(missing):
-            self.words = pa.concat_arrays([self.words, new_words.slice(0, room)])
-            self.ends = ends[: len(self.words) + 1].copy()
-            self.ids = pool[: self.ends[-1]].copy()
+        self._keep(new_words, new_ids, new_counts)
         borders = split.offsets.to_numpy() - split.offsets[0].as_py()
         indices = words.indices.to_numpy(zero_copy_only=False)
         order = np.insert(indices, borders[1:], len(distinct))
