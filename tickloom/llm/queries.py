@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.llm import (
     conversations,
     cutting_stock,
+    interpolation,
     kneser_ney,
     langid,
     line_dedup,
@@ -113,6 +114,11 @@ def op10_cutting_stock(spark, sf_dir):
     return cutting_stock.pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
+@query
+def op11_deleted_interpolation(spark, sf_dir):
+    return interpolation.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_whitening(spark, sf_dir):
     return whitening.components_of_rows(whitening.whiten(table(spark, sf_dir, "embeddings")))
