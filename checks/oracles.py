@@ -425,7 +425,9 @@ SELECT benchmark AS key, {iso("time")} AS time, * EXCLUDE (time, vwap), {r("vwap
 SELECT DISTINCT ON (time, benchmark) event_id, time, benchmark, price FROM sync
 WHERE time >= TIMESTAMP '2024-01-01 04:00:00' ORDER BY time, benchmark, event_id""",
     "write_partitioned": f"WITH {TICKS} SELECT * FROM ticks WHERE time >= TIMESTAMP '2024-01-08' AND benchmark = 'BRENT'",
-    "compact": f"WITH {TICKS} SELECT * FROM ticks WHERE time < TIMESTAMP '2024-01-24'",
+    "compact": f"WITH {TICKS} SELECT * FROM ticks",
+    "compact_late_rows": f"""WITH {TICKS}
+SELECT *, CASE WHEN time < TIMESTAMP '2024-01-24' AND event_id % 10 > 0 THEN 'cold' ELSE 'hot' END AS stored FROM ticks""",
     "retained_ticks": f"WITH {TICKS} SELECT * FROM ticks WHERE time >= TIMESTAMP '2024-02-10' - INTERVAL 30 DAY",
     "refresh_rollup": _refreshed("hour", "", "2024-01-20 10:30:00", "2024-01-20 10:00:00", "2024-01-20 12:00:00"),
     "refresh_rollup_daily": _refreshed(
@@ -454,7 +456,8 @@ arrived AS (
   FROM dense), {_alerts("arrived", "event_id")} {_ALERT_OUT}""",
     "storage_report": f"""WITH {TICKS}
 SELECT strftime(time, '%Y-%m-%d') AS date, count(*) AS rows_before,
-  count(*) FILTER (time < TIMESTAMP '2024-01-24') AS rows_after, bool_and(time < TIMESTAMP '2024-01-24') AS compacted
+  count(*) FILTER (time < TIMESTAMP '2024-01-24') AS rows_after, bool_and(time < TIMESTAMP '2024-01-24') AS fewer_files,
+  bool_and(time < TIMESTAMP '2024-01-24') AS compacted, bool_and(time >= TIMESTAMP '2024-01-24') AS waiting
 FROM ticks GROUP BY 1""",
 }
 ORACLES["candles_5m_json"] = ORACLES["candles_5m"]
@@ -467,3 +470,14 @@ ORACLES["replay_spread_5m"] = (
 ORACLES["replay_realized_vol"] = (
     f"WITH {DENSE} SELECT * FROM ({ORACLES['realized_vol_1h']}) WHERE window_end <= {_CLOSED}"
 )
+for _name in ("latest_price", "latest_ticks", "latest_candles", "recent_alerts", "alert_history"):
+    ORACLES[f"stored_{_name}"] = ORACLES[_name]
+ORACLES["replay_series_1h"] = ORACLES["live_series_1h"]
+ORACLES["replay_alert_history"] = ORACLES["alert_history"]
+_DENSE_SESSION = _SESSION.replace("FROM ticks", "FROM dense")
+ORACLES["replay_updates"] = f"""WITH {DENSE}, {_DENSE_SESSION}
+SELECT benchmark AS key, benchmark, {r("price", 3)} AS price, {r("nullif(session_vwap, 0)", 3)} AS vwap, {iso("time")} AS ts
+FROM session"""
+ORACLES["replay_vwap"] = f"""WITH {DENSE}, {_DENSE_SESSION}
+SELECT benchmark AS key, benchmark, {r("session_vwap", 4)} AS vwap, {iso("time")} AS time FROM session WHERE session_vwap IS NOT NULL"""
+ORACLES["replay_candles_5m_json"] = ORACLES["replay_candles_5m"]

@@ -16,9 +16,9 @@ from pyspark.sql.types import StructType
 from tickloom.functions.columns import rounded
 from tickloom.operators import alerts, asof, candles, quotes, returns, rollups
 from tickloom.operators.ordered import ARRIVAL_ORDER, with_chunk, with_sequence
-from tickloom.plans import dashboard, live, maintenance, marts, quality, staging
+from tickloom.plans import dashboard, live, maintenance, marts, quality, staging, stored
 from tickloom.schemas import TICK
-from tickloom.session import prepare, scratch_path
+from tickloom.session import lookup, prepare, scratch_path
 from tickloom.sources import decode, replay, streams
 from tickloom.sources.tables import LAYOUTS, read_table, write_batch, write_table
 from tickloom.streaming import processor, windows
@@ -334,6 +334,40 @@ def latest_candles(spark, sf_dir):
     return six(dashboard.latest_candles(candles.candles_1m(replay.ticks_dense(spark, sf_dir))), "vwap")
 
 
+# the newest rows of stored tables
+
+
+def _stored(spark: SparkSession, sf_dir: str, view=replay.ticks) -> stored.StoredTables:
+    root = scratch_path(spark, "lake")
+    maintenance.backfill(view(spark, sf_dir), root)
+    return stored.StoredTables(spark, root)
+
+
+@query
+def stored_latest_price(spark, sf_dir):
+    return _stored(spark, sf_dir).latest_price("WTI")
+
+
+@query
+def stored_latest_ticks(spark, sf_dir):
+    return _stored(spark, sf_dir).latest_ticks()
+
+
+@query
+def stored_latest_candles(spark, sf_dir):
+    return six(_stored(spark, sf_dir, replay.ticks_dense).latest_candles(), "vwap")
+
+
+@query
+def stored_recent_alerts(spark, sf_dir):
+    return _stored(spark, sf_dir).recent_alerts()
+
+
+@query
+def stored_alert_history(spark, sf_dir):
+    return _alert_rows(_stored(spark, sf_dir, replay.ticks_raw_price).alert_history())
+
+
 @query
 def price_history(spark, sf_dir):
     return six(dashboard.price_history(replay.ticks_dense(spark, sf_dir), DENSE_START, DENSE_END), "price")
@@ -460,10 +494,7 @@ def candles_1m_json(spark, sf_dir):
     return six(messages.select("key", F.from_json("value", fields).alias("m")).select("key", "m.*"), "vwap")
 
 
-@query
-def candles_5m_json(spark, sf_dir):
-    rows = candles.candles_5m(replay.ticks_dense(spark, sf_dir))
-    messages = rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"))
+def _five_minute_fields(messages: DataFrame) -> DataFrame:
     fields = (
         "benchmark string, window_start bigint, window_end bigint, open double, high double, low double, "
         "close double, volume double, vwap double, tick_count bigint"
@@ -471,6 +502,11 @@ def candles_5m_json(spark, sf_dir):
     return messages.select(F.from_json("value", fields).alias("m")).select("m.*")
 
 
+@query
+def candles_5m_json(spark, sf_dir):
+    return _five_minute_fields(candles.five_minute_messages(candles.candles_5m(replay.ticks_dense(spark, sf_dir))))
+
+
 # tables and upkeep
 
 
@@ -489,27 +525,50 @@ def write_partitioned(spark, sf_dir):
     return read_table(spark, path, ticks.schema, LAYOUTS["ticks"], start=datetime(2024, 1, 8), benchmark="BRENT")
 
 
-@query
-def compact(spark, sf_dir):
+def _compacted(spark, sf_dir, *parts: str):
+    """Batches of the ticks by the given conditions, and a compaction after each but the last."""
     ticks = replay.ticks(spark, sf_dir)
     hot, cold = scratch_path(spark, "hot"), scratch_path(spark, "cold")
-    write_batch(ticks, hot, 0)
-    maintenance.compact(spark, hot, cold, ticks.schema, AS_OF)
-    return read_table(spark, cold, ticks.schema, LAYOUTS["ticks"])
+    for batch, part in enumerate(parts):
+        write_batch(ticks.where(part), hot, batch)
+        if batch < len(parts) - 1:
+            maintenance.compact(spark, hot, cold, ticks.schema, AS_OF)
+    return hot, cold, ticks.schema
+
+
+@query
+def compact(spark, sf_dir):
+    """All rows, the old ones from one compaction."""
+    hot, cold, schema = _compacted(spark, sf_dir, "event_id >= 0", "event_id < 0")
+    return maintenance.read_hot_and_cold(spark, hot, cold, schema)
+
+
+@query
+def compact_late_rows(spark, sf_dir):
+    """All rows with the place they are read from: late ones of compacted dates wait in the batches."""
+    hot, cold, schema = _compacted(spark, sf_dir, "event_id % 10 > 1", "event_id % 10 = 1", "event_id % 10 = 0")
+    return maintenance.read_hot_and_cold(spark, hot, cold, schema, origin="stored")
 
 
 @query
 def storage_report(spark, sf_dir):
+    """Per date: fewer and smaller files after the compaction, none left in the batches, rows before and after."""
     ticks = replay.ticks(spark, sf_dir)
     hot, cold = scratch_path(spark, "hot"), scratch_path(spark, "cold")
-    write_batch(ticks, hot, 0)
+    for batch in range(4):
+        write_batch(ticks.where(F.col("event_id") % 4 == batch), hot, batch)
+    rows = spark.read.parquet(hot).groupBy(F.col("date").cast("string").alias("date")).agg(F.count("*").alias("rows_before"))
+    before = [lookup(df) for df in (maintenance.storage_report(spark, hot), rows)]
     maintenance.compact(spark, hot, cold, ticks.schema, AS_OF)
-    report = maintenance.compaction_report(spark, hot, cold).select("date", F.col("files_after").isNotNull().alias("compacted"))
-    for side, path in (("before", hot), ("after", cold)):
-        day = F.col("date").cast("string").alias("date")
-        counts = spark.read.parquet(path).groupBy(day).agg(F.count("*").alias(f"rows_{side}"))
-        report = report.join(counts, "date", "left")
-    return report.fillna(0, ["rows_after"])
+    report = maintenance.compaction_report(before[0], maintenance.storage_report(spark, cold))
+    left = maintenance.storage_report(spark, hot).select("date", F.lit(True).alias("waiting"))
+    after = spark.read.parquet(cold).groupBy(F.col("date").cast("string").alias("date")).agg(F.count("*").alias("rows_after"))
+    joined = report.join(before[1], "date").join(after, "date", "left").join(left, "date", "left")
+    return joined.select(
+        "date", "rows_before", F.coalesce("rows_after", F.lit(0)).alias("rows_after"),
+        F.coalesce(F.col("files_after") < F.col("files_before"), F.lit(False)).alias("fewer_files"),
+        F.coalesce(F.col("bytes_after") > 0, F.lit(False)).alias("compacted"), F.coalesce("waiting", F.lit(False)).alias("waiting"),
+    )
 
 
 @query
@@ -565,44 +624,63 @@ def backfill(spark, sf_dir):
 # streams: the events table read as a stream, until it is used up
 
 
-def _tick_stream(spark: SparkSession, sf_dir: str, view=replay.ticks_dense) -> DataFrame:
-    return _zoned(view(spark, sf_dir, streamed=True))
-
-
 def _zoned(ticks: DataFrame) -> DataFrame:
     return ticks.withColumn("time", F.col("time").cast("timestamp"))
 
 
-def _drained(df: DataFrame, label: str) -> DataFrame:
-    """Run a stream of closed windows to its end and read what it wrote."""
-    spark = df.sparkSession
+#: Micro-batches of a replay.
+BATCHES = 4
+
+
+def _in_batches(ticks: DataFrame, run) -> None:
+    """Let `run` use up a stream of the ticks that grows by one of BATCHES parts, by event_id, before each start."""
+    spark = ticks.sparkSession
+    staged, feed = scratch_path(spark, "staged"), scratch_path(spark, "feed")
+    ticks = _zoned(ticks).select(*TICK.names)
+    borders = ticks.approxQuantile("event_id", [i / BATCHES for i in range(1, BATCHES)], 0.01)
+    part = F.lit(0)
+    for border in borders:
+        part = part + (F.col("event_id") >= border).cast("int")
+    ticks.withColumn("part", part).write.partitionBy("part").parquet(staged)
+    parts = spark.read.schema(StructType([*TICK.fields]).add("part", "integer")).parquet(staged)
+    for number in range(BATCHES):
+        parts.where(F.col("part") == number).drop("part").write.mode("append").parquet(feed)
+        run(streams.read_tick_files(spark, feed, files_per_trigger=None))
+
+
+def _drained(ticks: DataFrame, windowed, label: str) -> DataFrame:
+    """Run a stream of closed windows to its end, in batches with a restart after each, and read what it wrote."""
+    spark = ticks.sparkSession
     path, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-checkpoint")
-    sink = df.writeStream.outputMode("append").format("parquet").option("path", path)
-    sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(df.schema).parquet(path)
+    kinds = []
+
+    def run(source: DataFrame) -> None:
+        df = windowed(source)
+        kinds.append(df.schema)
+        sink = df.writeStream.outputMode("append").format("parquet").option("path", path)
+        sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+    _in_batches(ticks, run)
+    return spark.read.schema(kinds[-1]).parquet(path)
 
 
 @query
 def replay_candles_5m(spark, sf_dir):
-    return _drained(windows.candles_5m(_tick_stream(spark, sf_dir)), "candles_5m")
+    return _drained(replay.ticks_dense(spark, sf_dir), windows.candles_5m, "candles_5m")
 
 
 @query
 def replay_spread_5m(spark, sf_dir):
-    rows = _unzoned(_drained(windows.spread_5m(_tick_stream(spark, sf_dir)), "spread_5m"))
+    rows = _unzoned(_drained(replay.ticks_dense(spark, sf_dir), windows.spread_5m, "spread_5m"))
     return six(rows, "wti_brent_spread", "brent_dubai_spread", "wti_dubai_spread")
 
 
 @query
 def replay_realized_vol(spark, sf_dir):
-    rows = spark.read.parquet(f"{_processed(spark, sf_dir)}/realized_vol").drop("batch_id", "date", "time")
+    rows = _drained(replay.ticks_dense(spark, sf_dir), windows.realized_vol, "realized_vol")
     return _unzoned(rows, "window_start", "window_end")
 
 
-#: Micro-batches of a replay.
-BATCHES = 4
-
-
 def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The jittered feed; event_id is the position of arrival."""
     ticks = replay.with_arrival(replay.ticks_dense(spark, sf_dir))
@@ -610,60 +688,77 @@ def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.withColumn("event_id", F.col("seq").cast("long"))
 
 
-def _processed(spark: SparkSession, sf_dir: str, view=replay.ticks_dense) -> str:
-    """What the processor wrote when the ticks came in BATCHES parts, by arrival, with a restart after each."""
-    root, staged, feed, checkpoint = (scratch_path(spark, n) for n in ("processed", "staged", "feed", "processor-checkpoint"))
-    ticks = _zoned(view(spark, sf_dir)).select(*TICK.names)
-    borders = ticks.approxQuantile("event_id", [i / BATCHES for i in range(1, BATCHES)], 0.01)
-    part = F.lit(0)
-    for border in borders:
-        part = part + (F.col("event_id") >= border).cast("int")
-    ticks.withColumn("part", part).write.partitionBy("part").parquet(staged)
-    parts = spark.read.schema(StructType([*TICK.fields]).add("part", "integer")).parquet(staged)
-    for number in range(BATCHES):
-        parts.where(F.col("part") == number).drop("part").write.mode("append").parquet(feed)
-        source = streams.read_tick_files(spark, feed, files_per_trigger=None)
-        processor.TickProcessor(spark, root).start(source, checkpoint, {"availableNow": True}).awaitTermination()
-    return root
+def _processed(spark: SparkSession, sf_dir: str, view=replay.ticks_dense) -> processor.TickProcessor:
+    """The processor after the ticks came in BATCHES parts, by arrival, with a restart after each."""
+    root, checkpoint = scratch_path(spark, "processed"), scratch_path(spark, "processor-checkpoint")
+    run = processor.TickProcessor(spark, root)
+    _in_batches(view(spark, sf_dir), lambda source: run.start(source, checkpoint, {"availableNow": True}).awaitTermination())
+    return run
 
 
 @query
 def replay_ticks(spark, sf_dir):
-    rows = spark.read.parquet(f"{_processed(spark, sf_dir)}/ticks").drop("batch_id", "date")
-    return _unzoned(rows)
+    return _unzoned(_processed(spark, sf_dir).read("ticks"))
 
 
 @query
 def replay_candles_1m(spark, sf_dir):
-    rows = spark.read.parquet(f"{_processed(spark, sf_dir)}/candles_1m").drop("batch_id", "date")
-    return six(_unzoned(rows), "vwap")
+    return six(_unzoned(_processed(spark, sf_dir).read("candles_1m")), "vwap")
 
 
 @query
 def replay_alerts(spark, sf_dir):
-    root = _processed(spark, sf_dir, replay.ticks_raw_price)
-    return _alert_rows(_unzoned(spark.read.parquet(f"{root}/alerts").drop("batch_id", "date")))
+    return _alert_rows(_unzoned(_processed(spark, sf_dir, replay.ticks_raw_price).read("alerts")))
 
 
 @query
 def replay_volatility(spark, sf_dir):
-    rows = spark.read.parquet(f"{_processed(spark, sf_dir)}/volatility")
-    return six(_unzoned(rows), "rolling_std_30").select("time", "benchmark", "rolling_std_30", "rolling_std_1m", "atr_14", "realized_vol")
+    return six(_unzoned(_processed(spark, sf_dir).read("volatility")), "rolling_std_30")
 
 
 @query
 def replay_live_prices(spark, sf_dir):
-    root = _processed(spark, sf_dir)
-    return processor.TickProcessor(spark, root).live(BATCHES - 1).drop("time")
+    return _processed(spark, sf_dir).live().drop("time")
+
+
+@query
+def replay_series_1h(spark, sf_dir):
+    return _unzoned(_processed(spark, sf_dir).series())
+
+
+@query
+def replay_alert_history(spark, sf_dir):
+    return _alert_rows(_unzoned(_processed(spark, sf_dir, replay.ticks_raw_price).alert_history()))
+
+
+@query
+def replay_updates(spark, sf_dir):
+    fields = "benchmark string, price double, vwap double, ts string"
+    sent = _processed(spark, sf_dir).topic(processor.UPDATE_TOPIC)
+    return sent.select("key", F.from_json("value", fields).alias("m")).select("key", "m.*")
+
+
+@query
+def replay_vwap(spark, sf_dir):
+    sent = _processed(spark, sf_dir).topic(processor.VWAP_TOPIC)
+    return sent.select("key", F.from_json("value", "benchmark string, vwap double, time string").alias("m")).select("key", "m.*")
+
+
+@query
+def replay_candles_5m_json(spark, sf_dir):
+    root, checkpoint = scratch_path(spark, "processed"), scratch_path(spark, "five-minute-checkpoint")
+    run = processor.FiveMinutePublisher(spark, root)
+    _in_batches(
+        replay.ticks_dense(spark, sf_dir), lambda source: run.start(source, checkpoint, {"availableNow": True}).awaitTermination()
+    )
+    return _five_minute_fields(run.messages())
 
 
 @query
 def replay_candles_1m_arrival(spark, sf_dir):
-    rows = spark.read.parquet(f"{_processed(spark, sf_dir, _arriving)}/candles_1m").drop("batch_id", "date")
-    return six(_unzoned(rows), "vwap")
+    return six(_unzoned(_processed(spark, sf_dir, _arriving).read("candles_1m")), "vwap")
 
 
 @query
 def replay_alerts_arrival(spark, sf_dir):
-    root = _processed(spark, sf_dir, _arriving)
-    return _alert_rows(_unzoned(spark.read.parquet(f"{root}/alerts").drop("batch_id", "date")))
+    return _alert_rows(_unzoned(_processed(spark, sf_dir, _arriving).read("alerts")))

@@ -1,5 +1,7 @@
 """Streams against the same operators on the whole table, over several micro-batches."""
 
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,6 @@ from tests.conftest import SMALL
 from tickloom.operators import alerts, asof, candles, returns
 from tickloom.plans import live
 from tickloom.sources import decode, replay, streams
-from tickloom.sources.tables import read_version
 from tickloom.streaming import processor, windows
 
 PARTS = 4
@@ -61,6 +62,12 @@ def test_five_minute_spread(spark, ticks, folder, tmp_path):
     assert_same(found, asof.spread_5m(ticks).where(end <= F.lit(newest(ticks))))
 
 
+def test_realized_volatility(spark, ticks, folder, tmp_path):
+    """Two stateful steps in one stream, over four batches."""
+    found = drain(windows.realized_vol(streams.read_tick_files(spark, folder)), f"{tmp_path}/out", f"{tmp_path}/ck")
+    assert_same(found, returns.realized_vol(ticks).where(F.col("window_end") <= F.lit(newest(ticks))))
+
+
 @pytest.fixture(scope="module")
 def processed(spark, folder, tmp_path_factory):
     """The processor stopped after two batches and started again."""
@@ -72,66 +79,102 @@ def processed(spark, folder, tmp_path_factory):
         first.awaitTermination(1)
     first.stop()
     run.start(source, checkpoint, {"availableNow": True}).awaitTermination()
-    return root
+    return run
 
 
 def test_processor_equals_the_table_operators(spark, ticks, processed):
-    read = lambda name: spark.read.parquet(f"{processed}/{name}")
-    assert_same(read("ticks"), ticks)
-    assert_same(read("candles_1m"), candles.candles_1m(ticks), "vwap")
-    assert_same(read("alerts"), alerts.alerts_all(ticks), "delta", "delta_pct")
+    assert processed.committed() >= PARTS - 1
+    assert_same(processed.read("ticks"), ticks)
+    assert_same(processed.read("candles_1m"), candles.candles_1m(ticks), "vwap")
+    assert_same(processed.read("alerts"), alerts.alerts_all(ticks), "delta", "delta_pct")
     sampled = returns.volatility_sampled(ticks).select("time", "benchmark", "rolling_std_30")
-    assert_same(read("volatility").select(*sampled.columns), sampled, "rolling_std_30")
-    closed = returns.realized_vol(ticks).where(F.col("window_end") <= F.lit(newest(ticks)))
-    assert_same(read("realized_vol"), closed)
+    assert_same(processed.read("volatility").select(*sampled.columns), sampled, "rolling_std_30")
 
 
 def test_processor_live_views(spark, ticks, processed):
-    run = processor.TickProcessor(spark, processed)
-    assert_same(run.live(PARTS - 1).drop("time"), live.live_prices(ticks))
-    series = read_version(spark, f"{processed}/state/series", PARTS - 1, processor._SERIES)
-    assert_same(series, live.live_series(ticks))
-    history = read_version(spark, f"{processed}/state/alert_history", PARTS - 1, processor._ALERTS)
-    assert_same(history, alerts.newest_alerts(alerts.alerts_all(ticks), 100), "delta", "delta_pct")
-
-
-def test_processor_topics(spark, ticks, processed):
-    sent = spark.read.json(f"{processed}/topics/{processor.ALERT_TOPIC}").select("key", "value")
-    assert_same(sent, alerts.alert_messages(alerts.alerts_all(ticks)))
-    assert spark.read.json(f"{processed}/topics/{processor.CANDLE_TOPIC}").count() == candles.candles_1m(ticks).count()
+    assert_same(processed.live().drop("time"), live.live_prices(ticks))
+    assert_same(processed.series(), live.live_series(ticks))
+    assert_same(processed.alert_history(), alerts.newest_alerts(alerts.alerts_all(ticks), 100), "delta", "delta_pct")
+    late = ticks.agg(F.max("time")).first()[0]
+    assert processed.live(late + timedelta(seconds=1)).count() == live.live_prices(ticks, late + timedelta(seconds=1)).count() > 0
+    assert processed.live(late + timedelta(days=1)).count() == 0
 
 
-def test_a_repeated_batch_replaces_its_output(spark, ticks, processed):
-    before = {n: spark.read.parquet(f"{processed}/{n}").count() for n in ("ticks", "alerts", "candles_1m", "volatility")}
-    size = ticks.count() // PARTS
-    last = ticks.where(F.col("event_id") >= (PARTS - 1) * size)
-    processor.TickProcessor(spark, processed).run_batch(last, PARTS - 1)
-    assert {n: spark.read.parquet(f"{processed}/{n}").count() for n in before} == before
+def test_the_rolling_hour_is_dropped_in_whole_stretches(spark, ticks, processed):
+    # each benchmark's hour counts from its own newest tick
+    late = ticks.groupBy("benchmark").agg(F.max("time").alias("time")).agg(F.min("time")).first()[0]
+    stored = spark.read.parquet(f"{processed.root}/series")
+    before, files = stored.count(), set(stored.inputFiles())
+    processed.expire_series(late)
+    left = spark.read.parquet(f"{processed.root}/series")
+    assert left.count() < before and set(left.inputFiles()) < files
+    assert_same(processed.series(), live.live_series(ticks))
 
 
-@pytest.mark.parametrize("borders", [[2], [], [1, 2, 3], [3]])
+def test_processor_topics(spark, ticks, processed):
+    assert_same(processed.topic(processor.ALERT_TOPIC), alerts.alert_messages(alerts.alerts_all(ticks)))
+    assert processed.topic(processor.CANDLE_TOPIC).count() == candles.candles_1m(ticks).count()
+    assert processed.topic(processor.UPDATE_TOPIC).count() == ticks.count()
+
+
+def streamed(spark, full, borders, rows, path):
+    """The processor after batches that end at the given event ids, with a restart after each."""
+    run = processor.TickProcessor(spark, f"{path}/out")
+    for low, high in zip([0, *borders], [*borders, rows]):
+        part = full.where(f"event_id >= {low} and event_id < {high}")
+        part.coalesce(1).write.mode("append").parquet(f"{path}/in")
+        source = streams.read_tick_files(spark, f"{path}/in", files_per_trigger=None)
+        run.start(source, f"{path}/ck", {"availableNow": True}).awaitTermination()
+    return run
+
+
+def stream_ticks(rows):
+    return rows.selectExpr("*", "1D bid", "2D ask", "'s' source").withColumn("time", F.col("time").cast("timestamp"))
+
+
+def test_a_failed_batch_leaves_nothing_visible(spark, make_ticks, tmp_path, monkeypatch):
+    """The second batch fails after some of its outputs are written; it is run again and counts once."""
+    rows = [(30 * i, ("WTI", "BRENT")[i % 3 == 1], 80 + (i * 7) % 5 * 1.5) for i in range(24)]
+    full = stream_ticks(make_ticks(rows))
+    run = streamed(spark, full, [], 12, tmp_path)
+    before = {n: run.read(n).collect() for n in ("ticks", "alerts", "candles_1m", "volatility")}
+    right = processor.TickProcessor.write_alerts
+
+    def broken(self, *args):
+        right(self, *args)
+        raise OSError("lost")
+
+    full.where("event_id >= 12").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    source = streams.read_tick_files(spark, f"{tmp_path}/in", files_per_trigger=None)
+    monkeypatch.setattr(processor.TickProcessor, "write_alerts", broken)
+    with pytest.raises(Exception, match="lost"):
+        run.start(source, f"{tmp_path}/ck", {"availableNow": True}).awaitTermination()
+    written = spark.read.parquet(f"{run.root}/alerts").count()
+    assert written > len(before["alerts"])  # the failed batch did write
+    assert {n: run.read(n).collect() for n in before} == before
+    monkeypatch.setattr(processor.TickProcessor, "write_alerts", right)
+    run.start(source, f"{tmp_path}/ck", {"availableNow": True}).awaitTermination()
+    assert_same(run.read("ticks").select("event_id"), full.select("event_id"))
+    assert_same(run.read("alerts"), alerts.alerts_all(full, ("event_id",)), "delta", "delta_pct")
+
+
+@pytest.mark.parametrize("borders", [[2], [], [1, 2, 3]])
 def test_late_tick_folds_into_the_open_candle(spark, make_ticks, tmp_path, borders):
     """A tick from before the open candle, wherever the batches end."""
-    run = processor.TickProcessor(spark, str(tmp_path))
     rows = make_ticks([(5, "WTI", 80), (65, "WTI", 81), (30, "WTI", 90), (130, "WTI", 82)])
-    full = rows.selectExpr("*", "1D bid", "2D ask", "'s' source").withColumn("time", F.col("time").cast("timestamp"))
-    for batch, (low, high) in enumerate(zip([0, *borders], [*borders, 4])):
-        run.run_batch(full.where(f"event_id >= {low} and event_id < {high}"), batch)
-    found = spark.read.parquet(f"{tmp_path}/candles_1m").orderBy("time").collect()
+    run = streamed(spark, stream_ticks(rows), borders, 4, tmp_path)
+    found = run.read("candles_1m").orderBy("time").collect()
     assert [(r["open"], r["high"], r["close"], r["tick_count"]) for r in found] == [(80.0, 80.0, 80.0, 1), (81.0, 90.0, 90.0, 2)]
 
 
-@pytest.mark.parametrize("borders", [[7], [], [2, 3, 11]])
+@pytest.mark.parametrize("borders", [[7], [2, 3, 11]])
 def test_alerts_do_not_depend_on_where_batches_end(spark, make_ticks, tmp_path, borders):
     """Late ticks, as they arrive, against the table operators in the order of arrival."""
     rows = make_ticks([(60 * i - 200 * (i % 3 == 2), ("WTI", "BRENT")[i % 4 == 1], 80 + (i * 7) % 5 * 1.5) for i in range(16)])
-    full = rows.selectExpr("*", "1D bid", "2D ask", "'s' source").withColumn("time", F.col("time").cast("timestamp"))
-    run = processor.TickProcessor(spark, str(tmp_path))
-    for batch, (low, high) in enumerate(zip([0, *borders], [*borders, 16])):
-        run.run_batch(full.where(f"event_id >= {low} and event_id < {high}"), batch)
-    found = spark.read.parquet(f"{tmp_path}/alerts")
-    assert_same(found, alerts.alerts_all(full, ("event_id",)), "delta", "delta_pct")
-    assert_same(run.live(len(borders)).drop("time"), live.live_prices(full, order_by=("event_id",)))
+    full = stream_ticks(rows)
+    run = streamed(spark, full, borders, 16, tmp_path)
+    assert_same(run.read("alerts"), alerts.alerts_all(full, ("event_id",)), "delta", "delta_pct")
+    assert_same(run.live().drop("time"), live.live_prices(full, order_by=("event_id",)))
 
 
 def test_windows_drop_what_the_watermark_passed(spark, make_ticks, tmp_path):

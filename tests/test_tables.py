@@ -9,9 +9,17 @@ from checks.queries import QUERIES
 from tests.conftest import SMALL, START
 from tickloom.functions.columns import order_key
 from tickloom.operators import alerts, asof, candles, returns, rollups
-from tickloom.plans import live, maintenance, staging
+from tickloom.plans import live, maintenance, staging, stored
 from tickloom.sources import decode, replay
-from tickloom.sources.tables import LAYOUTS, read_table, write_batch, write_table
+from tickloom.sources.tables import (
+    LAYOUTS,
+    commit_batch,
+    last_commit,
+    read_batches,
+    read_table,
+    write_batch,
+    write_table,
+)
 
 
 def plan(df) -> str:
@@ -75,31 +83,78 @@ def test_overwrite_replaces_only_its_partitions(spark, tmp_path):
     assert kept.count() == ticks.count()
 
 
+def same_rows(a, b):
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
 def test_compaction_keeps_rows_in_fewer_files(spark, tmp_path):
     ticks = replay.ticks(spark, SMALL)
     hot, cold = f"{tmp_path}/hot", f"{tmp_path}/cold"
     for batch in range(4):
         write_batch(ticks.where(F.col("event_id") % 4 == batch), hot, batch)
+    before = maintenance.storage_report(spark, hot).collect()
     as_of = datetime(2024, 1, 20)
-    maintenance.compact(spark, hot, cold, ticks.schema, as_of - timedelta(days=3))
-    maintenance.compact(spark, hot, cold, ticks.schema, as_of, since=as_of - timedelta(days=3), after_batch=3)
-    found = read_table(spark, cold, ticks.schema, LAYOUTS["ticks"])
+    first = maintenance.compact(spark, hot, cold, ticks.schema, as_of - timedelta(days=3))
+    assert first < maintenance.compact(spark, hot, cold, ticks.schema, as_of)
+    assert maintenance.compact(spark, hot, cold, ticks.schema, as_of) is None
+    found = spark.read.parquet(cold).select(*ticks.columns)
     want = ticks.where(F.col("time") < F.lit("2024-01-13").cast("timestamp_ntz"))
-    assert found.exceptAll(want).count() == 0 and want.exceptAll(found).count() == 0
-    report = maintenance.compaction_report(spark, hot, cold).where("files_after is not null")
-    assert report.where("files_after < files_before").count() == report.count() == 12
+    assert same_rows(found, want)
+    left = {r["date"]: r["files"] for r in maintenance.storage_report(spark, hot).collect()}
+    after = {r["date"]: r["files"] for r in maintenance.storage_report(spark, cold).collect()}
+    # what was taken is gone from the batches
+    assert len(after) == 12 and not set(after) & set(left)
+    assert all(after[r["date"]] < r["files"] for r in before if r["date"] in after)
 
 
-def test_compaction_takes_late_rows_along(spark, tmp_path):
+def test_reader_has_all_rows_at_any_time(spark, tmp_path):
+    """Late rows of compacted dates, before and after they are compacted, and a run that failed half-way."""
     ticks = replay.ticks(spark, SMALL)
     hot, cold = f"{tmp_path}/hot", f"{tmp_path}/cold"
     as_of = datetime(2024, 1, 20)
-    write_batch(ticks.where("event_id % 4 > 0"), hot, 0)
+    read = lambda **k: maintenance.read_hot_and_cold(spark, hot, cold, ticks.schema, **k)
+    write_batch(ticks.where("event_id % 10 > 0"), hot, 0)
+    assert same_rows(read(), ticks.where("event_id % 10 > 0"))
     maintenance.compact(spark, hot, cold, ticks.schema, as_of)
-    write_batch(ticks.where("event_id % 4 = 0"), hot, 1)
-    maintenance.compact(spark, hot, cold, ticks.schema, as_of, since=as_of, after_batch=0)
-    found = maintenance.read_hot_and_cold(spark, hot, cold, ticks.schema, as_of)
-    assert found.exceptAll(ticks).count() == 0 and ticks.exceptAll(found).count() == 0
+    write_batch(ticks.where("event_id % 10 = 0 and event_id % 20 > 0"), hot, 1)
+    write_batch(ticks.where("event_id % 20 = 0"), hot, 2)
+    assert same_rows(read(), ticks)
+    assert same_rows(read(until=1), ticks.where("event_id % 20 > 0"))
+    # rows of a run that never came to its ledger entry
+    stray = ticks.limit(50).withColumns({"date": F.to_date("time"), "space": F.lit(0), "run": F.lit(5).cast("long")})
+    stray.write.mode("append").partitionBy("date", "space", "run").parquet(cold)
+    assert same_rows(read(), ticks)
+    assert maintenance.compact(spark, hot, cold, ticks.schema, as_of, until=1)
+    assert same_rows(read(), ticks)
+    assert maintenance.compact(spark, hot, cold, ticks.schema, as_of)
+    assert same_rows(read(), ticks)
+    dates = spark.read.parquet(hot).agg(F.min("date")).first()[0]
+    assert str(dates) == "2024-01-13"
+
+
+def test_batches_count_when_they_are_committed(spark, tmp_path):
+    ticks, root = replay.ticks(spark, SMALL), str(tmp_path)
+    assert last_commit(spark, root) == (-1, 0)
+    for batch in range(7):
+        write_batch(ticks.where(F.col("event_id") % 7 == batch), f"{root}/ticks", batch)
+        if batch < 6:
+            commit_batch(spark, root, batch, 100 * batch)
+    assert last_commit(spark, root) == (5, 500) and last_commit(spark, root, before=5) == (4, 400)
+    read = lambda **k: read_batches(spark, f"{root}/ticks", ticks.schema, last_commit(spark, root)[0], **k)
+    assert same_rows(read().drop("date", "batch_id"), ticks.where("event_id % 7 < 6"))
+    shown = plan(read(start=datetime(2024, 1, 8), end=datetime(2024, 1, 9)))
+    assert "PartitionFilters: [isnotnull(batch_id" in shown and "date#" in shown.split("PartitionFilters")[1][:300]
+
+
+def test_newest_rows_read_the_newest_dates_only(spark, make_ticks, tmp_path):
+    days = [(86_400 * d + 60 * k, "WTI", 80 + d + k) for d in range(9) for k in range(1 if d > 6 else 5)]
+    write_table(make_ticks(days), f"{tmp_path}/ticks", LAYOUTS["ticks"], "overwrite")
+    tables = stored.StoredTables(spark, str(tmp_path))
+    for count, dates in ((1, 1), (2, 2), (7, 4), (8, 4), (40, 9)):
+        found = tables.latest_ticks(count)
+        want = sorted(days, reverse=True)[:count]
+        assert [r["price"] for r in found.collect()] == [float(r[2]) for r in want]
+        assert f">= {START.date() + timedelta(days=9 - dates)}" in plan(found).split("PartitionFilters")[1]
 
 
 def test_retention_keeps_weeks_that_reach_into_the_retained_days(spark, tmp_path):

@@ -102,6 +102,11 @@ def candles_5m(ticks: DataFrame, interval: str = "5 minutes") -> DataFrame:
     )
 
 
+def five_minute_messages(candles: DataFrame) -> DataFrame:
+    """Five-minute candles as JSON messages without a key."""
+    return candles.select(F.to_json(F.struct(*candles.columns), {"ignoreNullFields": "false"}).alias("value"))
+
+
 def candlestick(ticks: DataFrame, interval: str = "1 minute") -> DataFrame:
     """Open, high, low and close per event-time interval and benchmark; the last bucket is kept."""
     rows = ticks.groupBy(F.window("time", interval), "benchmark").agg(*ohlc())

@@ -1,109 +1,56 @@
 """Ordered scans for few keys with long histories.
 
 `Window.partitionBy("benchmark")` puts a whole history into one task, and one benchmark may
-hold a third of all rows. Here the order itself is cut into chunks of about equal row count:
+hold a third of all rows. Here the order itself is cut into chunks of a fixed number of rows:
 
-* `with_chunk` cuts the total order into chunks that keep the order;
+* `with_chunk` sorts the rows by ranges, numbers them and writes them once; a chunk is a stretch of
+  those numbers, so no border is kept anywhere, on the driver or in the plan;
 * `with_halo` gives each (key, chunk) the last rows before it, for lag and row frames;
 * `running` gives each (key, chunk) the totals before it, for running sums, maxima and last values.
 
-An ordinary window over (key, chunk) does the rest, so no task holds more than one chunk's rows
-and the full data is shuffled once. Only per-chunk summaries cross chunk borders.
+An ordinary window over (key, chunk) does the rest, so no task holds more than one chunk's rows.
+What crosses chunk borders is scanned on two levels: chunks inside blocks of 1,024, then blocks, whose
+totals are added back. A task sees a block's chunks of a key, or a key's blocks, never all its chunks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from tickloom.functions.columns import micros, order_key
+from tickloom.functions.columns import order_key
+from tickloom.session import scratch_path
 
 CHUNK = "chunk"
 HALO = "halo"
 EVENT_ORDER = ("time", "event_id")
 ARRIVAL_ORDER = ("arrival_us", "event_id")
-CHUNK_ROWS = 250_000
-MIN_CHUNK_ROWS = 4_096
-SAMPLE_PER_CHUNK = 64
+#: Rows of a chunk, a power of two.
+CHUNK_ROWS = 1 << 18
+#: Chunk numbers that share a block: 2 to this power.
+BLOCK_BITS = 10
 HISTORY_CHUNK = -1
+_BLOCK = "_block"
 
 
-@dataclass(frozen=True)
-class Cuts:
-    """Chunk borders: on the first order column and, inside its crowded values, on the second."""
+def with_chunk(df: DataFrame, order_by: Sequence[str] = EVENT_ORDER, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """`df`, written once in order, with column `chunk`; a later chunk holds only later rows of the order.
 
-    first: list[float]
-    crowded: list[float]
-    second: list[float]
-
-
-def _position(df: DataFrame, column: str) -> Column:
-    """The order column as a double; microseconds stay exact until the year 2255."""
-    timed = isinstance(df.schema[column].dataType, (TimestampType, TimestampNTZType))
-    return (micros(column) if timed else F.col(column)).cast("double")
-
-
-def _quantiles(df: DataFrame, position: Column, parts: int, rows: int) -> list[float]:
-    """At most `parts` - 1 borders, read off a sample of bounded size that is spread over all tasks.
-
-    The sample only places the borders; every row is then put between them.
-    """
-    points = df.select(position.alias("at"))
-    wanted = parts * SAMPLE_PER_CHUNK
-    if rows > 2 * wanted:
-        points = points.sample(wanted / rows, seed=1)
-    return points.approxQuantile("at", [i / parts for i in range(1, parts)], 0.25 / parts)
-
-
-def chunk_cuts(df: DataFrame, order_by: Sequence[str] = EVENT_ORDER, chunks: int | None = None) -> Cuts:
-    """Borders that split `df` into about `chunks` parts of equal row count.
-
-    A border that shows up twice is a value with more rows than a whole chunk (many ticks in one
-    microsecond). Such values get chunks of their own, split further on the second order column.
-    The borders only balance the work; any borders give the same result.
+    Spark deals the rows to ranges of the whole order, so a crowded moment is split like any other; a
+    range begins a chunk. Rows without a position come first. The table stays in the shared scratch
+    folder, so all that reads it sees the same chunks, also after a lost executor.
     """
-    rows = df.count()
-    if chunks is None:
-        # chunks hold CHUNK_ROWS at most, however many rows there are; fewer if that keeps all tasks busy
-        spread = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        chunks = max(rows // CHUNK_ROWS, min(spread, rows // MIN_CHUNK_ROWS)) + 1
-    if chunks < 2:
-        return Cuts([], [], [])
-    first = _position(df, order_by[0])
-    borders = _quantiles(df, first, chunks, rows)
-    crowded = sorted({a for a, b in zip(borders, borders[1:]) if a == b})
-    second = []
-    if crowded and len(order_by) > 1:
-        tied = df.where(first.isin(crowded))
-        second = sorted(set(_quantiles(tied, _position(df, order_by[1]), chunks, rows)))
-    cuts = sorted(set(borders) | set(crowded) | {value + 1 for value in crowded})
-    return Cuts(cuts, crowded, second)
-
-
-def _bucketed(df: DataFrame, source: str, borders: list[float], name: str) -> DataFrame:
-    # one border at least: a constant chunk would be folded away, and the joins on it with it
-    splits = [float("-inf"), *(borders or [0.0]), float("inf")]
-    return Bucketizer(splits=splits, inputCol=source, outputCol=name).transform(df)
-
-
-def with_chunk(
-    df: DataFrame, order_by: Sequence[str] = EVENT_ORDER, cuts: Cuts | None = None, chunks: int | None = None
-) -> DataFrame:
-    """Add column `chunk`; a later chunk holds only later rows of the order."""
-    cuts = cuts or chunk_cuts(df, order_by, chunks)
-    out = _bucketed(df.withColumn("_at", _position(df, order_by[0])), "_at", cuts.first, "_part")
-    part = F.col("_part").cast("long")
-    if cuts.second:
-        out = _bucketed(out.withColumn("_at2", _position(df, order_by[1])), "_at2", cuts.second, "_part2")
-        inner = F.when(F.col("_at").isin(cuts.crowded), F.col("_part2").cast("long")).otherwise(0)
-        part = part * (len(cuts.second) + 1) + inner
-    # rows without a position sort first, so they belong to the first chunk
-    return out.withColumn(CHUNK, F.coalesce(part, F.lit(0))).drop("_at", "_part", "_at2", "_part2")
+    spark = df.sparkSession
+    if chunk_rows & (chunk_rows - 1):
+        raise ValueError("a chunk has a power of two rows")
+    # a row's number: its task in the high bits, its place there in the low 33
+    placed = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).withColumn(CHUNK, F.monotonically_increasing_id())
+    path = scratch_path(spark, "ordered")
+    placed.write.parquet(path)
+    stored = spark.read.schema(placed.schema).parquet(path)
+    return stored.withColumn(CHUNK, F.shiftright(CHUNK, chunk_rows.bit_length() - 1))
 
 
 def scan(by: Sequence[str], order_by: Sequence[str] = EVENT_ORDER, reverse: bool = False) -> WindowSpec:
@@ -137,16 +84,42 @@ def with_halo(
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_list(F.struct(F.negative("_rank").alias("_rank"), *inner))).alias("_edge"))
     )
-    along = F.col(CHUNK).desc() if reverse else F.col(CHUNK).asc()
-    before = Window.partitionBy(*by).orderBy(along).rowsBetween(-rows, -1)
-    halo = (
-        edges.withColumn("_seen", F.flatten(F.collect_list("_edge").over(before)))
-        .withColumn("_row", F.explode(F.expr(f"slice(_seen, greatest(size(_seen) - {rows - 1}, 1), {rows})")))
-        .select(*keys, *[F.col("_row")[c].alias(c) for c in inner])
-    )
+    seen = _edges_before(edges, by, rows, reverse)
+    halo = seen.withColumn("_row", F.explode("_seen")).select(*keys, *[F.col("_row")[c].alias(c) for c in inner])
     return df.withColumn(HALO, F.lit(False)).unionByName(halo.withColumn(HALO, F.lit(True)), allowMissingColumns=True)
 
 
+def _last(rows: Column, count: int) -> Column:
+    """The last `count` elements of an array."""
+    return F.slice(rows, F.greatest(F.size(rows) - (count - 1), F.lit(1)), count)
+
+
+def _edges_before(edges: DataFrame, by: Sequence[str], rows: int, reverse: bool) -> DataFrame:
+    """by, chunk, `_seen`: the last `rows` rows of all edges before each chunk, found per block and over blocks."""
+
+    def signed(column: str | Column) -> Column:
+        return F.negative(column) if reverse else F.col(column) if isinstance(column, str) else column
+
+    def flat(part: Column) -> Column:
+        return F.flatten(F.transform(part, lambda e: e["_edge"]))
+
+    # a block's edges are one row: 1,024 of them at most, of `rows` rows each
+    ends = F.sort_array(F.collect_list(F.struct(signed(CHUNK).alias("at"), "_edge")))
+    blocks = edges.groupBy(*by, F.shiftright(CHUNK, BLOCK_BITS).alias(_BLOCK)).agg(ends.alias("_ends"))
+    # an edge has a row at least, so `rows` edges, or blocks, before are enough
+    before = Window.partitionBy(*by).orderBy(signed(_BLOCK)).rowsBetween(-rows, -1)
+    carried = blocks.withColumn("_end", _last(flat(_last(F.col("_ends"), rows)), rows)).withColumn(
+        "_carry", _last(F.flatten(F.collect_list("_end").over(before)), rows)
+    )
+
+    def seen(e: Column, i: Column) -> Column:
+        own = F.slice("_ends", F.greatest(i - (rows - 1), F.lit(1)), F.least(i, F.lit(rows)))
+        return F.struct(e["at"].alias("at"), _last(F.concat("_carry", flat(own)), rows).alias("seen"))
+
+    each = carried.select(*by, F.explode(F.transform("_ends", seen)).alias("_e"))
+    return each.select(*by, signed(F.col("_e.at")).alias(CHUNK), F.col("_e.seen").alias("_seen"))
+
+
 def running(
     df: DataFrame,
     by: Sequence[str],
@@ -171,13 +144,7 @@ def running(
     summary = (df if summarize is None else summarize).groupBy(*keys).agg(*totals)
     if initial is not None:
         summary = summary.unionByName(initial.withColumn(CHUNK, F.lit(HISTORY_CHUNK).cast("long")))
-    before = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(
-        *keys,
-        *[F.sum(n).over(before).alias(f"_{n}") for n in sums],
-        *[F.max(n).over(before).alias(f"_{n}") for n in maxes],
-        *[F.last(n, ignorenulls=True).over(before).alias(f"_{n}") for n in lasts],
-    )
+    carry = _totals_before(summary, by, sums, maxes, lasts)
     here = scan(by, order_by).rowsBetween(Window.unboundedPreceding, 0)
     joined = df.join(carry.hint("shuffle_hash"), keys)
     zero = F.lit(0.0)
@@ -190,14 +157,41 @@ def running(
     ).drop(*[f"_{n}" for n in [*sums, *maxes, *lasts]])
 
 
+def _totals_before(summary: DataFrame, by: Sequence[str], sums=(), maxes=(), lasts=()) -> DataFrame:
+    """Per (key, chunk) and column n of the summary, `_n`: what all chunks before have, per block and over blocks."""
+    blocked = summary.withColumn(_BLOCK, F.shiftright(CHUNK, BLOCK_BITS))
+    blocks = blocked.groupBy(*by, _BLOCK).agg(
+        *[F.sum(n).alias(n) for n in sums],
+        *[F.max(n).alias(n) for n in maxes],
+        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col(CHUNK))).alias(n) for n in lasts],
+    )
+
+    def before(keys: list[str], order: str, name: str) -> list[Column]:
+        spec = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return [
+            *[F.sum(n).over(spec).alias(f"{name}{n}") for n in sums],
+            *[F.max(n).over(spec).alias(f"{name}{n}") for n in maxes],
+            *[F.last(n, ignorenulls=True).over(spec).alias(f"{name}{n}") for n in lasts],
+        ]
+
+    inside = blocked.select(*by, CHUNK, _BLOCK, *before([*by, _BLOCK], CHUNK, "_in_"))
+    outside = blocks.select(*by, _BLOCK, *before([*by], _BLOCK, "_out_"))
+    own, other = lambda n: F.col(f"_in_{n}"), lambda n: F.col(f"_out_{n}")
+    return inside.join(outside, [*by, _BLOCK]).select(
+        *by,
+        CHUNK,
+        *[F.coalesce(own(n) + other(n), own(n), other(n)).alias(f"_{n}") for n in sums],
+        *[F.greatest(own(n), other(n)).alias(f"_{n}") for n in maxes],
+        *[F.coalesce(own(n), other(n)).alias(f"_{n}") for n in lasts],
+    )
+
+
 def with_sequence(
     df: DataFrame, order_by: Sequence[str] = EVENT_ORDER, name: str = "seq", summarize: DataFrame | None = None
 ) -> DataFrame:
     """Number all rows of a chunked frame from 0 along the order, across keys."""
-    before = Window.partitionBy().orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per chunk
-    counted = df if summarize is None else summarize
-    carry = counted.groupBy(CHUNK).agg(F.count("*").alias("_n")).select(CHUNK, F.sum("_n").over(before).alias("_before"))
+    counted = (df if summarize is None else summarize).groupBy(CHUNK).agg(F.count("*").alias("rows"))
+    carry = _totals_before(counted, [], ["rows"])
     numbered = df.join(carry.hint("shuffle_hash"), CHUNK)
     position = F.row_number().over(scan([], order_by)) - 1
-    return numbered.withColumn(name, F.coalesce("_before", F.lit(0)) + position).drop("_before")
+    return numbered.withColumn(name, F.coalesce("_rows", F.lit(0)) + position).drop("_rows")

@@ -30,11 +30,28 @@ def simple_return(price: Column, previous: Column) -> Column:
     return F.try_divide(price - previous, previous)
 
 
-def deviation(n: Column, total: Column, squares: Column) -> Column:
-    """Population deviation from count, sum and sum of squares; null for no values."""
-    count = present(n)
-    variance = squares / count - (total / count) * (total / count)
-    return F.when(n == 1, F.lit(0.0)).otherwise(F.sqrt(F.greatest(variance, F.when(n > 0, F.lit(0.0)))))
+def moments(value: str) -> list[Column]:
+    """Count, mean and sum of squared distances from it: parts that merge without large sums."""
+    return [
+        F.count(value).alias("n"),
+        F.coalesce(F.avg(value), F.lit(0.0)).alias("mean"),
+        F.coalesce(F.var_pop(value) * F.count(value), F.lit(0.0)).alias("m2"),
+    ]
+
+
+def merged_deviation(parts: Column) -> Column:
+    """Population deviation of an array of such parts; null for no values.
+
+    The common mean comes first and distances are taken from it, so nearly equal values far from zero
+    keep their digits.
+    """
+    zero = F.lit(0.0)
+    n = F.aggregate(parts, zero, lambda acc, p: acc + p["n"])
+    # an offset of the first part's mean leaves the sum small
+    first = F.coalesce(F.try_element_at(parts, F.lit(1))["mean"], zero)
+    mean = first + F.try_divide(F.aggregate(parts, zero, lambda acc, p: acc + p["n"] * (p["mean"] - first)), n)
+    m2 = F.aggregate(parts, zero, lambda acc, p: acc + p["m2"] + p["n"] * (p["mean"] - mean) * (p["mean"] - mean))
+    return F.sqrt(F.try_divide(m2, n))
 
 
 def with_previous(chunked: DataFrame, order_by: Sequence[str] = EVENT_ORDER, columns=("price",)) -> DataFrame:
@@ -107,29 +124,30 @@ def rolling_std_1m(ticks: DataFrame) -> DataFrame:
     Seconds are summed first, so a crowded second costs one row in the frame. Each hour also gets
     the last minute of the hour before it; a frame then never leaves its hour.
     """
-    moved = with_previous(with_chunk(ticks))
+    moved = with_previous(with_chunk(ticks.select(*EVENT_ORDER, *KEY, "price")))
     seconds = (
         moved.withColumn("_ret", simple_return(F.col("price"), F.col("prev_price")))
         .groupBy("benchmark", F.floor(micros("time") / 1_000_000).alias("second"))
-        .agg(F.count("_ret").alias("n"), F.sum("_ret").alias("s"), F.sum(F.col("_ret") * F.col("_ret")).alias("ss"))
+        .agg(*moments("_ret"))
     )
     hour = F.floor(F.col("second") / 3600)
     late = F.when(F.col("second") % 3600 > 3540, F.array(hour, hour + 1)).otherwise(F.array(hour))
     frame = Window.partitionBy("benchmark", "_hour").orderBy("second").rangeBetween(-59, 0)
-    n, s, ss = (F.sum(c).over(frame) for c in ("n", "s", "ss"))
-    framed = seconds.withColumn("_hour", F.explode(late)).select("*", n.alias("_n"), s.alias("_s"), ss.alias("_ss"))
+    # at most 60 parts
+    parts = F.collect_list(F.when(F.col("n") > 0, F.struct("n", "mean", "m2"))).over(frame)
+    framed = seconds.withColumn("_hour", F.explode(late)).withColumn("_parts", parts)
     return framed.where(F.col("_hour") == hour).select(
         F.timestamp_seconds("second").cast(ticks.schema["time"].dataType).alias("time"),
         "benchmark",
-        deviation(F.col("_n"), F.col("_s"), F.col("_ss")).alias("rolling_std_1m"),
+        merged_deviation(F.col("_parts")).alias("rolling_std_1m"),
     )
 
 
 def pane_statistics(moved: DataFrame) -> DataFrame:
-    """Sums of returns per five-minute pane and pane of the tick before.
+    """Moments of returns per five-minute pane and pane of the tick before.
 
     A return counts in the windows that hold both of its ticks. Windows start on pane borders, so
-    the two panes decide that, and the sums of single ticks can be merged in any order.
+    the two panes decide that, and the moments can be merged in any order.
     """
     change = simple_return(F.col("price"), F.col("prev_price"))
     kind = moved.schema["time"].dataType
@@ -139,22 +157,17 @@ def pane_statistics(moved: DataFrame) -> DataFrame:
         start_of("prev_time", PANE_SECONDS).cast(kind).alias("prev_pane"),
         change.alias("_ret"),
     )
-    return paned.groupBy("benchmark", "pane", "prev_pane").agg(
-        F.count("*").alias("ticks"),
-        F.count("_ret").alias("n"),
-        F.sum("_ret").alias("s"),
-        F.sum(F.col("_ret") * F.col("_ret")).alias("ss"),
-    )
+    return paned.groupBy("benchmark", "pane", "prev_pane").agg(F.count("*").alias("ticks"), *moments("_ret"))
 
 
 def realized_from_panes(panes: DataFrame) -> DataFrame:
     """Combine the panes of each sliding hour; rows here are panes, not ticks."""
     placed = panes.select("*", F.window("pane", SPAN, PANE))
-    inside = (F.col("prev_pane") >= F.col("window.start")) & (F.col("prev_pane") < F.col("window.end"))
-    sums = placed.groupBy("window", "benchmark").agg(
-        F.sum("ticks").alias("tick_count"), *[F.sum(F.when(inside, F.col(c)).otherwise(0)).alias(c) for c in ("n", "s", "ss")]
-    )
-    std = deviation(F.col("n"), F.col("s"), F.col("ss"))
+    inside = (F.col("prev_pane") >= F.col("window.start")) & (F.col("prev_pane") < F.col("window.end")) & (F.col("n") > 0)
+    # at most 12 panes, each with the panes of the ticks before that the hour holds too
+    parts = F.collect_list(F.when(inside, F.struct("n", "mean", "m2")))
+    sums = placed.groupBy("window", "benchmark").agg(F.sum("ticks").alias("tick_count"), parts.alias("parts"))
+    std = merged_deviation(F.col("parts"))
     return sums.select(
         "benchmark",
         F.col("window.start").alias("window_start"),
@@ -167,5 +180,6 @@ def realized_from_panes(panes: DataFrame) -> DataFrame:
 
 def realized_vol(ticks: DataFrame, order_by: Sequence[str] = EVENT_ORDER) -> DataFrame:
     """Realized volatility of each hour, sliding by five minutes; null below two prices."""
-    moved = with_previous(with_chunk(ticks, order_by), order_by, ("price", "time"))
+    narrow = ticks.select(*dict.fromkeys([*order_by, "time", *KEY, "price"]))
+    moved = with_previous(with_chunk(narrow, order_by), order_by, ("price", "time"))
     return realized_from_panes(pane_statistics(moved))

@@ -87,7 +87,11 @@ def series_tail(points: DataFrame, rows: int = 10) -> DataFrame:
 
 def tick_updates(ticks: DataFrame, order_by: Sequence[str] = EVENT_ORDER) -> DataFrame:
     """One update message per tick: price, session average price or null, and time."""
-    priced = session_vwap(ticks, order_by)
+    return update_messages(session_vwap(ticks, order_by)).select("event_id", "key", "value")
+
+
+def update_messages(priced: DataFrame) -> DataFrame:
+    """event_id, key, value of ticks whose session average price is known."""
     body = F.struct(
         "benchmark",
         rounded(F.col("price"), 3).alias("price"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,18 @@ from pyspark.sql.types import StructType
 from tickloom.functions.columns import moment
 from tickloom.operators import alerts, candles, returns
 from tickloom.plans import marts, staging
-from tickloom.sources.tables import LAYOUTS, Layout, first_day, read_table, write_table
+from tickloom.session import lookup
+from tickloom.sources.tables import (
+    LAYOUTS,
+    Layout,
+    arranged,
+    exists,
+    first_day,
+    read_batches,
+    read_table,
+    remove,
+    write_table,
+)
 
 RETAINED_DAYS, COMPACT_AFTER_DAYS = 30, 7
 
@@ -52,33 +64,92 @@ def drop_expired(
     return expired
 
 
+LEDGER = "date date, run long, last_batch long"
+
+
+def ledger(spark: SparkSession, target: str) -> DataFrame:
+    """Per date that was compacted: the run that holds its rows, and the last batch they were taken from.
+
+    One row per date and run; of a date's runs the newest counts.
+    """
+    path = f"{target.rstrip('/')}-ledger"
+    if not exists(spark, path):
+        return spark.createDataFrame([], LEDGER)
+    rows = spark.read.schema(LEDGER).parquet(path)
+    return rows.groupBy("date").agg(F.max("run").alias("run"), F.max("last_batch").alias("last_batch"))
+
+
+def _untaken(spark: SparkSession, source: str, schema: StructType, known: DataFrame, until: int | None) -> DataFrame:
+    """Rows of batches that no compaction took: told by date and batch, both partition columns."""
+    taken = known.select(F.col("date").alias("taken_date"), "last_batch")
+    stored = read_batches(spark, source, schema, until)
+    joined = stored.join(taken, F.col("date") == F.col("taken_date"), "left")
+    return joined.where(F.col("last_batch").isNull() | (F.col("batch_id") > F.col("last_batch"))).drop("taken_date", "last_batch")
+
+
+def _cold(spark: SparkSession, target: str, schema: StructType, layout: Layout, known: DataFrame) -> DataFrame:
+    """The compacted rows: of each date those of the run that counts."""
+    full = StructType([*schema.fields]).add("date", "date")
+    if layout.spaces:
+        full = full.add("space", "integer")
+    if not exists(spark, target):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full.add("run", "long")).parquet(target).join(known.select("date", "run"), ["date", "run"], "left_semi")
+
+
 def compact(
     spark: SparkSession,
     source: str,
     target: str,
     schema: StructType,
     as_of: datetime,
-    since: datetime | None = None,
-    after_batch: int | None = None,
+    until: int | None = None,
     layout: Layout = LAYOUTS["ticks"],
-) -> None:
-    """Rewrite dates older than seven days from many small batch files into clustered, sorted files.
-
-    Whole target partitions are replaced, so a repeated run gives the same table. A run after an
-    earlier one may pass that run's `as_of` as `since` and its last batch as `after_batch`: then only
-    the dates are rewritten that came of age since, or that a later batch has late rows for.
+) -> int | None:
+    """Rewrite dates older than seven days from small batch files into clustered, sorted files.
+
+    A run takes the dates that have rows which no earlier run took, late ones too, and writes each such
+    date whole, with what earlier runs had of it, to folders of its own. The ledger then names the run
+    for these dates: that one write makes it count. A run that failed before leaves nothing that a reader
+    sees; runs are numbered by the clock, so its number never comes again. After that, `sweep` removes
+    what the run replaced. `until` is the last committed batch; batches have to be stored by `layout`'s
+    days. Returns the run's number, or None if there was nothing to do.
     """
-    stored = _hot(spark, source, schema)
-    old = stored.where(F.col("date") < F.lit(_cold_until(as_of, layout)))
-    if since is not None and after_batch is not None:
-        late = old.where(F.col("batch_id") > after_batch).select("date").distinct()
-        aged = old.where(F.col("date") >= F.lit(_cold_until(since, layout))).select("date").distinct()
-        old = old.join(late.unionByName(aged).distinct(), "date", "left_semi")
-    write_table(old.select(*schema.names), target, layout, mode="overwrite")
-
-
-def _hot(spark: SparkSession, source: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(StructType([*schema.fields]).add("date", "date").add("batch_id", "long")).parquet(source)
+    known = lookup(ledger(spark, target))
+    old = _untaken(spark, source, schema, known, until).where(F.col("date") < F.lit(_cold_until(as_of, layout)))
+    # metadata: one row per date
+    due = lookup(old.groupBy("date").agg(F.max("batch_id").alias("last_batch")))
+    if due.isEmpty():
+        return None
+    newest = known.agg(F.max("run").alias("run")).first()["run"]
+    run = max(time.time_ns() // 1000, -1 if newest is None else newest + 1)
+    before = _cold(spark, target, schema, layout, known).join(due.select("date"), "date", "left_semi")
+    # batches that arrive meanwhile are left to the next run
+    taken = old.join(due.withColumnRenamed("last_batch", "newest"), "date").where(F.col("batch_id") <= F.col("newest"))
+    rows = taken.select(*schema.names).unionByName(before.select(*schema.names))
+    writer = arranged(rows, layout).withColumn("run", F.lit(run).cast("long")).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*layout.partitions, "run").parquet(target)
+    entries = due.select("date", F.lit(run).cast("long").alias("run"), "last_batch").coalesce(1)
+    entries.write.mode("append").parquet(f"{target.rstrip('/')}-ledger")
+    sweep(spark, source, target, layout)
+    return run
+
+
+def sweep(spark: SparkSession, source: str, target: str, layout: Layout = LAYOUTS["ticks"]) -> None:
+    """Remove the batch folders that the ledger has taken and the runs that a newer one replaced.
+
+    It may be run at any time: readers go by the ledger. Folder names come to the driver, not rows.
+    """
+    known = ledger(spark, target)
+    hot = spark.read.schema("date date, batch_id long").parquet(source).distinct().join(known, "date")
+    gone = [f"{source}/date={r['date']}/batch_id={r['batch_id']}" for r in hot.where("batch_id <= last_batch").collect()]
+    names = [*layout.partitions, "run"]
+    forms = {"date": "date date", "space": "space int", "run": "run long"}
+    cold = spark.read.schema(", ".join(forms[n] for n in names)).parquet(target).distinct()
+    newest = known.select("date", F.col("run").alias("newest"))
+    for r in cold.join(newest, "date").where("run < newest").collect():
+        gone.append(f"{target}/" + "/".join(f"{n}={r[n]}" for n in names))
+    remove(spark, gone)
 
 
 def _cold_until(as_of: datetime, layout: Layout):
@@ -86,14 +157,24 @@ def _cold_until(as_of: datetime, layout: Layout):
 
 
 def read_hot_and_cold(
-    spark: SparkSession, source: str, target: str, schema: StructType, as_of: datetime, layout: Layout = LAYOUTS["ticks"]
+    spark: SparkSession,
+    source: str,
+    target: str,
+    schema: StructType,
+    until: int | None = None,
+    layout: Layout = LAYOUTS["ticks"],
+    origin: str | None = None,
 ) -> DataFrame:
-    """All rows once: compacted dates from `target`, younger ones from the batches in `source`.
+    """All rows once, whenever it is called: compacted ones, and those of batches that no compaction took.
 
-    `as_of` is that of the last compaction.
+    A column named by `origin` says which: cold or hot.
     """
-    young = _hot(spark, source, schema).where(F.col("date") >= F.lit(_cold_until(as_of, layout)))
-    return young.select(*schema.names).unionByName(read_table(spark, target, schema, layout).select(*schema.names))
+    known = ledger(spark, target)
+    hot = _untaken(spark, source, schema, known, until).select(*schema.names)
+    cold = _cold(spark, target, schema, layout, known).select(*schema.names)
+    if origin:
+        hot, cold = hot.withColumn(origin, F.lit("hot")), cold.withColumn(origin, F.lit("cold"))
+    return hot.unionByName(cold)
 
 
 def storage_report(spark: SparkSession, path: str) -> DataFrame:
@@ -108,11 +189,11 @@ def storage_report(spark: SparkSession, path: str) -> DataFrame:
     return files.groupBy(day).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
-def compaction_report(spark: SparkSession, before: str, after: str) -> DataFrame:
-    """Files and bytes per date before and after compaction."""
+def compaction_report(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Two storage reports side by side: files and bytes per date before and after compaction."""
     sides = [
-        storage_report(spark, path).select("date", F.col("files").alias(f"files_{side}"), F.col("bytes").alias(f"bytes_{side}"))
-        for side, path in (("before", before), ("after", after))
+        report.select("date", F.col("files").alias(f"files_{side}"), F.col("bytes").alias(f"bytes_{side}"))
+        for side, report in (("before", before), ("after", after))
     ]
     return sides[0].join(sides[1], "date", "left")
 

@@ -22,6 +22,7 @@ def _schema(required: dict, optional: dict) -> StructType:
 
 _STR, _DBL, _TS = StringType(), DoubleType(), TimestampType()
 
+# Names and kinds of a tick's fields.
 # One tick at rest. `event_id` is the arrival position (a log offset) and breaks ties in `time`.
 TICK = _schema(
     {"event_id": LongType(), "time": _TS, "benchmark": _STR, "exchange": _STR, "price": _DBL, "volume": _DBL},
@@ -44,21 +45,6 @@ WIRE_TICK = StructType(
     ]
 )
 
-CANDLE = _schema(
-    {"time": _TS, "benchmark": _STR, "open": _DBL, "high": _DBL, "low": _DBL, "close": _DBL, "volume": _DBL},
-    {"vwap": _DBL, "tick_count": IntegerType()},
-)
-
-ALERT = _schema(
-    {"time": _TS, "benchmark": _STR, "alert_type": _STR, "price": _DBL},
-    {"delta": _DBL, "delta_pct": _DBL, "severity": _STR, "message": _STR},
-)
-
-VOLATILITY = _schema(
-    {"time": _TS, "benchmark": _STR},
-    {"rolling_std_30": _DBL, "rolling_std_1m": _DBL, "atr_14": _DBL, "realized_vol": _DBL},
-)
-
 # Accepted symbols, markets and rule limits.
 BENCHMARKS = ["WTI", "BRENT", "DUBAI", "URALS", "OPEC_BASKET"]
 ALERT_TYPES = ["SPIKE", "DROP", "SPREAD_WIDE", "VOLATILITY"]

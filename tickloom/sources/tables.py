@@ -1,4 +1,9 @@
-"""Time-partitioned tables: layout, pruned scans and writes that can be repeated."""
+"""Time-partitioned tables: layout, pruned scans, and batches that are seen whole or not at all.
+
+A micro-batch writes several tables and, after all of them, one commit row. Readers take the batches up
+to the last commit, so a batch that failed between two outputs shows in none of them; when it is run
+again, it replaces what it had written.
+"""
 
 from __future__ import annotations
 
@@ -101,18 +106,86 @@ def write_batch(df: DataFrame, path: str, batch_id: int, days: int = 1) -> None:
     """Write one micro-batch; writing it again after a restart replaces what it wrote before."""
     rows = df.withColumns({"date": partition_date("time", days), "batch_id": F.lit(batch_id).cast("long")})
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("batch_id", "date").parquet(path)
+    writer.partitionBy("date", "batch_id").parquet(path)
+
+
+def read_batches(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    until: int | None,
+    layout: Layout = Layout(1),
+    start: datetime | None = None,
+    end: datetime | None = None,
+) -> DataFrame:
+    """Rows of the batches up to `until`, with `date` and `batch_id`; time bounds also become partition filters."""
+    full = StructType([*schema.fields]).add("date", "date").add("batch_id", "long")
+    df = spark.read.schema(full).parquet(path)
+    if until is not None:
+        df = df.where(F.col("batch_id") <= until)
+    if start is not None:
+        df = df.where((F.col("date") >= F.lit(first_day(start, layout.days))) & (F.col("time") >= moment(df, "time", start)))
+    if end is not None:
+        df = df.where((F.col("date") <= F.lit(first_day(end, layout.days))) & (F.col("time") <= moment(df, "time", end)))
+    return df
+
+
+def dates_of(spark: SparkSession, path: str) -> list[date]:
+    """The dates of a table's partitions, newest first, from one listing of its folder."""
+    store, at = _located(spark, path)
+    names = (status.getPath().getName() for status in store.listStatus(at) if status.isDirectory())
+    return sorted((date.fromisoformat(n.removeprefix("date=")) for n in names if n.startswith("date=")), reverse=True)
+
+
+def newest_rows(rows: DataFrame, dates: list[date], count: int, order: list[Column]) -> DataFrame:
+    """The first `count` rows of an order that begins with the latest time, from as few dates as hold them.
+
+    `rows` has the partition column `date` still. All rows of a date are newer than those of earlier
+    dates, so the search goes down from the newest date, to twice as many each time it finds too few.
+    """
+    step = 1
+    while True:
+        found = rows.where(F.col("date") >= F.lit(dates[step - 1])) if step <= len(dates) else rows
+        if step >= len(dates) or found.limit(count).count() >= count:
+            return found.orderBy(*order).limit(count).drop("date")
+        step = min(2 * step, len(dates))
+
+
+NO_BATCH = -1
+#: Commit rows that stay: the last one, and those that a reader may just be looking at.
+KEPT_COMMITS = 4
+
+
+def commit_batch(spark: SparkSession, root: str, batch_id: int, seen: int) -> None:
+    """Say that all outputs of a batch are written, and how many rows came up to its end."""
+    row = spark.createDataFrame([(seen, batch_id)], "seen long, batch_id long").coalesce(1)
+    row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/commits")
+    remove(spark, [f"{root}/commits/batch_id={batch_id - KEPT_COMMITS}"])
+
+
+def last_commit(spark: SparkSession, root: str, before: int | None = None) -> tuple[int, int]:
+    """Number of the last committed batch (before a given one) and the rows seen up to its end; (-1, 0) for none."""
+    if not exists(spark, f"{root}/commits"):
+        return NO_BATCH, 0
+    rows = spark.read.schema("seen long, batch_id long").parquet(f"{root}/commits")
+    if before is not None:
+        rows = rows.where(F.col("batch_id") < before)
+    found = rows.agg(F.max("batch_id").alias("batch_id"), F.max_by("seen", "batch_id").alias("seen")).first()
+    return (NO_BATCH, 0) if found["batch_id"] is None else (found["batch_id"], found["seen"])
 
 
-SLOTS = 8
+def _located(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
-def write_version(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write a small state table for one batch; slots are reused in turn, so nothing piles up."""
-    df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{path}/{batch_id % SLOTS}")
+def exists(spark: SparkSession, path: str) -> bool:
+    store, at = _located(spark, path)
+    return store.exists(at)
 
 
-def read_version(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
-    """The state table that batch `batch_id` wrote; `schema` as DDL."""
-    rows = spark.read.schema(f"{schema}, batch_id bigint").parquet(f"{path}/{batch_id % SLOTS}")
-    return rows.where(F.col("batch_id") == batch_id).drop("batch_id")
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete partition folders; those that are gone already are no fault."""
+    for path in paths:
+        store, at = _located(spark, path)
+        store.delete(at, True)

@@ -1,26 +1,26 @@
 """The tick processor: candles, volatility, session price, alerts and live views of a stream.
 
 Ticks count in the order of their arrival (event_id), within a batch as over batches, so results do
-not depend on where a batch ends. Each micro-batch runs the same chunked operators as a table does,
-with what is known from earlier batches put in front of it: the last 30 ticks, the open candle and the running sums of
-each benchmark. A busy benchmark is thus split over many tasks inside a batch, which one state
-per key could not do. What a batch leaves behind is a small table per batch number, so a batch
-that is run again after a failure starts from the same state and replaces its own output.
+not depend on where a batch ends. What is known from earlier batches lives in Spark's state store
+(`streaming.state`); each micro-batch of the enriched stream is written to several tables, each under
+(date, batch), and then a commit row makes the batch count for readers. A batch that is run again after a
+failure starts from the same state and replaces its own output.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from tickloom.functions.columns import iso_text, moment, order_key, present, rounded, truncated
+from tickloom.functions.columns import iso_text, moment, order_key, present, rounded
 from tickloom.operators.alerts import (
-    alert_inputs_chunked,
     alert_messages,
     fan_out,
     move_rule,
@@ -28,50 +28,49 @@ from tickloom.operators.alerts import (
     spread_rule,
     volatility_rule,
 )
-from tickloom.operators.candles import close_candles, ohlcv
-from tickloom.operators.ordered import (
-    CHUNK,
-    HISTORY_CHUNK,
-    running,
-    with_chunk,
-    with_sequence,
-)
-from tickloom.operators.returns import (
-    SPAN,
-    pane_statistics,
-    realized_from_panes,
-    with_session_vwap,
-)
-from tickloom.plans.live import SERIES_SECONDS, tail
-from tickloom.schemas import ROLLING_TICKS
+from tickloom.operators.candles import five_minute_messages
+from tickloom.operators.ordered import with_chunk, with_sequence
+from tickloom.plans.live import LIVE_SECONDS, SERIES_SECONDS, update_messages
 from tickloom.sources.streams import write_topic
-from tickloom.sources.tables import read_version, write_batch, write_version
-from tickloom.streaming.windows import LATENESS
+from tickloom.sources.tables import (
+    Layout,
+    commit_batch,
+    dates_of,
+    last_commit,
+    newest_rows,
+    read_batches,
+    remove,
+    write_batch,
+)
+from tickloom.streaming import windows
+from tickloom.streaming.state import CANDLE_ROW, PAIR_ROW, TICK_ROW, enriched
 
-CANDLE_TOPIC, ALERT_TOPIC = "candles.1m", "alerts"
+CANDLE_TOPIC, ALERT_TOPIC, UPDATE_TOPIC, VWAP_TOPIC = "candles.1m", "alerts", "updates", "vwap"
+FIVE_MINUTE_TOPIC = "candles.5m"
 FLUSH = "2 seconds"
 SAMPLE_EVERY = 10
 HISTORY_ALERTS = 100
+#: The rolling hour is stored in stretches of so many seconds, which are dropped whole.
+STRETCH_SECONDS = 300
 
 _ARRIVED = ("event_id",)
-_TAIL = "benchmark string, time timestamp, event_id bigint, price double"
-_TOTALS = "benchmark string, session_pv double, session_volume double, seen bigint"
-_OPEN = (
-    "time timestamp, benchmark string, open double, high double, low double, close double, "
-    "volume double, pv double, tick_count bigint"
-)
-_PANES = "benchmark string, pane timestamp, prev_pane timestamp, ticks bigint, n bigint, s double, ss double"
-_CLOCK = "newest timestamp"
-_LIVE = "benchmark string, price double, vwap double, vol double, ts string, time timestamp"
-_SERIES = "benchmark string, time timestamp, price double"
-_ALERTS = (
-    "event_id bigint, rule int, time timestamp, benchmark string, alert_type string, price double, "
-    "delta double, delta_pct double, severity string, message string"
-)
-
-
-def _names(ddl: str) -> list[str]:
-    return [field.split()[0] for field in ddl.split(",")]
+# Fields of the tables.
+TABLES = {
+    "ticks": "event_id bigint, time timestamp, benchmark string, exchange string, price double, volume double, bid double, ask double, source string",
+    "candles_1m": (
+        "time timestamp, benchmark string, open double, high double, low double, close double, volume double, vwap double, tick_count int"
+    ),
+    "alerts": (
+        "event_id bigint, rule int, time timestamp, benchmark string, price double, alert_type string, "
+        "delta double, delta_pct double, severity string, message string"
+    ),
+    "volatility": (
+        "time timestamp, benchmark string, rolling_std_30 double, rolling_std_1m double, atr_14 double, realized_vol double"
+    ),
+    "live": "benchmark string, price double, vwap double, vol double, ts string, time timestamp, event_id bigint",
+    "series": "benchmark string, time timestamp, price double",
+}
+DAYS = {"candles_1m": 7, "alerts": 7, "volatility": 7}
 
 
 @dataclass
@@ -83,185 +82,180 @@ class TickProcessor:
     servers: str | None = None
 
     def start(self, ticks: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-        """Run on a stream of good ticks. Offsets and batch numbers live in `checkpoint`."""
-        writer = ticks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.run_batch)
+        """Run on a stream of good ticks. Offsets, state and batch numbers live in `checkpoint`."""
+        writer = enriched(ticks).writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.run_batch)
         return writer.trigger(**(trigger or {"processingTime": FLUSH})).start()
 
-    def _state(self, name: str, batch_id: int, schema: str) -> DataFrame:
-        if batch_id == 0:
-            return self.spark.createDataFrame([], schema)
-        return read_version(self.spark, f"{self.root}/state/{name}", batch_id - 1, schema)
-
-    def _keep(self, df: DataFrame, name: str, batch_id: int) -> None:
-        write_version(df, f"{self.root}/state/{name}", batch_id)
-
-    def _topic(self, messages: DataFrame, topic: str, batch_id: int) -> None:
-        if self.servers:
-            write_topic(messages, topic, self.servers)
-        else:
-            timed = messages.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            writer = timed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy("batch_id").json(f"{self.root}/topics/{topic}")
-
     def run_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Enrich the batch once, then write its independent outputs side by side."""
+        """Write the independent outputs of an enriched micro-batch side by side, then commit it."""
         # a stream's session plans without AQE; the batch is a plain table and wants it back
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
-        ticks = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        enriched = self.enrich(ticks, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = batch.withColumn("time", F.timestamp_micros("time_us")).drop("time_us").persist(StorageLevel.MEMORY_AND_DISK)
+        ticks = rows.where(F.col("kind") == TICK_ROW).withColumn(
+            "session_vwap", F.try_divide("session_pv", present(F.col("session_volume")))
+        )
         try:
-            enriched.count()
+            count = ticks.count()
+            seen = last_commit(self.spark, self.root, before=batch_id)[1]
             outputs = [
-                (self.write_candles, ticks),
-                (self.write_alerts, enriched),
-                (self.write_live, enriched),
-                (self.write_series, enriched),
-                (self.write_realized, enriched),
-                (self.write_state, ticks),
-                (self.write_ticks, ticks),
-                (self.write_volatility, enriched),
+                lambda: self.write_ticks(ticks, batch_id),
+                lambda: self.write_candles(rows.where(F.col("kind") == CANDLE_ROW), batch_id),
+                lambda: self.write_alerts(ticks, rows.where(F.col("kind") == PAIR_ROW), batch_id),
+                lambda: self.write_volatility(ticks, batch_id, seen),
+                lambda: self.write_live(ticks, batch_id),
+                lambda: self.write_updates(ticks, batch_id),
             ]
             with ThreadPoolExecutor(len(outputs)) as pool:
-                for done in [pool.submit(write, rows, batch_id) for write, rows in outputs]:
+                for done in [pool.submit(write) for write in outputs]:
                     done.result()  # a failed output fails the batch, which is then run again
+            commit_batch(self.spark, self.root, batch_id, seen + count)
         finally:
-            enriched.unpersist()
-            ticks.unpersist()
-
-    def enrich(self, ticks: DataFrame, batch_id: int) -> DataFrame:
-        """Ticks with previous price, rolling volatility, BRENT price, session price and position."""
-        totals = self._state("totals", batch_id, _TOTALS)
-        before = totals.agg(F.coalesce(F.sum("seen"), F.lit(0)).alias("n")).first()["n"]
-        history = self._state("tail", batch_id, _TAIL).withColumn(CHUNK, F.lit(HISTORY_CHUNK).cast("long"))
-        narrow = ticks.select("event_id", "time", "benchmark", "price", "volume")
-        fresh = with_chunk(narrow, _ARRIVED)
-        chunked = fresh.unionByName(history, allowMissingColumns=True)
-        inputs = alert_inputs_chunked(chunked, _ARRIVED).where(F.col(CHUNK) != HISTORY_CHUNK)
-        priced = with_session_vwap(inputs, _ARRIVED, totals.drop("seen"), summarize=fresh)
-        return with_sequence(priced, _ARRIVED, summarize=fresh).withColumn("seq", F.col("seq") + before).drop(CHUNK)
+            rows.unpersist()
+
+    def _write(self, rows: DataFrame, name: str, batch_id: int) -> None:
+        write_batch(rows.select(*StructType.fromDDL(TABLES[name]).names), f"{self.root}/{name}", batch_id, DAYS.get(name, 1))
+
+    def _topic(self, messages: DataFrame, topic: str, batch_id: int) -> None:
+        if self.servers:
+            write_topic(messages, topic, self.servers)
+        else:
+            timed = messages.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            writer = timed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy("batch_id").json(f"{self.root}/topics/{topic}")
 
     def write_ticks(self, ticks: DataFrame, batch_id: int) -> None:
-        stored = ["event_id", "time", "benchmark", "exchange", "price", "volume", "bid", "ask", "source"]
-        filled = ticks.withColumn("source", F.coalesce("source", F.lit("simulator")))
-        write_batch(filled.select(*stored), f"{self.root}/ticks", batch_id)
+        self._write(ticks.withColumn("source", F.coalesce("source", F.lit("simulator"))), "ticks", batch_id)
 
-    def write_candles(self, ticks: DataFrame, batch_id: int) -> None:
-        """Fold the batch, in order of arrival, into the open candles.
+    def write_candles(self, closed: DataFrame, batch_id: int) -> None:
+        """The candles that the batch closed."""
+        names = StructType.fromDDL(TABLES["candles_1m"]).names
+        self._write(closed, "candles_1m", batch_id)
+        self._topic(candle_messages(closed.select(*names)), CANDLE_TOPIC, batch_id)
 
-        A tick older than the candle that is open when it arrives joins that one, whether an earlier
-        batch opened it or an earlier tick of this one.
-        """
-        open_before = self._state("open", batch_id, _OPEN)
-        arrived = with_chunk(ticks.withColumn("minute", truncated(ticks, "time", "minute")), _ARRIVED)
-        opened = open_before.select("benchmark", F.col("time").alias("candle"))
-        placed = running(arrived, ["benchmark"], _ARRIVED, maxes={"candle": F.col("minute")}, initial=opened)
-        fresh = placed.groupBy("benchmark", "candle").agg(*ohlcv(_ARRIVED)).withColumnRenamed("candle", "time")
-        parts = open_before.withColumn("part", F.lit(0)).unionByName(fresh.withColumn("part", F.lit(1)))
-        merged = (
-            parts.groupBy("benchmark", "time")
-            .agg(
-                F.min_by("open", "part").alias("open"),
-                F.max("high").alias("high"),
-                F.min("low").alias("low"),
-                F.max_by("close", "part").alias("close"),
-                *[F.sum(c).alias(c) for c in ("volume", "pv", "tick_count")],
-            )
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        )
-        closed = close_candles(merged).persist(StorageLevel.MEMORY_AND_DISK)
-        write_batch(closed, f"{self.root}/candles_1m", batch_id, days=7)
-        self._topic(candle_messages(closed), CANDLE_TOPIC, batch_id)
-        last = merged.groupBy("benchmark").agg(F.max_by(F.struct(*[c for c in _names(_OPEN) if c != "benchmark"]), "time").alias("c"))
-        self._keep(last.select("benchmark", "c.*").select(*_names(_OPEN)), "open", batch_id)
-        closed.unpersist()
-        merged.unpersist()
-
-    def write_alerts(self, enriched: DataFrame, batch_id: int) -> None:
-        raised = fan_out(enriched, move_rule(), spread_rule(), volatility_rule())
+    def write_alerts(self, ticks: DataFrame, pairs: DataFrame, batch_id: int) -> None:
+        raised = fan_out(ticks, move_rule(), volatility_rule()).unionByName(fan_out(pairs, spread_rule()))
         filled = raised.withColumn("severity", F.coalesce("severity", F.lit("MEDIUM")))
-        write_batch(filled, f"{self.root}/alerts", batch_id, days=7)
+        self._write(filled, "alerts", batch_id)
         self._topic(alert_messages(filled), ALERT_TOPIC, batch_id)
-        known = self._state("alert_history", batch_id, _ALERTS)
-        newest = newest_alerts(known.unionByName(filled.select(*_names(_ALERTS))), HISTORY_ALERTS)
-        self._keep(newest, "alert_history", batch_id)
-
-    def write_volatility(self, enriched: DataFrame, batch_id: int) -> None:
-        """Every tenth message with a volatility; the other measures of the table stay empty."""
-        sampled = enriched.where((F.col("seq") % SAMPLE_EVERY == 0) & present(F.col("rolling_std_30")).isNotNull())
-        empty = [F.lit(None).cast("double").alias(c) for c in ("rolling_std_1m", "atr_14", "realized_vol")]
-        write_batch(sampled.select("time", "benchmark", "rolling_std_30", *empty), f"{self.root}/volatility", batch_id, days=7)
-
-    def write_realized(self, enriched: DataFrame, batch_id: int) -> None:
-        """Realized volatility of the hours that this batch closed, from the returns between arrivals.
 
-        The clock stays five seconds behind the newest tick. Panes add up, so only their sums are
-        kept, and only while an open window holds them.
-        """
-        earlier = self._state("clock", batch_id, _CLOCK)
-        clock = earlier.unionByName(enriched.select(F.col("time").alias("newest"))).agg(F.max("newest").alias("newest"))
-        self._keep(clock, "clock", batch_id)
-        kept = self._state("clock", batch_id + 1, _CLOCK)  # as the next batch will read it
-        then, now = self._closed_until(earlier), self._closed_until(kept)
-
-        known = self._state("panes", batch_id, _PANES).unionByName(pane_statistics(enriched))
-        sums = [F.sum(c).alias(c) for c in ("ticks", "n", "s", "ss")]
-        panes = known.groupBy("benchmark", "pane", "prev_pane").agg(*sums).persist(StorageLevel.MEMORY_AND_DISK)
-        windows = realized_from_panes(panes)
-        closed = windows.where((F.col("window_end") <= now) & (F.coalesce(F.col("window_end") > then, F.lit(True))))
-        rows = closed.withColumn("time", F.col("window_start"))
-        write_batch(rows, f"{self.root}/realized_vol", batch_id, days=7)
-        self._keep(panes.where(F.col("pane") + F.expr(f"interval {SPAN}") > now), "panes", batch_id)
-        panes.unpersist()
-
-    @staticmethod
-    def _closed_until(clock: DataFrame):
-        """Windows that end by this moment are closed; null before the first tick."""
-        moment_of = clock.agg((F.max("newest") - F.expr(f"interval {LATENESS}")).cast("string").alias("t")).first()["t"]
-        return F.lit(moment_of).cast("timestamp")
-
-    def write_live(self, enriched: DataFrame, batch_id: int) -> None:
-        """State at the newest arrival per benchmark."""
-        key, shown = order_key(_ARRIVED), ("time", "price", "session_vwap", "rolling_std_30")
-        newest = enriched.groupBy("benchmark").agg(*[F.max_by(c, key).alias(c) for c in shown])
-        fresh = newest.select(
+    def write_volatility(self, ticks: DataFrame, batch_id: int, seen: int) -> None:
+        """Every tenth message with a volatility, counted over all batches; other measures stay empty."""
+        numbered = with_sequence(with_chunk(ticks.select("event_id", "time", "benchmark", "rolling_std_30"), _ARRIVED), _ARRIVED)
+        tenth = (F.col("seq") + seen) % SAMPLE_EVERY == 0
+        sampled = numbered.where(tenth & present(F.col("rolling_std_30")).isNotNull())
+        empty = {c: F.lit(None).cast("double") for c in ("rolling_std_1m", "atr_14", "realized_vol")}
+        self._write(sampled.withColumns(empty), "volatility", batch_id)
+
+    def write_live(self, ticks: DataFrame, batch_id: int) -> None:
+        """The batch's newest arrival per benchmark, and its points of the rolling hour."""
+        key, shown = order_key(_ARRIVED), ("time", "price", "session_vwap", "rolling_std_30", "event_id")
+        newest = ticks.groupBy("benchmark").agg(*[F.max_by(c, key).alias(c) for c in shown])
+        state = newest.select(
             "benchmark",
             rounded(F.col("price"), 3).alias("price"),
             rounded(present(F.col("session_vwap")), 3).alias("vwap"),
             rounded(present(F.col("rolling_std_30")), 6).alias("vol"),
             iso_text("time").alias("ts"),
             "time",
+            "event_id",
         )
-        known = self._state("live", batch_id, _LIVE).join(fresh.select("benchmark"), "benchmark", "left_anti")
-        self._keep(known.unionByName(fresh), "live", batch_id)
-
-    def write_series(self, enriched: DataFrame, batch_id: int) -> None:
-        """The points of the last hour per benchmark."""
-        points = self._state("series", batch_id, _SERIES).unionByName(enriched.select(*_names(_SERIES)))
-        bound = points.groupBy("benchmark").agg((F.max("time") - F.make_dt_interval(secs=F.lit(SERIES_SECONDS))).alias("after"))
-        hour = points.join(bound, "benchmark").where(F.col("time") > F.col("after")).drop("after")
-        self._keep(hour.dropDuplicates(), "series", batch_id)
-
-    def write_state(self, ticks: DataFrame, batch_id: int) -> None:
-        narrow = self._state("tail", batch_id, _TAIL).unionByName(ticks.select(*_names(_TAIL)))
-        self._keep(tail(narrow, ROLLING_TICKS, _ARRIVED).drop("back"), "tail", batch_id)
-        sums = ticks.groupBy("benchmark").agg(
-            F.sum(F.col("price") * F.col("volume")).alias("session_pv"),
-            F.sum("volume").alias("session_volume"),
-            F.count("*").alias("seen"),
+        self._write(state, "live", batch_id)
+        points = ticks.select("benchmark", "time", "price").withColumns(
+            {"stretch": _stretch(F.col("time")), "batch_id": F.lit(batch_id).cast("long")}
         )
-        both = self._state("totals", batch_id, _TOTALS).unionByName(sums)
-        summed = [F.sum(c).alias(c) for c in ("session_pv", "session_volume", "seen")]
-        self._keep(both.groupBy("benchmark").agg(*summed), "totals", batch_id)
+        writer = points.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("stretch", "batch_id").parquet(f"{self.root}/series")
+
+    def write_updates(self, ticks: DataFrame, batch_id: int) -> None:
+        """Topics with one message per tick: the update event, and the session average price where there is one."""
+        sent = ticks.select("event_id", "time", "benchmark", "price", "session_vwap")
+        self._topic(update_messages(sent), UPDATE_TOPIC, batch_id)
+        self._topic(vwap_messages(sent), VWAP_TOPIC, batch_id)
+
+    # readers
+
+    def committed(self) -> int:
+        return last_commit(self.spark, self.root)[0]
+
+    def read(self, name: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+        """A table's rows of committed batches."""
+        schema, layout = StructType.fromDDL(TABLES[name]), Layout(DAYS.get(name, 1))
+        rows = read_batches(self.spark, f"{self.root}/{name}", schema, self.committed(), layout, start, end)
+        return rows.select(*schema.names)
+
+    def topic(self, name: str) -> DataFrame:
+        """Messages of committed batches; a batch that was run again stands there once."""
+        rows = self.spark.read.schema("key string, value string, batch_id long").json(f"{self.root}/topics/{name}")
+        return rows.where(F.col("batch_id") <= self.committed()).drop("batch_id")
+
+    def live(self, as_of: datetime | None = None, seconds: int = LIVE_SECONDS) -> DataFrame:
+        """The newest state per benchmark; with `as_of` entries older than a minute at that moment are gone."""
+        after = None if as_of is None else as_of - timedelta(seconds=seconds)
+        rows = self.read("live", after)
+        if after is not None:
+            rows = rows.where(F.col("time") > moment(rows, "time", after))
+        fields = [c for c in rows.columns if c != "benchmark"]
+        return rows.groupBy("benchmark").agg(*[F.max_by(c, "event_id").alias(c) for c in fields]).drop("event_id")
+
+    def series(self, seconds: int = SERIES_SECONDS) -> DataFrame:
+        """Distinct points of the last hour before each benchmark's newest tick."""
+        rows = self.spark.read.schema(f"{TABLES['series']}, stretch long, batch_id long").parquet(f"{self.root}/series")
+        rows = rows.where(F.col("batch_id") <= self.committed())
+        latest = rows.groupBy("benchmark").agg((F.max("time") - F.make_dt_interval(secs=F.lit(seconds))).alias("after"))
+        return rows.join(latest, "benchmark").where(F.col("time") > F.col("after")).select("benchmark", "time", "price").dropDuplicates()
+
+    def expire_series(self, as_of: datetime, seconds: int = SERIES_SECONDS) -> None:
+        """Drop the stretches that end before the hour up to `as_of`; no row is written again.
+
+        As each benchmark's hour counts from its own newest tick, `as_of` is that of the one furthest behind.
+        """
+        table = f"{self.root}/series"
+        until = _stretch(F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp") - F.make_dt_interval(secs=F.lit(seconds)))
+        stretches = self.spark.read.schema("stretch long").parquet(table).distinct()
+        remove(self.spark, [f"{table}/stretch={r['stretch']}" for r in stretches.where(F.col("stretch") < until).collect()])
+
+    def alert_history(self, count: int = HISTORY_ALERTS) -> DataFrame:
+        """The newest alerts, read from the newest partitions alone."""
+        schema = StructType.fromDDL(TABLES["alerts"])
+        rows = read_batches(self.spark, f"{self.root}/alerts", schema, self.committed(), Layout(DAYS["alerts"]))
+        order = [F.desc("time"), F.desc("event_id"), F.desc("rule")]
+        found = newest_rows(rows.drop("batch_id"), dates_of(self.spark, f"{self.root}/alerts"), count, order)
+        return newest_alerts(found, count).select(*schema.names)
+
+
+@dataclass
+class FiveMinutePublisher:
+    """Publishes five-minute candles as their windows close; a stream of its own, with commits of its own."""
+
+    spark: SparkSession
+    root: str
+    servers: str | None = None
+
+    def start(self, ticks: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+        writer = windows.candles_5m(ticks).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+        return writer.foreachBatch(self.run_batch).trigger(**(trigger or {"processingTime": FLUSH})).start()
+
+    def run_batch(self, batch: DataFrame, batch_id: int) -> None:
+        out = TickProcessor(self.spark, self.root, self.servers)
+        out._topic(five_minute_messages(batch), FIVE_MINUTE_TOPIC, batch_id)
+        commit_batch(self.spark, self.root, batch_id, 0)
+
+    def messages(self) -> DataFrame:
+        return TickProcessor(self.spark, self.root).topic(FIVE_MINUTE_TOPIC).select("value")
 
-    def live(self, batch_id: int, as_of=None, seconds: int = 60) -> DataFrame:
-        """The live entries after a batch; entries older than a minute at `as_of` are gone."""
-        rows = read_version(self.spark, f"{self.root}/state/live", batch_id, _LIVE)
-        if as_of is not None:
-            rows = rows.where(F.col("time") > moment(rows, "time", as_of) - F.make_dt_interval(secs=F.lit(seconds)))
-        return rows
+
+def _stretch(time: Column) -> Column:
+    return F.floor(F.unix_seconds(time) / STRETCH_SECONDS) * STRETCH_SECONDS
 
 
 def candle_messages(candles: DataFrame) -> DataFrame:
     """Closed candles as keyed JSON messages."""
     body = F.struct(iso_text("time").alias("time"), *[c for c in candles.columns if c != "time"])
     return candles.select(F.col("benchmark").alias("key"), F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
+
+
+def vwap_messages(priced: DataFrame) -> DataFrame:
+    """Session average prices as keyed JSON messages, where volume was seen."""
+    body = F.struct("benchmark", rounded(F.col("session_vwap"), 4).alias("vwap"), iso_text("time").alias("time"))
+    known = priced.where(F.col("session_vwap").isNotNull())
+    return known.select(F.col("benchmark").alias("key"), F.to_json(body).alias("value"))
