@@ -414,7 +414,8 @@ FROM sent WHERE event_id % 13 <> 0 AND (event_id % 7 = 0 OR event_id % 11 <> 0)"
 SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 'unparsable' ELSE 'incomplete' END AS fault
 FROM dense WHERE event_id % 13 = 0 OR (event_id % 7 <> 0 AND event_id % 11 = 0)""",
     "publish_ticks": f"""WITH {DENSE}
-SELECT event_id, benchmark AS key, epoch_us(time) // 1000 AS event_time, benchmark, exchange, price, volume, bid, source
+SELECT event_id, benchmark AS key, epoch_us(time) // 1000 AS event_time, benchmark, exchange, price, volume, bid, source,
+  CASE benchmark WHEN 'WTI' THEN 'NORTH_AMERICA' WHEN 'BRENT' THEN 'EUROPE' WHEN 'DUBAI' THEN 'MIDDLE_EAST' END AS region
 FROM dense""",
     "feed_adapter": f"""WITH {TICKS}
 SELECT event_id, make_timestamp((epoch_us(time) // 1000) * 1000) AS time, 'WTI' AS benchmark, 'NYMEX' AS exchange,
@@ -433,14 +434,8 @@ SELECT *, CASE WHEN time < TIMESTAMP '2024-01-24' AND event_id % 10 > 0 THEN 'co
     "refresh_rollup_daily": _refreshed(
         "day", ", stddev_samp(price) AS sd", "2024-01-20 10:30:00", "2024-01-20 00:00:00", "2024-01-22 00:00:00"
     ),
-    "build_models": f"WITH {_daily()} SELECT * FROM daily",
-    "backfill": f"""WITH {_candles()}, {_alerts("dense")},
-rolled AS ({_ohlcv("dense", _bucket("5 minutes"))})
-SELECT 'ticks' AS table_name, count(*) AS n, count(DISTINCT benchmark) AS benchmarks FROM dense
-UNION ALL SELECT 'candles_1m', count(*), count(DISTINCT benchmark) FROM candles
-UNION ALL SELECT 'candles_5m', count(*), count(DISTINCT benchmark) FROM rolled
-UNION ALL SELECT 'alerts', count(*), count(DISTINCT benchmark) FROM alerts
-UNION ALL SELECT 'volatility', count(*), count(DISTINCT benchmark) FROM vol_dense WHERE seq % 10 = 0 AND vol <> 0""",
+    "build_models": "",
+    "backfill": "",
     "replay_ticks": f"WITH {DENSE} SELECT * FROM dense",
     "replay_candles_1m": f"WITH {_candles()} {_CANDLE_OUT}",
     "replay_alerts": _alert_list("raw", RAW),
@@ -481,3 +476,38 @@ FROM session"""
 ORACLES["replay_vwap"] = f"""WITH {DENSE}, {_DENSE_SESSION}
 SELECT benchmark AS key, benchmark, {r("session_vwap", 4)} AS vwap, {iso("time")} AS time FROM session WHERE session_vwap IS NOT NULL"""
 ORACLES["replay_candles_5m_json"] = ORACLES["replay_candles_5m"]
+_STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S') || CASE WHEN epoch_us({}) % 1000000 = 0 THEN '' ELSE rtrim(strftime({}, '.%f'), '0') END"
+
+
+def _model(name: str, time: str, label: str, one: str, two: str, source: str) -> str:
+    return (
+        f"SELECT '{name}' AS model, {_STAMP.format(time, time, time)} AS time, {label} AS name, {r(one, 4)} AS one, {r(two, 4)} AS two "
+        f"FROM {source}"
+    )
+
+
+ORACLES["build_models"] = " UNION ALL ".join(
+    [
+        _model("daily_analytics", "CAST(day_bucket AS TIMESTAMP)", "benchmark", "close", "price_change", f"({ORACLES['daily_analytics']})"),
+        _model("spread_analysis", "hour_bucket", "spread_regime", "wti_brent_spread", "wti_dubai_spread", f"({ORACLES['spread_analysis']})"),
+        _model("stg_ticks", "tick_time", "benchmark", "price", "volume", f"({ORACLES['stg_ticks']})"),
+    ]
+)
+
+
+def _contents(name: str, one: str, two: str, source: str, time: str = "time") -> str:
+    return f"SELECT '{name}' AS table_name, {time} AS time, benchmark, {r(one, 5)} AS one, {r(two, 5)} AS two FROM {source}"
+
+
+ORACLES["backfill"] = f"""WITH {_candles()}, {_alerts("dense")},
+five AS ({ORACLES["candles_5m"]}),
+hours AS ({ORACLES["realized_vol_1h"]}),
+sampled AS (SELECT *, {_bucket("5 minutes")} AS ended FROM vol_dense WHERE seq % 10 = 0 AND vol <> 0),
+measured AS (
+  SELECT s.time, s.benchmark, s.vol, h.realized_vol FROM sampled s
+  LEFT JOIN hours h ON h.benchmark = s.benchmark AND h.window_end = s.ended)
+{_contents("ticks", "price", "volume", "dense")}
+UNION ALL {_contents("candles_1m", "close", "vwap", "candles")}
+UNION ALL {_contents("candles_5m", "close", "vwap", "five", "make_timestamp(window_start * 1000)")}
+UNION ALL {_contents("alerts", "price", "delta", "alerts")}
+UNION ALL {_contents("volatility", "vol", "realized_vol", "measured")}"""

@@ -468,7 +468,7 @@ def dead_letters(spark, sf_dir):
 @query
 def publish_ticks(spark, sf_dir):
     sent = decode.publish_ticks(replay.ticks_dense(spark, sf_dir))
-    fields = "event_time bigint, benchmark string, exchange string, price double, volume double, bid double, source string"
+    fields = "event_time bigint, benchmark string, exchange string, price double, volume double, bid double, source string, region string"
     return sent.select("event_id", "key", F.from_json("value", fields).alias("m")).select("event_id", "key", "m.*")
 
 
@@ -603,19 +603,36 @@ def refresh_rollup_daily(spark, sf_dir):
 
 @query
 def build_models(spark, sf_dir):
+    """Rows of all three models, as they were published."""
     maintenance.build_models(replay.ticks(spark, sf_dir), AS_OF, "built_", scratch_path(spark, "models"))
-    return spark.table("built_daily_analytics")
+
+    def shown(model: str, time: str, name, *values: str) -> DataFrame:
+        one, two = (rounded(F.col(v), 4) for v in values)
+        return spark.table(f"built_{model}").select(
+            F.lit(model).alias("model"), F.col(time).cast("string").alias("time"), name.alias("name"), one.alias("one"), two.alias("two")
+        )
+
+    name = F.col("benchmark")
+    daily = shown("daily_analytics", "day_bucket", name, "close", "price_change")
+    spread = shown("spread_analysis", "hour_bucket", F.col("spread_regime"), "wti_brent_spread", "wti_dubai_spread")
+    return daily.unionByName(spread).unionByName(shown("stg_ticks", "tick_time", name, "price", "volume"))
 
 
 @query
 def backfill(spark, sf_dir):
-    """Rows and benchmarks per table after a rebuild from stored ticks."""
-    root = scratch_path(spark, "lake")
-    maintenance.backfill(replay.ticks_dense(spark, sf_dir), root)
+    """The contents of all tables after a rebuild from stored ticks, over an earlier rebuild of fewer ticks."""
+    root, ticks = scratch_path(spark, "lake"), replay.ticks_dense(spark, sf_dir)
+    maintenance.backfill(ticks.where("event_id % 3 = 0"), root)
+    maintenance.backfill(ticks, root)
+    tables = stored.StoredTables(spark, root)
+    values = {
+        "ticks": ("price", "volume"), "candles_1m": ("close", "vwap"), "candles_5m": ("close", "vwap"),
+        "alerts": ("price", "delta"), "volatility": ("rolling_std_30", "realized_vol"),
+    }
     out = None
-    for name in LAYOUTS:
-        rows = spark.read.parquet(f"{root}/{name}").agg(
-            F.lit(name).alias("table_name"), F.count("*").alias("n"), F.count_distinct("benchmark").alias("benchmarks")
+    for name, (one, two) in values.items():
+        rows = tables.rows(name).select(
+            F.lit(name).alias("table_name"), "time", "benchmark", rounded(F.col(one), 5).alias("one"), rounded(F.col(two), 5).alias("two")
         )
         out = rows if out is None else out.unionByName(rows)
     return out

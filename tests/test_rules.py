@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import START
 from tickloom.operators import alerts, asof, candles, quotes, returns, rollups
@@ -153,3 +154,29 @@ def test_average_true_range(make_ticks):
     rows = candles.atr(candles.candles_1m(ticks)).orderBy("time").collect()
     assert [r["atr_14"] is None for r in rows] == [True] * 13 + [False] * 3
     assert rows[14]["atr_14"] == 1.0
+
+
+def test_deviation_far_from_zero(spark):
+    """Returns of a million that differ in the third place after the point, against exact numbers."""
+    import random
+    import statistics
+
+    rng, rows, exact = random.Random(4), [], {}
+    for minute in range(90):
+        ret = 1e6 + rng.randint(-9, 9) / 8192
+        at = START + timedelta(minutes=minute)
+        rows.append((at, at - timedelta(minutes=1), "WTI", ret + 1, 1.0))
+        exact[at] = ret
+    moved = spark.createDataFrame(rows, "time timestamp_ntz, prev_time timestamp_ntz, benchmark string, price double, prev_price double")
+    panes = returns.pane_statistics(moved)
+    found = returns.realized_from_panes(panes.withColumn("mean", F.col("mean")))
+    parts = {r["window_start"]: r["realized_vol"] for r in found.collect()}
+    for start, got in parts.items():
+        inside = [v for t, v in exact.items() if start <= t - timedelta(minutes=1) and t < start + timedelta(hours=1)]
+        assert got == pytest.approx(round(statistics.pstdev(inside), 6), abs=1.1e-6) if inside else got is None
+    one = moved.selectExpr("price - 1 AS ret").agg(*returns.moments("ret")).selectExpr("array(struct(n, mean, m2)) AS parts")
+    whole = one.select(returns.merged_deviation(F.col("parts"))).first()[0]
+    assert whole == pytest.approx(statistics.pstdev(exact.values()), abs=1e-9)
+    split = moved.selectExpr("price - 1 AS ret", "minute(time) AS m").groupBy("m").agg(*returns.moments("ret"))
+    merged = split.agg(F.collect_list(F.struct("n", "mean", "m2")).alias("parts")).select(returns.merged_deviation(F.col("parts"))).first()[0]
+    assert merged == pytest.approx(statistics.pstdev(exact.values()), abs=1e-9)

@@ -9,7 +9,7 @@ from checks.queries import QUERIES
 from tests.conftest import SMALL, START
 from tickloom.functions.columns import order_key
 from tickloom.operators import alerts, asof, candles, returns, rollups
-from tickloom.plans import live, maintenance, staging, stored
+from tickloom.plans import live, maintenance, marts, staging, stored
 from tickloom.sources import decode, replay
 from tickloom.sources.tables import (
     LAYOUTS,
@@ -148,7 +148,7 @@ def test_batches_count_when_they_are_committed(spark, tmp_path):
 
 def test_newest_rows_read_the_newest_dates_only(spark, make_ticks, tmp_path):
     days = [(86_400 * d + 60 * k, "WTI", 80 + d + k) for d in range(9) for k in range(1 if d > 6 else 5)]
-    write_table(make_ticks(days), f"{tmp_path}/ticks", LAYOUTS["ticks"], "overwrite")
+    maintenance.backfill(make_ticks(days).selectExpr("*", "1D bid", "2D ask", "'s' source"), str(tmp_path))
     tables = stored.StoredTables(spark, str(tmp_path))
     for count, dates in ((1, 1), (2, 2), (7, 4), (8, 4), (40, 9)):
         found = tables.latest_ticks(count)
@@ -176,7 +176,38 @@ def test_backfill_replaces_whole_tables(spark, tmp_path):
     maintenance.backfill(ticks, str(tmp_path))
     few = ticks.where(F.col("time") < F.lit("2024-01-10").cast("timestamp_ntz"))
     maintenance.backfill(few, str(tmp_path))
-    assert spark.read.parquet(f"{tmp_path}/ticks").count() == few.count()
+    assert stored.StoredTables(spark, str(tmp_path)).rows("ticks").count() == few.count()
+
+
+def test_readers_see_a_backfill_when_it_is_complete(spark, tmp_path, monkeypatch):
+    ticks = replay.ticks(spark, SMALL)
+    maintenance.backfill(ticks, str(tmp_path))
+
+    def broken(*args, **kwargs):
+        raise OSError("lost")
+
+    monkeypatch.setattr(returns, "volatility_sampled", broken)
+    with pytest.raises(OSError):
+        maintenance.backfill(ticks.limit(100), str(tmp_path))
+    assert stored.StoredTables(spark, str(tmp_path)).rows("ticks").count() == ticks.count()
+
+
+def test_models_come_after_what_they_read():
+    known = maintenance.models(datetime(2024, 1, 31))
+    order = maintenance.build_order(known)
+    assert sorted(order) == sorted(known) and order[0] == "stg_ticks"
+
+
+def test_distinct_on_sorts_no_input_row(spark):
+    ticks = replay.ticks(spark, SMALL)
+    found = marts.distinct_on(ticks, ["benchmark", "exchange"], ("time", "event_id"))
+    shown = plan(found)
+    # the rows at the winning positions are fetched by a semi join
+    assert "LeftSemi" in shown and "partial_min" in shown
+    deepest = shown[shown.index("partial_min") :]
+    assert "Sort " not in deepest
+    nulls = spark.createDataFrame([(1, None, 5.0), (2, None, 6.0), (3, "a", 7.0), (3, "a", 7.0)], "event_id long, k string, price double")
+    assert sorted(r["event_id"] for r in marts.distinct_on(nulls, ["k"], ("event_id",)).collect()) == [1, 3]
 
 
 def test_first_refresh_builds_the_rollup(spark, make_ticks, tmp_path):

@@ -17,6 +17,7 @@ from tickloom.operators.ordered import (
     with_chunk,
     with_halo,
 )
+from tickloom.session import lookup
 
 KEY = ["benchmark"]
 ATR_CANDLES = 14
@@ -67,7 +68,8 @@ def close_candles(candles: DataFrame, include_open: bool = False) -> DataFrame:
     Without volume the average is the price of the tick that closed the candle, which opens the
     next one. The last candle of a benchmark is still open and only kept on request.
     """
-    day = calendar_chunk(candles)
+    # the ticks are aggregated once; what is looked at twice are the few candles
+    day = calendar_chunk(lookup(candles))
     order = ["time"]
     haloed = with_halo(day, KEY, order, 1, ["open"], reverse=True)
     following = F.lag("open").over(scan(KEY, order, reverse=True))
@@ -117,7 +119,7 @@ def atr(candles: DataFrame, length: int = ATR_CANDLES) -> DataFrame:
     """Average true range: the mean over the last `length` candles, null before there are as many."""
     order = ["time"]
     spec = scan(KEY, order)
-    haloed = with_halo(calendar_chunk(candles), KEY, order, length, ["high", "low", "close"])
+    haloed = with_halo(calendar_chunk(lookup(candles)), KEY, order, length, ["high", "low", "close"])
     previous = F.col("_prev_close")
     true_range = F.greatest(
         F.col("high") - F.col("low"), F.abs(F.col("high") - previous), F.abs(F.col("low") - previous)

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime, timedelta
+from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tickloom.functions.columns import moment
+from tickloom.functions.columns import moment, start_of
 from tickloom.operators import alerts, candles, returns
 from tickloom.plans import marts, staging
 from tickloom.session import lookup
@@ -34,10 +37,16 @@ def insert_ignore(
     """Rows to append. Without keys nothing can collide, so that is all of them.
 
     With keys the first row of each key counts. Both sides shrink to one row per key before they
-    meet, so copies cause no skew.
+    meet, so copies cause no skew. With a time among the keys only stored rows of the incoming rows'
+    span are looked at.
     """
     if not keys:
         return incoming
+    if "time" in keys:
+        span = incoming.agg(F.min("time").cast("string").alias("low"), F.max("time").cast("string").alias("high")).first()
+        kind = stored.schema["time"].dataType
+        low, high = (F.lit(span[c]).cast(kind) for c in ("low", "high"))
+        stored = stored.where(F.col("time").between(low, high) | F.col("time").isNull())
     known = stored.select(*keys).distinct()
     return marts.distinct_on(incoming, keys, order_by).join(known, keys, "left_anti")
 
@@ -198,30 +207,75 @@ def compaction_report(before: DataFrame, after: DataFrame) -> DataFrame:
     return sides[0].join(sides[1], "date", "left")
 
 
-def build_models(ticks: DataFrame, as_of: datetime, prefix: str = "", location: str | None = None) -> None:
-    """Publish the staging view, then the two marts that read it, as rebuilt tables."""
-    spark = ticks.sparkSession
-    staging.stg_ticks(ticks, as_of).createOrReplaceTempView(f"{prefix}stg_ticks")
-    view = spark.table(f"{prefix}stg_ticks")
-    for name, mart in (("daily_analytics", marts.daily_analytics), ("spread_analysis", marts.spread_analysis)):
-        writer = mart(view).write.mode("overwrite")
+@dataclass(frozen=True)
+class Model:
+    """A report that is rebuilt from others: what it reads, and whether it is a view or a table."""
+
+    inputs: tuple[str, ...]
+    build: Callable[..., DataFrame]
+    view: bool = False
+
+
+SOURCE = "ticks"
+
+
+def models(as_of: datetime) -> dict[str, Model]:
+    return {
+        "spread_analysis": Model(("stg_ticks",), marts.spread_analysis),
+        "daily_analytics": Model(("stg_ticks",), marts.daily_analytics),
+        "stg_ticks": Model((SOURCE,), lambda ticks: staging.stg_ticks(ticks, as_of), view=True),
+    }
+
+
+def build_order(known: dict[str, Model]) -> list[str]:
+    """Models after all that they read."""
+    order = TopologicalSorter({name: model.inputs for name, model in known.items()}).static_order()
+    return [name for name in order if name in known]
+
+
+def build_models(ticks: DataFrame, as_of: datetime, prefix: str = "", location: str | None = None) -> list[str]:
+    """Publish all models in the order of their inputs: views as views, the others as rebuilt tables."""
+    spark, known = ticks.sparkSession, models(as_of)
+    order = build_order(known)
+    for name in order:
+        rows = known[name].build(*[ticks if i == SOURCE else spark.table(f"{prefix}{i}") for i in known[name].inputs])
+        if known[name].view:
+            rows.createOrReplaceTempView(f"{prefix}{name}")
+            continue
+        writer = rows.write.mode("overwrite")
         if location:
             writer = writer.option("path", f"{location}/{name}")
         writer.saveAsTable(f"{prefix}{name}")
+    return order
 
 
-def backfill(lake_ticks: DataFrame, root: str) -> None:
+def backfill(lake_ticks: DataFrame, root: str) -> str:
     """Rebuild all derived tables from stored ticks, with the same operators as the stream.
 
-    Each table is replaced as a whole: dates that the stored ticks no longer have are gone.
+    The tables are written to a new folder below `root`, and one row then makes that folder the current
+    one, so readers see all old tables or all new ones. Returns the folder.
     """
-    write_table(lake_ticks, f"{root}/ticks", LAYOUTS["ticks"], "overwrite", whole=True)
-    stored = read_table(lake_ticks.sparkSession, f"{root}/ticks", lake_ticks.schema, LAYOUTS["ticks"])
-    write_table(candles.candles_1m(stored), f"{root}/candles_1m", LAYOUTS["candles_1m"], "overwrite", whole=True)
+    spark, version = lake_ticks.sparkSession, time.time_ns() // 1000
+    here = f"{root}/tables-{version}"
+    write_table(lake_ticks, f"{here}/ticks", LAYOUTS["ticks"], "overwrite", whole=True)
+    stored = read_table(spark, f"{here}/ticks", lake_ticks.schema, LAYOUTS["ticks"])
+    kind = stored.schema["time"].dataType
+    write_table(candles.candles_1m(stored), f"{here}/candles_1m", LAYOUTS["candles_1m"], "overwrite", whole=True)
     five = candles.candles_5m(stored)
-    timed = five.withColumn("time", F.timestamp_millis("window_start").cast(stored.schema["time"].dataType))
-    write_table(timed, f"{root}/candles_5m", LAYOUTS["candles_5m"], "overwrite", whole=True)
-    raised = alerts.alerts_all(stored)
-    write_table(raised, f"{root}/alerts", LAYOUTS["alerts"], "overwrite", whole=True)
+    timed = five.withColumn("time", F.timestamp_millis("window_start").cast(kind))
+    write_table(timed, f"{here}/candles_5m", LAYOUTS["candles_5m"], "overwrite", whole=True)
+    write_table(alerts.alerts_all(stored), f"{here}/alerts", LAYOUTS["alerts"], "overwrite", whole=True)
     sampled = returns.volatility_sampled(stored).select("time", "benchmark", "rolling_std_30")
-    write_table(sampled, f"{root}/volatility", LAYOUTS["volatility"], "overwrite", whole=True)
+    hours = returns.realized_vol(stored).select("benchmark", F.col("window_end").cast(kind).alias("_end"), "realized_vol")
+    # the hour that ended last: one row per benchmark and five minutes
+    ended = sampled.withColumn("_end", start_of("time", returns.PANE_SECONDS).cast(kind))
+    measured = ended.join(hours, ["benchmark", "_end"], "left").drop("_end")
+    write_table(measured, f"{here}/volatility", LAYOUTS["volatility"], "overwrite", whole=True)
+    spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("append").parquet(f"{root}/current")
+    return here
+
+
+def current_tables(spark: SparkSession, root: str) -> str:
+    """The folder of the last backfill that was completed."""
+    version = spark.read.schema("version long").parquet(f"{root}/current").agg(F.max("version")).first()[0]
+    return f"{root}/tables-{version}"

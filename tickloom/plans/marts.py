@@ -43,9 +43,17 @@ def daily_stats_window(staged: DataFrame) -> DataFrame:
 
 
 def distinct_on(df: DataFrame, keys: list[str], order_by) -> DataFrame:
-    """The first row of each key in the given order, as a mergeable aggregate."""
-    first = df.groupBy(*keys).agg(F.min_by(F.struct(*df.columns), order_key(order_by)).alias("row"))
-    return first.select("row.*")
+    """The first row of each key in the given order.
+
+    The winning position of each key comes from a hash aggregate over keys and positions alone; only then
+    are the rows at those positions fetched. Rows that tie in key and position are one.
+    """
+    place, at = order_key(order_by), "_first"
+    first = df.groupBy(*keys).agg(F.min(place).alias(at)).withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = place.eqNullSafe(first[at])
+    for k in keys:
+        same = same & df[k].eqNullSafe(first[f"_key_{k}"])
+    return df.join(first, same, "left_semi").dropDuplicates(keys)
 
 
 def daily_analytics(staged: DataFrame) -> DataFrame:

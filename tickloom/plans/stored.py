@@ -8,19 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators import alerts
-from tickloom.plans import dashboard
+from tickloom.plans import dashboard, maintenance
 from tickloom.sources.tables import LAYOUTS, dates_of, newest_rows, space_of
 
 
 @dataclass
 class StoredTables:
-    """The tables that `maintenance.backfill` builds below `root`, laid out by `LAYOUTS`."""
+    """The tables that the last complete `maintenance.backfill` built below `root`, laid out by `LAYOUTS`."""
 
     spark: SparkSession
     root: str
 
+    def __post_init__(self):
+        self.folder = maintenance.current_tables(self.spark, self.root)
+
     def _path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        return f"{self.folder}/{name}"
 
     def rows(self, name: str) -> DataFrame:
         """A whole table with its partition columns."""

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from tickloom.functions.columns import micros
+from tickloom.functions.columns import micros, region_of
 from tickloom.schemas import AVRO_TICK, WIRE_TICK
 
 REGISTRY_HEADER = 5  # one format byte and a four-byte schema number
@@ -93,10 +93,13 @@ def feed_adapter(messages: DataFrame, benchmark: str, exchange: str) -> DataFram
 
 def _wire(ticks: DataFrame):
     known = set(ticks.columns)
+    made = {
+        "event_time": F.floor(micros("time") / 1000),
+        # stored ticks have no region; a benchmark without a market of its own has none on the wire
+        "region": F.col("region") if "region" in known else F.nullif(region_of(), F.lit("OTHER")),
+    }
     fields = [
-        F.floor(micros("time") / 1000).alias("event_time")
-        if f.name == "event_time"
-        else (F.col(f.name) if f.name in known else F.lit(None).cast(f.dataType)).alias(f.name)
+        made.get(f.name, F.col(f.name) if f.name in known else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in WIRE_TICK.fields
     ]
     return F.struct(*fields)
