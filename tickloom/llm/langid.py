@@ -5,7 +5,8 @@ into one vector: the first letter's vector permuted twice, the second's once, th
 multiplied. A text's profile is the bundle (sum) of its trigrams' vectors; a language's prototype is
 the bundle of its training texts. A text gets the language whose prototype has the largest cosine.
 
-Letters are lower-cased; every run of other characters is one word border.
+Letters are lower-cased; every run of other characters is one word border, and each text begins and
+ends with one. Trigrams are bound BLOCK at a time, so memory does not grow with the alphabet.
 
 Cases: null, empty and letterless texts get `und` with score 0; a null language teaches nothing; if
 no language was learned all texts get `und`; of equally near languages the first by name wins; rows
@@ -25,6 +26,8 @@ from tickloom.llm.texts import code_points, fold, groups, rows
 
 DIMENSIONS = 1024
 BORDER = 32
+#: Trigrams that are bound at once: 1,024 bytes each, and four times that as numbers to add up.
+BLOCK = 8192
 UNKNOWN = "und"
 
 _is_letter: list[np.ndarray] = []
@@ -49,23 +52,27 @@ class Letters:
             self.known[code] = bits * np.int8(2) - np.int8(1)
         return self.known[code]
 
-    def trigrams(self, alphabet: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Vectors of trigrams given as numbers to the base len(alphabet)."""
+    def binder(self, alphabet: np.ndarray):
+        """A function that gives the vectors of trigrams, numbers to the base len(alphabet), as floats."""
         own = np.stack([self.letter(int(c)) for c in alphabet])
-        k = len(alphabet)
-        bound = np.roll(own, 2, axis=1)[codes // (k * k)]
-        bound *= np.roll(own, 1, axis=1)[codes // k % k]
-        bound *= own[codes % k]
+        once, twice, k = np.roll(own, 1, axis=1), np.roll(own, 2, axis=1), len(alphabet)
+
+        def bound(codes: np.ndarray) -> np.ndarray:
+            found = twice[codes // (k * k)]
+            found *= once[codes // k % k]
+            found *= own[codes % k]
+            return found.astype(np.float32)
+
         return bound
 
 
 def trigram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(alphabet, trigrams as numbers to the base of its size, text of each trigram)."""
-    lowered = [t.lower() for t in texts]
+    lowered = [" " + t.lower() for t in texts]
     codes = code_points("\x00".join(lowered) + "\x00")
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) + 1 for t in lowered])
     is_letter = letters()[codes]
-    # a border before each text, then letters and the first of each run of others
+    # the border before each text, then letters and the first of each run of others
     keep = is_letter | np.concatenate([[True], is_letter[:-1]]) | np.concatenate([[True], owner[1:] != owner[:-1]])
     codes, owner = np.where(is_letter, codes, BORDER)[keep], owner[keep]
     alphabet, place = _alphabet(codes)
@@ -102,10 +109,15 @@ def prototypes(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = 7) ->
             distinct, place = np.unique(codes, return_inverse=True)
             if not len(distinct):
                 continue
-            bound = vectors.trigrams(alphabet, distinct).astype(np.float32)
-            for lang in set(columns["lang"]):
-                mine = np.bincount(place[(langs == lang)[owner]], minlength=len(distinct))
-                sums[lang] = sums.get(lang, 0) + np.rint(mine.astype(np.float32) @ bound).astype(np.int64)
+            times = {
+                lang: np.bincount(place[(langs == lang)[owner]], minlength=len(distinct)).astype(np.float32)
+                for lang in set(columns["lang"])
+            }
+            bind = vectors.binder(alphabet)
+            for at in range(0, len(distinct), BLOCK):
+                bound = bind(distinct[at : at + BLOCK])
+                for lang, mine in times.items():
+                    sums[lang] = sums.get(lang, 0) + np.rint(mine[at : at + BLOCK] @ bound).astype(np.int64)
         for lang, value in sums.items():
             yield rows(schema, [lang] * dimensions, np.arange(dimensions, dtype=np.int32), value)
 
@@ -138,13 +150,18 @@ def predict(docs: DataFrame, languages: list[str], matrix: np.ndarray, seed: int
             alphabet, codes, owner = trigram_codes(texts)
             if len(codes) and languages:
                 distinct, place = np.unique(codes, return_inverse=True)
-                bound = vectors.trigrams(alphabet, distinct)
+                bind = vectors.binder(alphabet)
+                # few trigrams are bound once for all texts of the batch, many per text
+                whole = bind(distinct) if len(distinct) <= BLOCK else None
                 place = place.astype(np.int32)
                 ends = np.searchsorted(owner, np.arange(len(texts) + 1))
                 for i in range(len(texts)):
                     used, times = np.unique(place[ends[i] : ends[i + 1]], return_counts=True)
                     if len(used):
-                        profile = times.astype(np.float32) @ bound[used].astype(np.float32)
+                        profile = np.zeros(dimensions, np.float32)
+                        for at in range(0, len(used), BLOCK):
+                            part = used[at : at + BLOCK]
+                            profile += times[at : at + BLOCK].astype(np.float32) @ (bind(distinct[part]) if whole is None else whole[part])
                         near = matrix @ profile / max(1e-9, float(np.linalg.norm(profile)))
                         k = int(np.argmax(near))
                         best[i], score[i] = languages[k], min(1.0, max(0.0, float(near[k])))
