@@ -4,9 +4,10 @@ A document is cut into pieces of the sequence length and one rest. Rests of up t
 a class for each length; longer ones are rounded up to classes whose width doubles with the length, so
 that a rest is rounded by less than one part in EXACT. The histogram of the classes is a cutting-stock problem: a pattern says how many
 rests of each class share a sequence. The linear program over patterns is solved by the revised
-simplex method; a knapsack dynamic program prices new patterns against the dual values until none
-improves by more than TOLERANCE. Pattern counts are rounded down, and the few rests left over are
-placed first-fit by decreasing class. Documents are ranked within their class, and ranks are mapped
+simplex method, from first-fit's patterns on; a knapsack dynamic program prices new patterns against
+the dual values until these prove the total to be within TOLERANCE of the optimum. Pattern counts are
+rounded down, those with more than half a sequence left are cut once more where the rests allow it, and
+what remains is placed first-fit by decreasing class. Documents are ranked within their class, and ranks are mapped
 to the patterns' places by ranges, so any number of documents is assigned by joins and windows.
 
 The histogram has at most a few hundred classes, whatever the number of documents; only it and the
@@ -34,7 +35,9 @@ LENGTH = 2048
 #: Lengths up to twice as many tokens have a class each; above, each doubling of the length has as many classes.
 EXACT = 64
 #: Relative gap to the linear program's optimum at which no more patterns are sought.
-TOLERANCE = 1e-3
+TOLERANCE = 2e-4
+#: How far the priced dual values are drawn towards the best known ones.
+PULL = 0.8
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
@@ -112,14 +115,15 @@ def pattern(first: np.ndarray, sizes: np.ndarray, room: int, start: int) -> np.n
 
 
 def patterns(
-    demand: np.ndarray, sizes: np.ndarray | None = None, tolerance: float = TOLERANCE, together: int = 32
+    demand: np.ndarray, sizes: np.ndarray | None = None, tolerance: float = TOLERANCE, together: int = 32, report: dict | None = None
 ) -> list[tuple[np.ndarray, int]]:
     """Patterns and how often each is cut, so that every class i meets its demand exactly.
 
     Class i takes sizes[i] units, i + 1 if not given; a sequence has as many units as the last class.
-    First-fit gives the first columns. If sequences without any gap would save less than `tolerance` on
-    it, it stands. Otherwise each pricing offers the best pattern of each class; up to `together` of them
-    enter the basis while they still improve it.
+    First-fit gives the first columns. Each pricing offers the best pattern of each class; up to
+    `together` of them enter the basis while they still improve it, until the dual values prove the total
+    to be within `tolerance` of the linear program's optimum. `report` is given the number of pricings,
+    the total and that bound.
     """
     sizes = np.arange(1, len(demand) + 1) if sizes is None else sizes
     used = np.flatnonzero(demand)
@@ -127,19 +131,17 @@ def patterns(
         return []
     room, size = int(sizes[-1]), sizes[used]
     need = demand[used].astype(float)
-    fitted = first_fit(demand.astype(np.int64), sizes)
-    count, least = sum(n for _, n in fitted), float(need @ size) / room
-    if count < least * (1 + tolerance) + 1:
-        return fitted
     basis = [np.bincount([i], minlength=len(used)) * (room // s) for i, s in enumerate(size)]
     inverse = np.diag([1 / (room // s) for s in size])
     amount = inverse @ need
-    columns = [p[used] for p, _ in fitted]
-    total, idle = np.inf, 0
+    columns = [p[used] for p, _ in first_fit(demand.astype(np.int64), sizes)]
+    # sizes as shares of a sequence are dual values that no pattern exceeds; the search starts from them
+    centre = size / room
+    total, bound, idle, pricings, pull = np.inf, float(centre @ need), 0, 0, PULL
     # pivots that free no part of a sequence could go round in a circle; the basis is feasible at any time
-    while idle < 2 * len(used) and total > least * (1 + tolerance):
+    while idle < 2 * len(used):
         for column in columns:
-            if inverse.sum(axis=0) @ column <= 1 + tolerance:
+            if inverse.sum(axis=0) @ column <= 1 + 1e-9:
                 continue
             change = inverse @ column
             ratio = np.where(change > 1e-9, amount / np.maximum(change, 1e-9), np.inf)
@@ -153,22 +155,40 @@ def patterns(
             basis[out] = column
         idle = 0 if amount.sum() < total - 1e-9 else idle + 1
         total = min(total, amount.sum())
-        values = inverse.sum(axis=0)
+        duals = inverse.sum(axis=0)
+        # prices of duals drawn towards the best ones so far swing less from round to round
+        values = pull * centre + (1 - pull) * np.maximum(duals, 0)
         best, first = knapsack(values, size, room)
+        pricings += 1
+        # values divided by the best pattern's are feasible duals, so what they are worth bounds the optimum
+        worth = float(values @ need) / max(1.0, float(best[room]))
+        if worth > bound:
+            bound, centre = worth, values / max(1.0, float(best[room]))
+        if total <= bound * (1 + tolerance):
+            break
         prices = values + best[room - size]
-        if prices.max() <= 1 + tolerance:
+        found = [pattern(first, size, room, int(k)) for k in np.argsort(-prices, kind="stable")[:together]]
+        columns = [c for c in found if duals @ c > 1 + 1e-9]
+        pull = pull if columns else pull / 2 if pull > 0.01 else 0.0
+        if not columns and not pull:
             break
-        columns = [pattern(first, size, room, int(k)) for k in np.argsort(-prices, kind="stable")[:together]]
+    if report is not None:
+        report |= {"pricings": pricings, "total": float(total), "bound": bound}
     found, left = [], demand.astype(np.int64).copy()
-    for column, x in zip(basis, amount):
-        whole = np.zeros(len(demand), np.int64)
-        whole[used] = column
-        times = min(int(x + 1e-9), int(np.min(left[whole > 0] // whole[whole > 0])))
+    whole = np.zeros((len(used), len(demand)), np.int64)
+    whole[:, used] = basis
+    counts = np.floor(amount + 1e-9).astype(np.int64)
+    for column, times in zip(whole, counts.tolist()):
+        times = min(times, int(np.min(left[column > 0] // column[column > 0])))
         if times:
-            found.append((whole, times))
-            left -= times * whole
-    found += first_fit(left, sizes)
-    return found if sum(n for _, n in found) < count else fitted
+            found.append((column, times))
+            left -= times * column
+    # of the broken parts, the largest first, those are cut once more that the rest still fills
+    for k in np.argsort(counts - amount, kind="stable").tolist():
+        if amount[k] - counts[k] > 0.5 and (left >= whole[k]).all():
+            found.append((whole[k], 1))
+            left -= whole[k]
+    return found + first_fit(left, sizes)
 
 
 def first_fit(left: np.ndarray, sizes: np.ndarray | None = None) -> list[tuple[np.ndarray, int]]:
