@@ -49,14 +49,21 @@ LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c",
 }
-SPACERS = frozenset(" .-_*~^'`,/\\·")
+SPACERS = frozenset(" \t\n\r\v\f.-_*~^'`,/\\·")
 COST_LOOKALIKE, COST_SPACER, COST_REPEAT, COST_BORDER = 1.0, 0.5, 0.5, 1.0
+#: Of a look-alike before a word that is only punctuation; one letter less is worth about as much.
+COST_FRONT = 3.0
 
 _EDGES = "\"'.,;:?!*#%&|()[]{}<>-_/\\~^`«»„“”¿¡…=+"
-_TRIPLE = re.compile(r"([^\W\d_])\1\1")
+# A letter three times in a row, or two letters that are doubled.
+_TRIPLE = re.compile(r"([^\W\d_])\1\1|([^\W\d_])\2.*?([^\W\d_])\3")
+# Look-alikes that may stand for the first letter of a word.
+_FRONT = "(!|+"
 _MIXED = re.compile(r"[^\W\d_]")
-_SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*]{1,3}[^\W_]){2,}(?!\S)")
-_MAY_BE_SPACED = re.compile(r"(?:^|\s)\S\s\S\s\S(?:\s|$)")
+# Single letters or look-alikes apart from each other, over any white space.
+_ONE = r"(?:[^\W_]|[@$!|+€£(])"
+_SPACED = re.compile(rf"(?<!\S){_ONE}(?:[\s.\-_*]{{1,4}}{_ONE}){{2,}}(?!\S)")
+_MAY_BE_SPACED = re.compile(r"(?:^|\s)\S\s+\S\s+\S(?:\s|$)")
 
 
 def symbol_table() -> np.ndarray:
@@ -105,6 +112,13 @@ def character_model(docs: DataFrame, strength: float = 5.0) -> np.ndarray:
     return np.log(lower).astype(np.float32)
 
 
+def core_of(chunk: str) -> str:
+    """A chunk without the punctuation around it; a look-alike right before its first letter stays."""
+    core = chunk.strip(_EDGES)
+    at = chunk.find(core) - 1
+    return chunk[at] + core if core and at >= 0 and chunk[at] in _FRONT and core[0].isalpha() else core
+
+
 def suspicious(core: str) -> bool:
     """Whether a chunk (without edge punctuation) may hide another spelling."""
     if core.isalpha():
@@ -127,6 +141,8 @@ def restore_chunk(chunk: str, model: np.ndarray) -> str:
             ways.append((" ", COST_BORDER))
         if c == previous:
             ways.append(("", COST_REPEAT))
+        if not previous and c in _FRONT:
+            ways.append((" ", COST_FRONT))
         previous = c
         if not ways:
             ways = [(" ", COST_BORDER)]
@@ -161,7 +177,7 @@ def restore(text: str, model: np.ndarray) -> str:
         text = _SPACED.sub(lambda m: restore_chunk(m[0], model), text)
     out = []
     for chunk in text.split():
-        core = chunk.strip(_EDGES)
+        core = core_of(chunk)
         out.append(chunk.replace(core, restore_chunk(core, model), 1) if suspicious(core) else chunk)
     return " ".join(out)
 
@@ -179,7 +195,7 @@ class Reader:
         self.model, self.weights, self.known = model, weights, {}
 
     def chunk(self, chunk: str) -> tuple[int, tuple[int, ...]]:
-        core = chunk.strip(_EDGES)
+        core = core_of(chunk)
         words = restore_chunk(core, self.model).split() if suspicious(core) else [core]
         parts = {f for w in words if w for f in _features(w)}
         found = len(parts), tuple(parts if self.weights is None else parts & self.weights.keys())
