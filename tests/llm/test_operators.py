@@ -2,9 +2,11 @@
 
 import hashlib
 import math
+import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -158,6 +160,26 @@ def test_classes_hold_their_lengths(spark):
         assert all(sizes[c - 1] - n < n / cutting_stock.EXACT for n, c in found) and sizes[-1] == length
 
 
+def test_linear_program_of_the_documents_lengths(spark):
+    """Pricing runs, its dual values bound the optimum, and rounding stays close to it."""
+    sizes = cutting_stock.class_sizes(2048)
+    cut = cutting_stock.pieces(spark.read.parquet(f"{MIDDLE}/documents.parquet"), queries.tokenizer()).select("length").toPandas()
+    demand = np.bincount(np.searchsorted(sizes, cut["length"]), minlength=len(sizes))
+    report = {}
+    found = cutting_stock.patterns(demand, sizes, report=report)
+    assert (sum(p * n for p, n in found) == demand).all() and all(p @ sizes <= 2048 for p, _ in found)
+    assert report["pricings"] > 10 and report["bound"] <= report["total"] <= 1.001 * report["bound"]
+    assert sum(n for _, n in found) <= math.ceil(1.005 * report["bound"])
+
+
+def test_dual_bound_is_one():
+    """Where the best packing is known: three of 0.34 never share a sequence."""
+    demand, report = np.zeros(100, np.int64), {}
+    demand[33], demand[65] = 300, 10  # sizes 34 and 66
+    found = cutting_stock.patterns(demand, report=report)
+    assert sum(n for _, n in found) == 155 and report["bound"] <= 155.0 + 1e-6 and report["total"] >= 155.0 - 1e-6
+
+
 def test_column_generation_beats_first_fit():
     sizes, lengths = cutting_stock.class_sizes(2048), np.random.default_rng(4).integers(600, 1100, 100_000)
     demand = np.bincount(np.searchsorted(sizes, lengths), minlength=len(sizes))
@@ -265,29 +287,16 @@ def test_binomial_tail(spark):
         assert p == pytest.approx(exact if k <= n * 0.006 else 1.0, rel=1e-9)
 
 
-def test_kneser_ney_probabilities_sum_to_one(spark):
-    docs = spark.createDataFrame([(1, "the cat sat on the mat. the end", "en"), (2, "zz9 q", "en")], "doc_id long, text string, lang string")
-    logs = kneser_ney.train(docs, spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int"))
-    sums = (2.0 ** logs.astype(float)).reshape(-1, kneser_ney.SYMBOLS).sum(axis=1)
-    assert np.allclose(sums, 1, atol=1e-3)
-
-
 def brute_perplexities(trusted, texts):
-    """Interpolated modified Kneser-Ney by its definition, over dictionaries."""
-
-    table = kneser_ney.symbol_table()
+    """Interpolated modified Kneser-Ney by its definition, over dictionaries of characters."""
 
     def symbols(text):
-        kinds = [int(table[ord(c)]) for c in text.lower()] + [0]
-        out = [0, 0, 0]
-        for k in kinds:
-            if k or out[-1]:
-                out.append(k)
-        return out
+        spaced = re.sub("[\t\n\x0b\x0c\r \x85\xa0]+", " ", text.lower()).lstrip(" ") + " "
+        return "   " + re.sub(" +$", " ", spaced)
 
     def grams(text):
         s = symbols(text)
-        return [tuple(s[i - 3 : i + 1]) for i in range(3, len(s))]
+        return [s[i - 3 : i + 1] for i in range(3, len(s))]
 
     counts = {4: Counter(g for t in trusted for g in grams(t))}
     for order in (3, 2, 1):
@@ -316,15 +325,31 @@ def brute_perplexities(trusted, texts):
     return [2 ** (-sum(math.log2(p(g)) for g in grams(t)) / len(grams(t))) for t in texts]
 
 
-def test_perplexities_by_definition(spark):
+def test_perplexities_by_definition(spark, monkeypatch):
+    """Sent to the tasks and joined, in four scripts."""
     rows = spark.read.parquet(f"{SMALL}/documents.parquet").where("n_chars < 1500").orderBy("doc_id").limit(40).collect()
     rows = [(r["doc_id"], r["text"], r["lang"]) for r in rows if r["text"].strip()]
+    more = ["Съешь ещё этих мягких французских булок", "Съешь же  ещё\n булок этих", "我能吞下玻璃而不伤身体。我能", "玻璃不伤身体", " \u03b1\u03b2\u03b3 \u03b1\u03b2", "\tx\u00a0y "]
+    rows += [(10_000 + k, t, "ru") for k, t in enumerate(more)]
     trusted = [r for i, r in enumerate(rows) if i % 2]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    found = kneser_ney.judge(docs, spark.createDataFrame([(r[0], 1) for r in trusted], "doc_id long, quality int"))
-    found = {r["doc_id"]: r["perplexity"] for r in found.collect()}
+    labels = spark.createDataFrame([(r[0], 1) for r in trusted], "doc_id long, quality int")
     want = brute_perplexities([r[1] for r in trusted], [r[1] for r in rows])
-    assert [found[r[0]] for r in rows] == pytest.approx(want, rel=1e-4)
+    for limit in (kneser_ney.BROADCAST, 0):
+        monkeypatch.setattr(kneser_ney, "BROADCAST", limit)
+        found = {r["doc_id"]: r["perplexity"] for r in kneser_ney.judge(docs, labels).collect()}
+        assert [found[r[0]] for r in rows] == pytest.approx(want, rel=1e-9)
+
+
+def test_kneser_ney_probabilities_sum_to_one(spark):
+    docs = spark.createDataFrame([(1, "the cat sat on the mat. the end"), (2, "zz9 q \u044f")], "doc_id long, text string")
+    model = kneser_ney.Model(kneser_ney.train(docs, spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int")))
+    last = np.arange(kneser_ney.SYMBOLS, dtype=np.uint64)
+    for context in ("the", " ca", "xyz", "   ", "z\u044fq"):
+        before = np.uint64(0)
+        for c in context:
+            before = before << np.uint64(16) | np.uint64(ord(c))
+        assert model.probabilities((before << np.uint64(16) | last).view(np.int64)).sum() == pytest.approx(1, abs=1e-9)
 
 
 def test_mix_meets_its_targets(spark):
@@ -345,12 +370,64 @@ def test_held_out_labels(spark):
     assert (lang["lang"] == lang["lang_pred"]).mean() > 0.98
 
 
+def test_short_texts_have_a_language(spark):
+    taught = [(k, t, lang) for k, (t, lang) in enumerate([("a b c the", "en"), ("я и ты", "ru")] * 20)]
+    asked = [(100, "a", None), (101, "x", None), (102, "I.", None), (103, "a 1", None), (104, "12 !", None), (105, "и", None)]
+    found = langid.identify(spark.createDataFrame(taught + asked, "doc_id long, text string, lang string"))
+    got = {r["doc_id"]: r["lang_pred"] for r in found.collect()}
+    assert got[104] == "und" and got[100] == got[103] == "en" and got[105] == "ru" and "und" not in (got[101], got[102])
+
+
+def test_blocks_of_trigrams_change_nothing(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    whole = {r["doc_id"]: (r["lang_pred"], round(r["score"], 5)) for r in langid.identify(docs).collect()}
+    languages, matrix = langid.prototypes(docs)
+    monkeypatch.setattr(langid, "BLOCK", 50)
+    again, other = langid.prototypes(docs)
+    assert again == languages and np.allclose(matrix, other)
+    texts = [t for t in ("".join(map(chr, range(0x4E00, 0x4E00 + 3000))), "abc")]
+    alphabet, codes, _ = langid.trigram_codes(texts)
+    bind = langid.Letters().binder(alphabet)
+    assert bind(codes[:200]).shape == (200, langid.DIMENSIONS) and len(whole) == docs.count()
+
+
+def test_risk_rules_use_cutoffs(spark, tmp_path):
+    """Over a thousand good texts per language: cutoffs pass, fail at a tie and differ, as in SQL."""
+    rng, rows, labels = np.random.default_rng(8), [], []
+    # of 40 plain words and m marked ones: en has 30 texts exactly at 0.2, de two at 0.33
+    for lang, n, few, marked in (("en", 1500, 30, 10), ("de", 1400, 2, 20), (None, 1300, 0, 0), ("fr", 300, 0, 0)):
+        for k in range(n + 60):
+            good = k < n
+            words = [f"w{x}" for x in rng.integers(0, 10**6, 40)]
+            words += [f"#{x}" for x in rng.integers(0, 10**6, marked if k < few else 4 if good and k % 3 else 2 if good else 60)]
+            rows.append((len(rows), " ".join(words), lang, "s", 1))
+            if good:
+                labels.append((len(rows) - 1, 1, 0))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/d")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/l")
+    docs, marks = spark.read.parquet(f"{tmp_path}/d"), spark.read.parquet(f"{tmp_path}/l")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    con.execute(f"CREATE VIEW labels AS SELECT * FROM '{tmp_path}/l/*.parquet'")
+    judged = risk_rules.judge(docs, marks)
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    assert differences(judged.select(*names), con, ORACLES["op7_risk_rules"]).startswith("= ")
+    kept = judged.groupBy("lang").agg(F.sum((~F.col("kept")).cast("int")).alias("gone")).collect()
+    gone = {r["lang"]: r["gone"] for r in kept}
+    assert gone == {"en": 60, "de": 60, None: 60, "fr": 0}
+    figures = risk_rules.statistics(docs)
+    cuts = {r["lang"]: r["cut_symbols"] for r in risk_rules.cutoffs(figures, risk_rules.good_ids(marks)).collect()}
+    assert cuts == {"en": 0.2, "de": 0.5, None: 0.1, "fr": None}
+
+
 def test_restored_spellings():
     counts = np.zeros((64,) * 3)
-    for w in "you are an idiot and a loser people look good".split() * 50:
+    for w in "you are an idiot and a loser people look good see this clown moron stupid".split() * 50:
         s = [0, 0, *map(toxicity.symbol, w), 0]
         for a, b, c in zip(s, s[1:], s[2:]):
             counts[a, b, c] += 1
     model = np.log((counts + 0.05) / (counts.sum(axis=-1, keepdims=True) + 3.2)).astype(np.float32)
     cases = {"an 1d10t": "an idiot", "i d i o t": "idiot", "l.o.s.e.r": "loser", "looooser": "loser", "look good": "look good"}
+    cases |= {"(lown": "clown", "!diot": "idiot", "iiddiioott": "idiot", "mmoorroonn": "moron", "(see this)": "see this)"}
+    cases |= {"i  d  i\n o  t": "idiot", "$ t u p ! d": "stupid", "l\no\ns\ne\nr": "loser"}
     assert {k: toxicity.restore(k, model) for k in cases} == cases
