@@ -1,5 +1,6 @@
 """The training-data operators against brute force, held-out labels and awkward rows."""
 
+import difflib
 import hashlib
 import math
 import re
@@ -197,9 +198,55 @@ def test_extensions_and_spans():
             while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
                 n += 1
             assert x.extension(i, y, j) == n
-    one = prefix_hash.fingerprint("xyz" * 900)
-    assert str(prefix_hash.Fingerprint.parse(str(one))) == str(one)
-    assert one.likeness(prefix_hash.fingerprint("xyz" * 600 + "abc" * 300)) > 0.6
+
+
+def test_likeness_at_any_offset():
+    rng = np.random.default_rng(9)
+    prose = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), rng.integers(2, 9))) for _ in range(n))
+    mark = prefix_hash.Marked
+    text, other = prose(200)[:1000], prose(200)
+    one = mark(text)
+    assert str(mark(text)) == str(one) and one.likeness(mark(text)) == 1.0
+    assert one.likeness(mark("x" + text + "y")) > 0.95
+    assert one.likeness(mark(text[:300] + "#" + text[300:700] + "#" + text[700:])) > 0.95
+    assert one.likeness(mark("a header that was put in front\n\n" + text)) > 0.9
+    assert one.likeness(mark(text[500:] + text[:500])) > 0.95
+    assert one.likeness(mark(other)) < 0.2 and mark(other).likeness(one) < 0.2
+    assert one.likeness(mark("")) == 0.0 and mark("").likeness(mark("")) == 1.0
+    assert mark("short").likeness(mark("shirt")) == 0.8 and mark("a").likeness(mark("b")) == 0.0
+    long = prose(30_000)
+    spread = "".join(c if k % 4000 else "#" for k, c in enumerate(long))
+    assert mark(long).likeness(mark(spread)) > 0.95
+    assert 0 <= mark("ab" * 3000).likeness(mark("ab" * 2000 + "cd" * 500)) <= 1
+    line = "one line that stands there again and again, with nothing new in it\n"
+    assert mark(line * 2000).likeness(mark("x" + line * 1500 + prose(100) + line * 1500)) > 0.6
+
+
+def common_stretches(a, b, least):
+    """Characters of the longer text in common stretches, greedily the longest first, by definition."""
+    free_a, free_b, total = [(0, len(a))], [(0, len(b))], 0
+    while True:
+        best = (0, 0, 0)
+        for low, high in free_a:
+            for under, over in free_b:
+                m = difflib.SequenceMatcher(None, a[low:high], b[under:over], autojunk=False).find_longest_match()
+                best = max(best, (m.size, low + m.a, under + m.b))
+        size, i, j = best
+        if size < least:
+            return total / max(len(a), len(b))
+        total += size
+        free_a = [p for low, high in free_a for p in ([(low, i), (i + size, high)] if low <= i < high else [(low, high)]) if p[0] < p[1]]
+        free_b = [p for low, high in free_b for p in ([(low, j), (j + size, high)] if low <= j < high else [(low, high)]) if p[0] < p[1]]
+
+
+def test_likeness_is_near_the_longest_common_stretches(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").where("n_chars between 300 and 1200").orderBy("doc_id").limit(14).collect()
+    texts = [r["text"] for r in rows]
+    for k, a in enumerate(texts):
+        b = texts[(k + 1) % len(texts)]
+        for c in (b, a[: len(a) // 2] + b[:200] + a[len(a) // 2 :], b[:100] + a[50:-50]):
+            found, want = prefix_hash.Marked(a).likeness(prefix_hash.Marked(c)), common_stretches(a, c, 100)
+            assert abs(found - want) < 0.15, (k, found, want)
 
 
 def test_next_document_is_the_next_lower_id(spark):

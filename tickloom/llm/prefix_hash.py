@@ -1,9 +1,15 @@
 """Document fingerprints by prefix polynomial hashes.
 
 `Prefixes` holds, for one text, the hash of every prefix modulo a prime. Any span's hash is the
-difference of two entries, so two spans compare in constant time and the longest common extension
-from two positions is found by binary search. A fingerprint keeps the entries at up to 64 evenly
-spaced cuts from the front and from the back, and the whole text's hash under two primes.
+difference of two entries, so two spans compare in constant time, and the longest common extension
+from two positions, forward or backward, is found by binary search.
+
+A text is cut where the hash of the next WINDOW characters is a multiple of SPACING, that is at places
+that its content chooses, about one in SPACING characters whatever the length. A fingerprint is the
+spans between cuts, each as its hash and length, and the whole text's hash under two primes. Two texts
+are compared by their spans at any offset: each span that both have is widened to the longest common
+stretch, as are the two beginnings and the two ends; the likeness is the share of the longer text that
+such stretches cover.
 
 Cases: a null text is the empty text; two empty texts are alike (1.0), an empty and a non-empty one
 are not (0.0); rows that repeat a doc_id follow one another in the order of their texts' hashes; a
@@ -13,6 +19,7 @@ empty result.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -26,7 +33,8 @@ from tickloom.llm.texts import code_points, rows, text_key
 
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASE = 1_000_003
-CUTS = 64
+#: Characters whose hash decides on a cut, and characters between cuts on average.
+WINDOW, SPACING = 8, 48
 
 _powers: dict[tuple[int, int], np.ndarray] = {}
 
@@ -70,86 +78,112 @@ class Prefixes:
             low, high = (middle, high) if self.same(start, other, other_start, middle) else (low, middle - 1)
         return low
 
-    def fingerprint(self, total: int) -> Fingerprint:
-        """`total`: hash of the whole text under another prime."""
-        step = 1
-        while step * CUTS < self.n:
-            step *= 2
-        front = np.arange(0, self.n + 1, step)
-        back = self.n - front
-        unshift = powers(pow(BASE, -1, self.prime), self.prime, self.n + 1)
+    def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of many spans."""
         prime = np.uint64(self.prime)
-        ends = (self.at[-1] + prime - self.at[back]) % prime * unshift[back] % prime
-        return Fingerprint(self.n, step, int(self.at[-1]), total, self.at[front], ends)
-
-
-class Fingerprint:
-    """Sampled prefix and suffix hashes, every `step` characters."""
-
-    def __init__(self, n, step, whole, total, front, back):
-        self.n, self.step, self.whole, self.total, self.front, self.back = n, step, whole, total, front, back
+        unshift = powers(pow(BASE, -1, self.prime), self.prime, self.n + 1)
+        return (self.at[ends] + prime - self.at[starts]) % prime * unshift[starts] % prime
 
-    def __str__(self) -> str:
-        cuts = ">u4"
-        return (
-            f"{self.n:x}.{self.step:x}.{self.whole:08x}{self.total:08x}."
-            f"{self.front[1:].astype(cuts).tobytes().hex()}.{self.back[1:].astype(cuts).tobytes().hex()}"
-        )
-
-    @staticmethod
-    def parse(text: str) -> Fingerprint:
-        n, step, whole, front, back = text.split(".")
-        cuts = [np.concatenate([[0], np.frombuffer(bytes.fromhex(x), ">u4")]).astype(np.uint64) for x in (front, back)]
-        return Fingerprint(int(n, 16), int(step, 16), int(whole[:8], 16), int(whole[8:], 16), *cuts)
-
-    def likeness(self, other: Fingerprint) -> float:
-        """Share of the longer text that both have in place, or as common beginning and end.
-
-        Both are sampled at the coarser of the two steps. The common beginning and end are located
-        by binary search (a longer common prefix contains every shorter one); later equal spans at
-        the same place are those whose hash differences agree.
-        """
-        if self.n == other.n and (self.whole, self.total) == (other.whole, other.total):
-            return 1.0
-        longest = max(self.n, other.n)
-        if not min(self.n, other.n):
-            return 0.0
-        step = max(self.step, other.step)
-        a, b = self.front[:: step // self.step], other.front[:: step // other.step]
-        c, d = self.back[:: step // self.step], other.back[:: step // other.step]
-        ends = _common(a, b) + _common(c, d)
-        k = min(len(a), len(b))
-        prime = np.uint64(PRIMES[0])
-        placed = int(np.count_nonzero((a[1:k] + prime - a[: k - 1]) % prime == (b[1:k] + prime - b[: k - 1]) % prime))
-        return min(1.0, max(ends, placed) * step / longest, min(self.n, other.n) / longest)
-
-
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    """Number of cuts up to which two arrays of prefix hashes agree."""
-    low, high = 0, min(len(a), len(b)) - 1
-    while low < high:
-        middle = (low + high + 1) // 2
-        low, high = (middle, high) if a[middle] == b[middle] else (low, middle - 1)
-    return low
+    def cuts(self) -> np.ndarray:
+        """Where the text is cut, its beginning and end included."""
+        places = np.arange(1, max(1, self.n - WINDOW + 1))
+        chosen = places[self.spans(places, places + WINDOW) % np.uint64(SPACING) == 0] if len(places) else places
+        return np.concatenate([[0], chosen, [self.n]]) if self.n else np.zeros(1, np.int64)
 
 
 class Marked:
-    """A text with its prefix hashes under both primes and its fingerprint."""
+    """A text with its prefix hashes under both primes and its spans."""
 
     def __init__(self, text: str, head: Marked | None = None, shared: int = 0):
         self.text, codes = text, code_points(text)
         heads = head.prefixes if head else (None, None)
         self.prefixes = tuple(Prefixes(codes, p, h, shared) for p, h in zip(PRIMES, heads))
-        self.mark = self.prefixes[0].fingerprint(int(self.prefixes[1].at[-1]))
+        cuts = self.prefixes[0].cuts()
+        self.starts, self.lengths = cuts[:-1], np.diff(cuts)
+        self.hashes = self.prefixes[0].spans(cuts[:-1], cuts[1:])
+
+    @property
+    def n(self) -> int:
+        return self.prefixes[0].n
+
+    def __str__(self) -> str:
+        """The fingerprint: length, hashes of the whole under both primes, hashes and lengths of the spans."""
+        whole = "".join(f"{int(p.at[-1]):08x}" for p in self.prefixes)
+        return f"{self.n:x}.{whole}.{self.hashes.astype('>u4').tobytes().hex()}.{self.lengths.astype('>u4').tobytes().hex()}"
 
     def edited(self, following: str) -> Marked:
         cut = len(self.text) // 3
         shared = len(self.text) - cut
         return Marked(self.text[:shared] + following[:cut], self, shared)
 
-
-def fingerprint(text: str) -> Fingerprint:
-    return Marked(text).mark
+    def _reach(self, i: int, other: Marked, j: int, low: int, other_low: int, high: int, other_high: int) -> tuple[int, int]:
+        """How far equal text reaches back from (i, j) and forward, within the given bounds, under both primes."""
+
+        def most(limit: int, same) -> int:
+            low_, high_ = 0, limit
+            while low_ < high_:
+                middle = (low_ + high_ + 1) // 2
+                low_, high_ = (middle, high_) if same(middle) else (low_, middle - 1)
+            return low_
+
+        pairs = list(zip(self.prefixes, other.prefixes))
+        back = most(min(i - low, j - other_low), lambda k: all(a.same(i - k, b, j - k, k) for a, b in pairs))
+        on = most(min(high - i, other_high - j), lambda k: all(a.same(i, b, j, k) for a, b in pairs))
+        return back, on
+
+    def likeness(self, other: Marked) -> float:
+        """Share of the longer text that stretches common to both cover; a stretch of either counts once."""
+        if not (self.n and other.n):
+            return float(self.n == other.n)
+        _, begun = self._reach(0, other, 0, 0, 0, self.n, other.n)
+        ended, _ = self._reach(self.n, other, other.n, begun, begun, self.n, other.n)
+        covered, low, high = begun + ended, begun, self.n - ended
+        top = other.n - ended
+        theirs: dict[tuple[int, int], list[int]] = {}
+        inside = (other.starts + other.lengths > begun) & (other.starts < top)
+        for h, size, start in zip(other.hashes[inside].tolist(), other.lengths[inside].tolist(), other.starts[inside].tolist()):
+            theirs.setdefault((h, size), []).append(start)
+        free, at = Free(begun, top), begun
+        for h, size, start in zip(self.hashes.tolist(), self.lengths.tolist(), self.starts.tolist()):
+            if start < low or start + size > high or (h, size) not in theirs:
+                continue
+            here = free.first(theirs[h, size], size, at)
+            if here is None:
+                continue
+            bottom, ceiling = free.around(here, size)
+            back, on = self._reach(start, other, here, low, bottom, high, ceiling)
+            if on < size:
+                continue  # another span of the same hash
+            covered += back + on
+            low, at = start + on, here + on
+            free.take(here - back, here + on)
+        return min(1.0, covered / max(self.n, other.n))
+
+
+class Free:
+    """Stretches of a text that no common stretch covers yet."""
+
+    def __init__(self, low: int, high: int):
+        self.parts = [(low, high)]
+
+    def around(self, start: int, size: int) -> tuple[int, int] | None:
+        """The free stretch that holds the span."""
+        k = bisect.bisect_right(self.parts, (start, 1 << 62)) - 1
+        return self.parts[k] if k >= 0 and start + size <= self.parts[k][1] else None
+
+    def first(self, places: list[int], size: int, at: int) -> int | None:
+        """The first free one of the places from `at` on, else of all; covered ones leave the list for good."""
+        for k in (bisect.bisect_left(places, at), 0):
+            while k < len(places):
+                if self.around(places[k], size):
+                    return places[k]
+                places.pop(k)
+        return None
+
+    def take(self, start: int, end: int) -> None:
+        k = bisect.bisect_right(self.parts, (start, 1 << 62)) - 1
+        low, high = self.parts[k]
+        self.parts[k : k + 1] = [p for p in ((low, start), (end, high)) if p[0] < p[1]]
 
 
 RESULT = (
@@ -175,8 +209,8 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if waiting and waiting[0] == bucket:
                 own, changed = waiting[2], waiting[2].edited(here.text)
                 sha = hashlib.sha256(changed.text.encode("utf-8", "surrogatepass")).hexdigest()
-                likeness = own.mark.likeness(changed.mark), own.mark.likeness(here.mark)
-                out.append((waiting[1], len(own.text), sha, str(own.mark), str(changed.mark), *likeness))
+                likeness = own.likeness(changed), own.likeness(here)
+                out.append((waiting[1], len(own.text), sha, str(own), str(changed), *likeness))
             waiting = None if borrowed else (bucket, doc_id, here)
             if len(out) >= 500:
                 yield rows(_ARROW, *zip(*out))
