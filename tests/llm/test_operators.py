@@ -131,7 +131,14 @@ def test_planes_come_back():
     ids = np.random.default_rng(1).integers(0, 49_408, 10_001).astype(np.uint32)
     assert (token_store.join_planes(token_store.shuffle_planes(ids), len(ids)) == ids).all()
     doc_ids, counts, back = token_store.unpack(token_store.pack([5, 6], [1, 10_000], ids))
-    assert doc_ids.tolist() == [5, 6] and counts.tolist() == [1, 10_000] and (back == ids).all()
+    assert doc_ids == [5, 6] and counts.tolist() == [1, 10_000] and (back == ids).all()
+
+
+def test_the_smallest_id_is_not_a_missing_one(spark, tmp_path):
+    rows = [(None, "a"), (-(2**63), "b c"), (None, "d"), (0, "e")]
+    token_store.write_store(spark.createDataFrame(rows, "doc_id long, text string"), queries.tokenizer(), f"{tmp_path}/s", shards=2)
+    found = token_store.read_store(spark, f"{tmp_path}/s").orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == [None, None, -(2**63), 0]
 
 
 def test_patterns_meet_the_demand():

@@ -2,8 +2,8 @@
 
 A store is a table of chunks, one binary record each, in shards by ascending doc_id, and an index.
 
-Chunk: header (magic, documents, ids, block size, planes), the documents' ids and token counts, the
-length of every plane, the planes. Ids are cut into blocks of 4096. Of each block the bits of equal
+Chunk: header (magic, documents, those without an id, ids, block size, planes), the documents' ids (0
+for none; those come first) and token counts, the length of every plane, the planes. Ids are cut into blocks of 4096. Of each block the bits of equal
 rank are put side by side (bit planes), so that the rare high bits become long runs; all blocks'
 planes of one rank are compressed together with zstandard. A chunk holds whole documents, at least
 65,536 ids unless it is the shard's last, and can be read alone. The index (shard, chunk, documents,
@@ -26,17 +26,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.texts import groups, rows, text_key
 from tickloom.llm.tokens import BATCH_CHARS, Encoder
 
-MAGIC = b"TLPLANE1"
-HEADER = struct.Struct("<8sQQII")
+MAGIC = b"TLPLANE2"
+HEADER = struct.Struct("<8sQQQII")
 BLOCK = 4096
 CHUNK_IDS = 65_536
-NO_ID = -(2**63)
 
 
 def shuffle_planes(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
@@ -54,17 +54,18 @@ def join_planes(planes: list[bytes], count: int) -> np.ndarray:
     return ids
 
 
-def pack(doc_ids: list[int], counts: list[int], ids: np.ndarray, level: int = 3) -> bytes:
+def pack(doc_ids: list[int | None], counts: list[int], ids: np.ndarray, level: int = 3) -> bytes:
     press = zstandard.ZstdCompressor(level=level)
     planes = [press.compress(p) for p in shuffle_planes(ids)]
-    table = np.array(doc_ids, "<i8").tobytes() + np.array(counts, "<u8").tobytes()
+    nulls = doc_ids.count(None)
+    table = np.array([d or 0 for d in doc_ids], "<i8").tobytes() + np.array(counts, "<u8").tobytes()
     sizes = np.array([len(p) for p in planes], "<u8").tobytes()
-    return HEADER.pack(MAGIC, len(doc_ids), len(ids), BLOCK, len(planes)) + table + sizes + b"".join(planes)
+    return HEADER.pack(MAGIC, len(doc_ids), nulls, len(ids), BLOCK, len(planes)) + table + sizes + b"".join(planes)
 
 
-def unpack(chunk: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unpack(chunk: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     """(doc ids, token counts, ids) of a chunk."""
-    magic, docs, count, block, planes = HEADER.unpack_from(chunk)
+    magic, docs, nulls, count, block, planes = HEADER.unpack_from(chunk)
     if magic != MAGIC:
         raise ValueError("not a token chunk")
     at = HEADER.size
@@ -77,7 +78,7 @@ def unpack(chunk: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for n in sizes:
         parts.append(zstandard.ZstdDecompressor().decompress(chunk[at : at + n], max_output_size=room))
         at += n
-    return doc_ids, counts, join_planes(parts, count)
+    return [None] * nulls + doc_ids[nulls:].tolist(), counts, join_planes(parts, count)
 
 
 def write_store(docs: DataFrame, tokenizer: str, path: str, shards: int | None = None) -> None:
@@ -88,12 +89,12 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, shards: int | None =
     spark = docs.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     schema = pa.schema(
-        [("first_doc", pa.int64()), ("chunk", pa.int64()), ("docs", pa.int64()), ("ids", pa.int64()), ("payload", pa.binary())]
+        [("shard", pa.int64()), ("chunk", pa.int64()), ("docs", pa.int64()), ("ids", pa.int64()), ("payload", pa.binary())]
     )
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, number = Encoder(tokenizer), None, 0
-        doc_ids: list[int] = []
+        encoder, shard, number = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        doc_ids: list[int | None] = []
         counts: list[int] = []
         held: list[np.ndarray] = []
 
@@ -103,8 +104,7 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, shards: int | None =
 
         for columns, texts in groups(batches, most=BATCH_CHARS):
             ids, borders = encoder.encode(texts)
-            names = [NO_ID if d is None else d for d in columns["doc_id"]]
-            shard = names[0] if shard is None else shard
+            names = columns["doc_id"]
             start = 0
             while start < len(texts):
                 # as many documents as fill the chunk, one at least
@@ -126,18 +126,18 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, shards: int | None =
         .repartitionByRange(shards, "doc_id")
         .sortWithinPartitions("doc_id", text_key(F.col("text")))
     )
-    made = placed.mapInArrow(chunks, "first_doc long, chunk long, docs long, ids long, payload binary")
+    made = placed.mapInArrow(chunks, "shard long, chunk long, docs long, ids long, payload binary")
     made.write.option("compression", "none").parquet(f"{path}/chunks")
-    written = spark.read.parquet(f"{path}/chunks").select("first_doc", "chunk", "docs", "ids")
-    # shards are told apart by their first document; ranges of doc_id never share one
-    totals = written.groupBy("first_doc").agg(F.sum("ids").alias("total"))
+    written = spark.read.parquet(f"{path}/chunks").select("shard", "chunk", "docs", "ids")
+    # a shard's number is its range's, so shards stand in the order of doc_id
+    totals = written.groupBy("shard").agg(F.sum("ids").alias("total"))
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select(
-        "first_doc", F.coalesce(F.sum("total").over(before.orderBy("first_doc")), F.lit(0)).alias("base")
+        "shard", F.coalesce(F.sum("total").over(before.orderBy("shard")), F.lit(0)).alias("base")
     )
-    within = F.coalesce(F.sum("ids").over(before.partitionBy("first_doc").orderBy("chunk")), F.lit(0))
-    index = written.withColumn("within", within).join(base, "first_doc")
-    index.select("first_doc", "chunk", "docs", "ids", (F.col("base") + F.col("within")).alias("start")).write.parquet(
+    within = F.coalesce(F.sum("ids").over(before.partitionBy("shard").orderBy("chunk")), F.lit(0))
+    index = written.withColumn("within", within).join(base, "shard")
+    index.select("shard", "chunk", "docs", "ids", (F.col("base") + F.col("within")).alias("start")).write.parquet(
         f"{path}/index"
     )
 
@@ -154,11 +154,10 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
                 raw, data = ids.astype("<u4"), []
                 for end, count in zip(ends.tolist(), counts.tolist()):
                     data.append(raw[end - count : end].tobytes())
-                names = [None if d == NO_ID else d for d in doc_ids.tolist()]
-                yield rows(schema, names, start + ends - counts, counts, data)
+                yield rows(schema, doc_ids, start + ends - counts, counts, data)
 
-    found = spark.read.parquet(f"{path}/chunks").select("first_doc", "chunk", "payload")
-    placed = found.join(spark.read.parquet(f"{path}/index").select("first_doc", "chunk", "start"), ["first_doc", "chunk"])
+    found = spark.read.parquet(f"{path}/chunks").select("shard", "chunk", "payload")
+    placed = found.join(spark.read.parquet(f"{path}/index").select("shard", "chunk", "start"), ["shard", "chunk"])
     return placed.select("payload", "start").mapInArrow(each, "doc_id long, start long, n_tokens long, ids binary")
 
 
