@@ -413,6 +413,40 @@ def test_mix_meets_its_targets(spark):
     totals = (np.stack(found["posterior"]) * (found["rate"] * found["tokens"]).to_numpy()[:, None]).sum(axis=0)
     targets = [queries.WEIGHTS.get(d, 0.0) for d in found["domains"][0]]
     assert np.allclose(totals / totals.sum(), targets, atol=0.005) and (found["rate"] >= 0).all()
+    assert np.allclose(found["reached"][0], totals, rtol=1e-6)
+    assert np.allclose(np.array(found["targets"][0]) / sum(found["targets"][0]), targets)
+
+
+def test_posteriors_by_definition(spark):
+    """Naive Bayes over the chosen characters, in plain Python, with domains of two alphabets."""
+    rng = np.random.default_rng(11)
+    rows, labels = [], []
+    for k, (alphabet, domain) in enumerate([("абвгдежз", "ru"), ("абвгijkl", "mixed"), ("теснория", "bg"), ("abcdefgh", "en")] * 30):
+        rows.append((k, " ".join("".join(rng.choice(list(alphabet), 5)) for _ in range(30)) + " Ab#1"))
+        labels += [(k, domain)] if k % 3 else []
+    docs = spark.createDataFrame([*rows, (999, None)], "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, domain string")
+    found = mixing.rates(docs, marks, {"ru": 0.5, "en": 0.5}).collect()
+    letters = mixing.telling_characters(docs, marks)
+    assert set("жзтиabcdijkl") & set(letters) and len(letters) == mixing.CHARACTERS
+
+    def counts(text):
+        low = text.lower()
+        got = [low.count(c) for c in letters]
+        got += [len(re.findall(r"[#*$%&|<>!]", text)), sum(c.isupper() for c in text)]
+        return np.array([*got, max(0, len(text) - sum(got))], float)
+
+    texts, domains = dict(rows), sorted({d for _, d in labels})
+    sums = {d: sum(counts(texts[k]) for k, e in labels if e == d) + 1 for d in domains}
+    priors = np.log([sum(e == d for _, e in labels) / len(labels) for d in domains])
+    logs = np.array([np.log(sums[d] / sums[d].sum()) for d in domains])
+    for r in found:
+        c = counts(texts.get(r["doc_id"], ""))
+        score = priors + mixing.EVIDENCE / math.sqrt(max(1, c.sum())) * (logs @ c)
+        want = np.exp(score - score.max()) / np.exp(score - score.max()).sum()
+        assert np.allclose(r["posterior"], want, atol=1e-9)
+    right = sum(r["domains"][int(np.argmax(r["posterior"]))] == ["ru", "mixed", "bg", "en"][r["doc_id"] % 4] for r in found if r["doc_id"] != 999)
+    assert right == len(rows)
 
 
 def test_held_out_labels(spark):

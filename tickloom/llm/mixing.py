@@ -1,7 +1,9 @@
 """Mixing documents to target weights by soft domain membership, in DataFrame functions only.
 
 A naive Bayes model of character counts, learned from a labelled table, gives each document a
-posterior over domains. Projected-gradient least squares then fits a rate for each document so that
+posterior over domains. Which characters are counted is learned too: those that tell most about the
+domain (mutual information) in CHOSEN_FROM labelled documents, whatever the alphabet; all other
+characters are one class, and capitals and symbols are two more. Projected-gradient least squares then fits a rate for each document so that
 the expected tokens of each domain, the sum of rate x tokens x posterior, meet target totals: every
 step measures the residuals in one aggregate over the documents, and moves each rate against its
 own posterior's share of them, down to the lowest rate allowed. Residuals are scaled by the domains'
@@ -26,19 +28,41 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.texts import free_name, saved, text_key
 
-#: Letters whose shares tell the languages apart, in either case, and two groups of other characters.
-LETTERS = "aehnostwzqcjéèêñóäöüß"
-GROUPS = {"symbols": r"[#*$%&|<>!]", "capitals": r"[A-ZÀ-Þ]"}
-NAMES = [f"c{i}" for i in range(len(LETTERS))] + list(GROUPS) + ["others"]
+#: Characters that are counted one by one, and labelled documents at most that they are chosen from.
+CHARACTERS, CHOSEN_FROM = 21, 4000
+GROUPS = {"symbols": r"[#*$%&|<>!]", "capitals": r"\p{Lu}"}
 WORD = r"[^\x20\x09-\x0D]+"
 #: How many characters' worth of evidence a text of n characters has: EVIDENCE * sqrt(n).
 EVIDENCE = 3.0
-#: Steps at most; the fit ends before when no domain is off by more than PRECISION of its size, or when
-#: a step no longer lowers the squared residuals by a hundredth.
-STEPS, PRECISION = 30, 1e-3
-
-
-def measured(docs: DataFrame, *columns) -> DataFrame:
+#: The fit ends when no domain is off by more than PRECISION of its size, or when a step no longer lowers
+#: the squared residuals by a thousandth: then rates at their lowest keep the targets out of reach, which
+#: the totals reached show. STEPS only guards against a fit without end.
+STEPS, PRECISION, PROGRESS = 300, 1e-3, 0.999
+
+
+def names_of(letters: list[str]) -> list[str]:
+    """The columns of the character counts."""
+    return [f"c{i}" for i in range(len(letters))] + list(GROUPS) + ["others"]
+
+
+def telling_characters(docs: DataFrame, labels: DataFrame, count: int = CHARACTERS) -> list[str]:
+    """The lower-case characters that share most information with the domain, in labelled documents."""
+    known = labels.where(F.col("domain").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "domain")
+    # of bounded size, so it can be sent to the texts
+    taught = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id", "domain").limit(CHOSEN_FROM))
+    texts = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text")).join(taught, "doc_id")
+    each = texts.select("domain", F.explode(F.split("text", "")).alias("character")).where(~F.col("character").rlike(r"^\s?$"))
+    counts = saved(each.groupBy("domain", "character").agg(F.count("*").cast("double").alias("n")), "character-counts")
+    of_domain = counts.groupBy("domain").agg(F.sum("n").alias("in_domain"))
+    of_all = counts.groupBy("character").agg(F.sum("n").alias("in_all"))
+    total = counts.agg(F.sum("n")).first()[0] or 1.0
+    joined = counts.join(of_domain, "domain").join(of_all, "character")
+    told = F.col("n") / total * F.ln(F.col("n") * total / (F.col("in_domain") * F.col("in_all")))
+    best = joined.groupBy("character").agg(F.sum(told).alias("told")).orderBy(F.desc("told"), "character").limit(count)
+    return [r["character"] for r in best.collect()]
+
+
+def measured(docs: DataFrame, letters: list[str], *columns) -> DataFrame:
     """`columns`, text_key, tokens (words) and the character counts of each row.
 
     A text is lower-cased once, in a projection of its own.
@@ -46,17 +70,18 @@ def measured(docs: DataFrame, *columns) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     held = docs.select(*columns, text.alias("text"), F.lower(text).alias("lower"), text_key(F.col("text")).alias("text_key"))
     # bytes are counted, as their number is known without reading the text again
-    lost = [F.octet_length("lower") - F.octet_length(F.replace("lower", F.lit(c), F.lit(""))) for c in LETTERS]
-    found = [(n / len(c.encode())).cast("int") for n, c in zip(lost, LETTERS)]
+    lost = [F.octet_length("lower") - F.octet_length(F.replace("lower", F.lit(c), F.lit(""))) for c in letters]
+    found = [(n / len(c.encode())).cast("int") for n, c in zip(lost, letters)]
     found += [F.regexp_count("text", F.lit(p)) for p in GROUPS.values()]
+    names = names_of(letters)
     counted = held.select(
         *columns,
         "text_key",
         F.regexp_count("text", F.lit(WORD)).cast("double").alias("tokens"),
-        *[c.alias(n) for c, n in zip(found, NAMES)],
+        *[c.alias(n) for c, n in zip(found, names)],
         F.length("text").alias("n_chars"),
     )
-    rest = F.greatest(F.col("n_chars") - _sum([F.col(n) for n in NAMES[:-1]]), F.lit(0))
+    rest = F.greatest(F.col("n_chars") - _sum([F.col(n) for n in names[:-1]]), F.lit(0))
     return counted.withColumn("others", rest).drop("n_chars")
 
 
@@ -65,6 +90,7 @@ class Classifier:
     """log P(character class | domain) and log P(domain): domains x classes numbers."""
 
     domains: list[str]
+    names: list[str] = field(default_factory=list)
     priors: list[float] = field(default_factory=list)
     logs: list[list[float]] = field(default_factory=list)
 
@@ -78,15 +104,15 @@ class Classifier:
         Scores are columns of their own, so that each is computed once.
         """
         scores = [f"score{k}" for k in range(len(self.domains))]
-        weight = F.lit(EVIDENCE) / F.sqrt(F.greatest(_sum([F.col(n) for n in NAMES]), F.lit(1)))
+        weight = F.lit(EVIDENCE) / F.sqrt(F.greatest(_sum([F.col(n) for n in self.names]), F.lit(1)))
         scored = features.withColumn("weight", weight)
         for name, prior, logs in zip(scores, self.priors, self.logs):
-            scored = scored.withColumn(name, F.lit(prior) + F.col("weight") * _dot([F.col(n) for n in NAMES], logs))
+            scored = scored.withColumn(name, F.lit(prior) + F.col("weight") * _dot([F.col(n) for n in self.names], logs))
         shares = {
             p: 1.0 / _sum([F.exp(F.least(F.col(o) - F.col(s), F.lit(700.0))) for o in scores])
             for p, s in zip(self.columns, scores)
         }
-        return scored.drop(*NAMES).withColumns(shares).drop("weight", *scores)
+        return scored.drop(*self.names).withColumns(shares).drop("weight", *scores)
 
 
 def _sum(columns: list[Column]) -> Column:
@@ -97,16 +123,16 @@ def _dot(columns: list[Column], numbers: list[float]) -> Column:
     return _sum([c * F.lit(x) for c, x in zip(columns, numbers)]) if columns else F.lit(0.0)
 
 
-def classifier(features: DataFrame, labels: DataFrame) -> Classifier:
+def classifier(features: DataFrame, labels: DataFrame, names: list[str]) -> Classifier:
     """Learn from `features` (doc_id and the columns of `measured`) and `labels` (doc_id, domain)."""
     taught = features.join(labels.where(F.col("domain").isNotNull()).select("doc_id", "domain"), "doc_id")
-    found = taught.groupBy("domain").agg(F.count("*").alias("n"), *[F.sum(n).alias(n) for n in NAMES]).orderBy("domain").collect()
-    model, texts = Classifier([]), sum(r["n"] for r in found)
+    found = taught.groupBy("domain").agg(F.count("*").alias("n"), *[F.sum(n).alias(n) for n in names]).orderBy("domain").collect()
+    model, texts = Classifier([], names), sum(r["n"] for r in found)
     for r in found:
-        total = sum(r[n] + 1 for n in NAMES)
+        total = sum(r[n] + 1 for n in names)
         model.domains.append(r["domain"])
         model.priors.append(math.log(r["n"] / texts))
-        model.logs.append([math.log((r[n] + 1) / total) for n in NAMES])
+        model.logs.append([math.log((r[n] + 1) / total) for n in names])
     return model
 
 
@@ -115,6 +141,7 @@ class Mix:
     """A fitted mix: how to find a document's rate from its posterior."""
 
     model: Classifier
+    letters: list[str]
     lowest: float
     moves: list[list[float]]  # per step and domain: scaled residual
     targets: list[float]
@@ -129,13 +156,15 @@ class Mix:
         return rate
 
 
-def fit(features: DataFrame, labels: DataFrame, weights: dict[str, float], lowest: float = 0.0) -> tuple[Mix, DataFrame]:
+def fit(docs: DataFrame, labels: DataFrame, weights: dict[str, float], lowest: float = 0.0) -> tuple[Mix, DataFrame]:
     """The mix, and the saved table (doc_id, text_key, tokens, p0, p1, ...) that it was fitted on.
 
     `weights`: share of the tokens that each domain is to have; domains not named get none. The
     total is the documents' tokens, or if rates may not fall below `lowest`, as many as that takes.
     """
-    model = classifier(features, labels)
+    letters = telling_characters(docs, labels)
+    features = saved(measured(docs, letters, "doc_id"), "characters")
+    model = classifier(features, labels, names_of(letters))
     size, own = len(model.domains), model.columns
     table = saved(model.posteriors(features), "posteriors")
     posterior = [F.col(n) for n in own]
@@ -144,7 +173,7 @@ def fit(features: DataFrame, labels: DataFrame, weights: dict[str, float], lowes
         got = table.agg(*[F.sum(rate * F.col("tokens") * p).alias(n) for p, n in zip(posterior, own)]).first()
         return [float(x or 0.0) for x in got]
 
-    mix = Mix(model, lowest, [], [], [])
+    mix = Mix(model, letters, lowest, [], [], [])
     if not size:
         return mix, table
     sizes = totals(F.lit(1.0))
@@ -156,7 +185,7 @@ def fit(features: DataFrame, labels: DataFrame, weights: dict[str, float], lowes
     for step in range(STEPS):
         move = [(r - t) / s if s > 0 else 0.0 for r, t, s in zip(mix.reached, mix.targets, sizes)]
         loss = sum(m * m * s for m, s in zip(move, sizes))
-        if max(map(abs, move)) < PRECISION or loss > 0.99 * before:
+        if max(map(abs, move)) < PRECISION or loss > PROGRESS * before:
             break
         before = loss
         mix.moves.append(move)
@@ -181,9 +210,11 @@ def copies(rate: Column, doc_id: Column, key: Column) -> Column:
 
 
 def rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float], lowest: float = 0.0) -> DataFrame:
-    """doc_id, tokens, posterior (one per domain in order of name), domains, rate, copies per row."""
-    features = saved(measured(docs, "doc_id"), "characters")
-    mix, table = fit(features, labels, weights, lowest)
+    """doc_id, tokens, posterior (one per domain in order of name), domains, targets, reached, rate, copies per row.
+
+    `targets` and `reached` are the domains' token totals: wanted, and expected with these rates.
+    """
+    mix, table = fit(docs, labels, weights, lowest)
     posterior = [F.col(n) for n in mix.model.columns]
     rate = mix.rate()
     names = [F.lit(d) for d in mix.model.domains]
@@ -192,6 +223,7 @@ def rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float], lowest:
         F.col("tokens").cast("long").alias("tokens"),
         (F.array(*names) if names else F.array().cast("array<string>")).alias("domains"),
         (F.array(*posterior) if names else F.array().cast("array<double>")).alias("posterior"),
+        *[F.array(*map(F.lit, x)).cast("array<double>").alias(n) for n, x in (("targets", mix.targets), ("reached", mix.reached))],
         rate.alias("rate"),
         copies(rate, F.col("doc_id"), F.col("text_key")).alias("copies"),
     )
@@ -199,11 +231,10 @@ def rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float], lowest:
 
 def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float], lowest: float = 0.0) -> DataFrame:
     """`docs` with every row repeated as its rate says. Rates are found again from the texts: no join."""
-    features = saved(measured(docs, "doc_id"), "characters")
-    mix, _ = fit(features, labels, weights, lowest)
+    mix, _ = fit(docs, labels, weights, lowest)
     times = free_name(docs, "mix_copies")
     held = docs.select(F.struct("*").alias("row"), "doc_id", "text")
-    shown = measured(held, "row", "doc_id")
+    shown = measured(held, mix.letters, "row", "doc_id")
     shown = mix.model.posteriors(shown).withColumn("rate", mix.rate())
     again = shown.select("row", copies(F.col("rate"), F.col("doc_id"), F.col("text_key")).alias(times))
     return again.select("row", F.explode(F.array_repeat(F.lit(0), F.col(times)))).select("row.*")
