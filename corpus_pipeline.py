@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir), where docs are the rows that the stage before kept, and
 returns the columns of `documents`; the last returns the pieces of the packed sequences.
+
+Cases, the same in all stages: a null text is the empty text, and stays null where a stage only selects;
+a null doc_id is a document like others, ranked last by substring dedup; rows that repeat are one document
+in near-dedup and as many elsewhere; columns beside doc_id and text are passed on, whatever their names;
+an empty table gives an empty table. Without labels no document is toxic and every rate is 1.
 """
 
 from __future__ import annotations
@@ -13,10 +18,6 @@ from tickloom.llm import cutting_stock, line_dedup, mixing, queries, simhash, to
 from tickloom.llm.texts import free_name, saved, table, text_key
 from tickloom.session import prepare
 
-#: Near the documents' own shares, a little less English and more Spanish. As no rate may fall below
-#: one, a domain far below its own share would repeat all others.
-WEIGHTS = {"en": 0.50, "de": 0.14, "fr": 0.14, "es": 0.11, "junk": 0.11}
-
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity score does not reject; labels outside its held-out fold teach it."""
@@ -40,7 +41,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier document, or an earlier line, already has."""
+    """Documents without the passages of 50 words that an earlier document, or an earlier place, already has."""
     prepare(spark)
     names = docs.columns
     cut = line_dedup.without_repeats(docs).select(*[f"`{n}`" for n in names])
@@ -48,9 +49,12 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows repeated so that the domains' expected tokens meet WEIGHTS; every row stays at least once."""
+    """Rows repeated so that the domains' expected tokens meet op2's weights; every row stays at least once.
+
+    Junk has no weight, but as no row may go, it keeps what it has.
+    """
     labels = queries.domains(docs, table(prepare(spark), sf_dir, "labels"))
-    return mixing.mixed(docs, labels, WEIGHTS, lowest=1.0)
+    return mixing.mixed(docs, labels, queries.WEIGHTS, lowest=1.0)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
