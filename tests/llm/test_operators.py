@@ -20,6 +20,7 @@ from checks.compare import differences, duck
 from tickloom.llm import (
     components,
     cutting_stock,
+    interpolation,
     kneser_ney,
     langid,
     line_dedup,
@@ -77,6 +78,28 @@ def test_awkward_rows_and_empty_tables(spark, odd, labels, name):
     assert ids(run(odd.limit(3), labels.limit(0))) == ids(odd.limit(3))
 
 
+@pytest.mark.parametrize("name", [*operators(None), "store", "packing", "interpolation"])
+def test_texts_longer_than_a_batch(spark, labels, tmp_path, name):
+    """One text of more characters than any operator handles at once, between short ones."""
+    long = " ".join(f"w{k * 7919 % 300_007}" for k in range(640_000))
+    assert len(long) > 4_000_000
+    docs = spark.createDataFrame([(1, "a short text of a few words", "en"), (3, long, "en"), (5, "the last one", None)], "doc_id long, text string, lang string")
+    docs = docs.withColumns({"source": F.lit("s"), "n_chars": F.length("text").cast("long")})
+    if name == "store":
+        token_store.write_store(docs, queries.tokenizer(), f"{tmp_path}/s", shards=2)
+        found = token_store.read_store(spark, f"{tmp_path}/s").collect()
+        whole = Tokenizer.from_file(queries.tokenizer()).encode(long, add_special_tokens=False).ids
+        assert {r["doc_id"]: r["n_tokens"] for r in found}[3] == len(whole) + 1
+    elif name == "packing":
+        found = cutting_stock.pack(docs, queries.tokenizer()).toPandas()
+        assert found.groupby("doc_id")["length"].sum().eq(found.groupby("doc_id")["doc_tokens"].max()).all()
+    elif name == "interpolation":
+        found = {r["doc_id"]: r["n_tokens"] for r in interpolation.score(docs).collect()}
+        assert found == {1: 8, 3: 640_001, 5: 4}
+    else:
+        assert {r[0] for r in operators(None)[name](docs, labels).select("doc_id").collect()} == {1, 3, 5}
+
+
 def test_stages_keep_the_columns_of_documents(spark, odd, labels, tmp_path):
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     for docs in (odd, odd.limit(0)):
