@@ -20,8 +20,8 @@ from tickloom.plans import dashboard, live, maintenance, marts, quality, staging
 from tickloom.schemas import TICK
 from tickloom.session import lookup, prepare, scratch_path
 from tickloom.sources import decode, replay, streams
-from tickloom.sources.tables import LAYOUTS, read_table, write_batch, write_table
-from tickloom.streaming import processor, windows
+from tickloom.sources.tables import LAYOUTS, exists, read_table, write_batch, write_table
+from tickloom.streaming import processor, state, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,19 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def once_a_session(make):
+    """Let queries that read the same written tables share them."""
+    made = {}
+
+    def shared(spark: SparkSession, sf_dir: str, *view):
+        key = spark.sparkContext.applicationId, sf_dir, view
+        if key not in made or not exists(spark, made[key].root):
+            made[key] = make(spark, sf_dir, *view)
+        return made[key]
+
+    return shared
+
+
 def six(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: rounded(F.col(c), 6) for c in columns})
 
@@ -337,6 +350,7 @@ def latest_candles(spark, sf_dir):
 # the newest rows of stored tables
 
 
+@once_a_session
 def _stored(spark: SparkSession, sf_dir: str, view=replay.ticks) -> stored.StoredTables:
     root = scratch_path(spark, "lake")
     maintenance.backfill(view(spark, sf_dir), root)
@@ -675,7 +689,9 @@ def _drained(ticks: DataFrame, windowed, label: str) -> DataFrame:
         df = windowed(source)
         kinds.append(df.schema)
         sink = df.writeStream.outputMode("append").format("parquet").option("path", path)
-        sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        with state.state_partitions(spark):
+            running = sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        running.awaitTermination()
 
     _in_batches(ticks, run)
     return spark.read.schema(kinds[-1]).parquet(path)
@@ -705,6 +721,7 @@ def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.withColumn("event_id", F.col("seq").cast("long"))
 
 
+@once_a_session
 def _processed(spark: SparkSession, sf_dir: str, view=replay.ticks_dense) -> processor.TickProcessor:
     """The processor after the ticks came in BATCHES parts, by arrival, with a restart after each."""
     root, checkpoint = scratch_path(spark, "processed"), scratch_path(spark, "processor-checkpoint")

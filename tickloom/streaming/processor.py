@@ -43,7 +43,7 @@ from tickloom.sources.tables import (
     write_batch,
 )
 from tickloom.streaming import windows
-from tickloom.streaming.state import CANDLE_ROW, PAIR_ROW, TICK_ROW, enriched
+from tickloom.streaming.state import CANDLE_ROW, PAIR_ROW, TICK_ROW, enriched, state_partitions
 
 CANDLE_TOPIC, ALERT_TOPIC, UPDATE_TOPIC, VWAP_TOPIC = "candles.1m", "alerts", "updates", "vwap"
 FIVE_MINUTE_TOPIC = "candles.5m"
@@ -84,7 +84,8 @@ class TickProcessor:
     def start(self, ticks: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
         """Run on a stream of good ticks. Offsets, state and batch numbers live in `checkpoint`."""
         writer = enriched(ticks).writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.run_batch)
-        return writer.trigger(**(trigger or {"processingTime": FLUSH})).start()
+        with state_partitions(self.spark):
+            return writer.trigger(**(trigger or {"processingTime": FLUSH})).start()
 
     def run_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Write the independent outputs of an enriched micro-batch side by side, then commit it."""
@@ -233,7 +234,8 @@ class FiveMinutePublisher:
 
     def start(self, ticks: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
         writer = windows.candles_5m(ticks).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-        return writer.foreachBatch(self.run_batch).trigger(**(trigger or {"processingTime": FLUSH})).start()
+        with state_partitions(self.spark):
+            return writer.foreachBatch(self.run_batch).trigger(**(trigger or {"processingTime": FLUSH})).start()
 
     def run_batch(self, batch: DataFrame, batch_id: int) -> None:
         out = TickProcessor(self.spark, self.root, self.servers)

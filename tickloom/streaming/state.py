@@ -10,15 +10,18 @@ no other way on a stream. Tables of any size go through `operators.ordered`.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickloom.schemas import MIN_VOL_TICKS, ROLLING_TICKS
 
+#: Partitions of the state, fixed when a stream first starts: there are a handful of keys.
+STATE_PARTITIONS = 8
 #: Ticks whose returns are looked at in one go.
 BLOCK = 65_536
 MINUTE_US = 60_000_000
@@ -37,6 +40,18 @@ TICK_ROW, CANDLE_ROW, PAIR_ROW = "tick", "candle", "pair"
 _TICK_FIELDS = ["event_id", "time_us", "benchmark", "exchange", "price", "volume", "bid", "ask", "source"]
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, count: int = STATE_PARTITIONS):
+    """Streams that are started inside have at most `count` partitions of state."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(count, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def in_order(parts: Iterator[pd.DataFrame]) -> pd.DataFrame:
     """A key's ticks of the micro-batch by arrival."""
     return pd.concat(list(parts)).sort_values("event_id", kind="stable", ignore_index=True)
