@@ -408,7 +408,8 @@ SELECT time, benchmark, count(*) FROM sync GROUP BY 1, 2 HAVING count(*) > 1""",
     "decode_ticks_json": f"""WITH {DENSE}, {_WIRE}
 SELECT event_id, CASE WHEN event_id % 7 = 0 THEN TIMESTAMP '1970-01-01' ELSE sent_at END AS time,
   CASE WHEN event_id % 7 = 0 THEN 'UNKNOWN' ELSE benchmark END AS benchmark, exchange, price, volume, bid, ask,
-  CAST(NULL AS DOUBLE) AS open_interest, source, CAST(NULL AS VARCHAR) AS region
+  CAST(NULL AS DOUBLE) AS open_interest, source,
+  CASE benchmark WHEN 'WTI' THEN 'NORTH_AMERICA' WHEN 'BRENT' THEN 'EUROPE' WHEN 'DUBAI' THEN 'MIDDLE_EAST' END AS region
 FROM sent WHERE event_id % 13 <> 0 AND (event_id % 7 = 0 OR event_id % 11 <> 0)""",
     "dead_letters": f"""WITH {DENSE}
 SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 'unparsable' ELSE 'incomplete' END AS fault
