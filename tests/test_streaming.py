@@ -177,6 +177,19 @@ def test_alerts_do_not_depend_on_where_batches_end(spark, make_ticks, tmp_path,
     assert_same(run.live().drop("time"), live.live_prices(full, order_by=("event_id",)))
 
 
+def test_stored_points_do_not_grow_with_the_time_of_a_batch(spark, make_ticks, tmp_path):
+    """A batch of two days stores each benchmark's last hour alone; points from before it come in no series."""
+    rows = make_ticks([(1800 * i - (7200 if i % 7 == 3 else 0), ("WTI", "BRENT")[i % 3 == 1], 80 + i % 5) for i in range(96)])
+    full = stream_ticks(rows)
+    run = streamed(spark, full, [60], 96, tmp_path)
+    assert spark.read.parquet(f"{run.root}/series").select("stretch", "batch_id").distinct().count() <= 2 * 2 * 3
+    assert_same(run.series(), live.live_series(full))
+    assert_same(run.series(600), live.live_series(full, 600))
+    with pytest.raises(ValueError, match="3600"):
+        run.series(7200)
+    assert run.read("ticks").count() == 96  # the ticks themselves are all stored
+
+
 def test_windows_drop_what_the_watermark_passed(spark, make_ticks, tmp_path):
     """The late tick comes one batch after its window was closed; Spark filters by the batch before."""
     rows = make_ticks([(10, "WTI", 80), (700, "WTI", 81), (1400, "WTI", 82), (20, "WTI", 99)])

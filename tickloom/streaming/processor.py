@@ -148,7 +148,11 @@ class TickProcessor:
         self._write(sampled.withColumns(empty), "volatility", batch_id)
 
     def write_live(self, ticks: DataFrame, batch_id: int) -> None:
-        """The batch's newest arrival per benchmark, and its points of the rolling hour."""
+        """The batch's newest arrival per benchmark, and its points of the rolling hour.
+
+        Points an hour or more before their benchmark's newest tick of the batch are in no later hour either, as the
+        newest time only rises; they are not stored, so files do not grow with the time that a batch spans.
+        """
         key, shown = order_key(_ARRIVED), ("time", "price", "session_vwap", "rolling_std_30", "event_id")
         newest = ticks.groupBy("benchmark").agg(*[F.max_by(c, key).alias(c) for c in shown])
         state = newest.select(
@@ -161,7 +165,7 @@ class TickProcessor:
             "event_id",
         )
         self._write(state, "live", batch_id)
-        points = ticks.select("benchmark", "time", "price").withColumns(
+        points = _last_seconds(ticks.select("benchmark", "time", "price"), SERIES_SECONDS).withColumns(
             {"stretch": _stretch(F.col("time")), "batch_id": F.lit(batch_id).cast("long")}
         )
         writer = points.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -199,11 +203,12 @@ class TickProcessor:
         return rows.groupBy("benchmark").agg(*[F.max_by(c, "event_id").alias(c) for c in fields]).drop("event_id")
 
     def series(self, seconds: int = SERIES_SECONDS) -> DataFrame:
-        """Distinct points of the last hour before each benchmark's newest tick."""
+        """Distinct points of the last hour, or less, before each benchmark's newest tick."""
+        if seconds > SERIES_SECONDS:
+            raise ValueError(f"the series holds the last {SERIES_SECONDS} seconds")
         rows = self.spark.read.schema(f"{TABLES['series']}, stretch long, batch_id long").parquet(f"{self.root}/series")
         rows = rows.where(F.col("batch_id") <= self.committed())
-        latest = rows.groupBy("benchmark").agg((F.max("time") - F.make_dt_interval(secs=F.lit(seconds))).alias("after"))
-        return rows.join(latest, "benchmark").where(F.col("time") > F.col("after")).select("benchmark", "time", "price").dropDuplicates()
+        return _last_seconds(rows.select("benchmark", "time", "price"), seconds).dropDuplicates()
 
     def expire_series(self, as_of: datetime, seconds: int = SERIES_SECONDS) -> None:
         """Drop the stretches that end before the hour up to `as_of`; no row is written again.
@@ -246,6 +251,13 @@ class FiveMinutePublisher:
         return TickProcessor(self.spark, self.root).topic(FIVE_MINUTE_TOPIC).select("value")
 
 
+def _last_seconds(points: DataFrame, seconds: int) -> DataFrame:
+    """The points of the last `seconds` before each benchmark's newest one."""
+    hour = F.make_dt_interval(secs=F.lit(seconds))
+    latest = points.groupBy("benchmark").agg((F.max("time") - hour).alias("after"))
+    return points.join(latest, "benchmark").where(F.col("time") > F.col("after")).drop("after")
+
+
 def _stretch(time: Column) -> Column:
     return F.floor(F.unix_seconds(time) / STRETCH_SECONDS) * STRETCH_SECONDS
 
