@@ -180,3 +180,17 @@ def test_deviation_far_from_zero(spark):
     split = moved.selectExpr("price - 1 AS ret", "minute(time) AS m").groupBy("m").agg(*returns.moments("ret"))
     merged = split.agg(F.collect_list(F.struct("n", "mean", "m2")).alias("parts")).select(returns.merged_deviation(F.col("parts"))).first()[0]
     assert merged == pytest.approx(statistics.pstdev(exact.values()), abs=1e-9)
+
+
+def test_merged_deviation_works_the_mean_out_once(spark):
+    """Before, the mean stood in the lambda twice and was worked out for each part, over all parts."""
+    parts = spark.range(1).selectExpr("transform(sequence(1, 6), i -> struct(i AS n, 1e9D + i AS mean, 2D * i AS m2)) AS parts")
+    merged = parts.select(returns.merged_deviation(F.col("parts")).alias("d"))
+    analyzed = merged._jdf.queryExecution().analyzed().toString()
+    assert analyzed.count("aggregate(") <= 4
+    mean = sum(i * i for i in range(1, 7)) / 21
+    want = (sum(2 * i + i * (i - mean) ** 2 for i in range(1, 7)) / 21) ** 0.5
+    assert abs(merged.first()[0] - want) < 1e-9
+    assert spark.range(1).selectExpr("array_remove(array(named_struct('n', 1, 'mean', 1D, 'm2', 0D)), named_struct('n', 1, 'mean', 1D, 'm2', 0D)) AS parts").select(
+        returns.merged_deviation(F.col("parts"))
+    ).first()[0] is None

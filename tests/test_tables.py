@@ -179,6 +179,21 @@ def test_backfill_replaces_whole_tables(spark, tmp_path):
     assert stored.StoredTables(spark, str(tmp_path)).rows("ticks").count() == few.count()
 
 
+def test_a_backfill_clusters_rows_that_were_computed_once(spark, make_ticks, tmp_path, monkeypatch):
+    """What is cut into ranges is read twice; no scan of the ticks may stand behind it."""
+    seen, right = {}, maintenance.write_table
+
+    def noted(rows, path, *args, **kwargs):
+        seen[path.rsplit("/", 1)[1]] = plan(rows)
+        right(rows, path, *args, **kwargs)
+
+    monkeypatch.setattr(maintenance, "write_table", noted)
+    rows = [(30 * i, ("WTI", "BRENT")[i % 3 == 1], 80 + (i * 7) % 5 * 1.5) for i in range(40)]
+    maintenance.backfill(make_ticks(rows).selectExpr("*", "1D bid", "2D ask", "'s' source"), str(tmp_path))
+    assert "Window" not in seen["alerts"] and "Window" not in seen["volatility"] and "Join" not in seen["volatility"]
+    assert stored.StoredTables(spark, str(tmp_path)).rows("alerts").count() > 0
+
+
 def test_readers_see_a_backfill_when_it_is_complete(spark, tmp_path, monkeypatch):
     ticks = replay.ticks(spark, SMALL)
     maintenance.backfill(ticks, str(tmp_path))

@@ -49,11 +49,16 @@ def merged_deviation(parts: Column) -> Column:
     n = F.aggregate(parts, zero, lambda acc, p: acc + p["n"])
     # an offset of the first part's mean leaves the sum small
     first = F.coalesce(F.try_element_at(parts, F.lit(1))["mean"], zero)
-    mean = first + F.try_divide(F.aggregate(parts, zero, lambda acc, p: acc + p["n"] * (p["mean"] - first)), n)
-    m2 = F.aggregate(parts, zero, lambda acc, p: acc + p["m2"] + p["n"] * (p["mean"] - mean) * (p["mean"] - mean))
+    mean = _bound(first, lambda f: f + F.try_divide(F.aggregate(parts, zero, lambda acc, p: acc + p["n"] * (p["mean"] - f)), n))
+    m2 = _bound(mean, lambda m: F.aggregate(parts, zero, lambda acc, p: acc + p["m2"] + p["n"] * (p["mean"] - m) * (p["mean"] - m)))
     return F.sqrt(F.try_divide(m2, n))
 
 
+def _bound(value: Column, use) -> Column:
+    """`use` of a value that is worked out once; written into a lambda, it would be for every element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def with_previous(chunked: DataFrame, order_by: Sequence[str] = EVENT_ORDER, columns=("price",)) -> DataFrame:
     """Add `prev_<column>` of the tick before, per benchmark."""
     spec = scan(KEY, order_by)
@@ -167,13 +172,14 @@ def realized_from_panes(panes: DataFrame) -> DataFrame:
     # at most 12 panes, each with the panes of the ticks before that the hour holds too
     parts = F.collect_list(F.when(inside, F.struct("n", "mean", "m2")))
     sums = placed.groupBy("window", "benchmark").agg(F.sum("ticks").alias("tick_count"), parts.alias("parts"))
-    std = merged_deviation(F.col("parts"))
-    return sums.select(
+    # a column of its own, as it is shown in two units
+    spread = sums.withColumn("std", merged_deviation(F.col("parts")))
+    return spread.select(
         "benchmark",
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
-        rounded(std, 6).alias("realized_vol"),
-        rounded(std * (TICKS_PER_YEAR**0.5), 4).alias("annualized_vol"),
+        rounded(F.col("std"), 6).alias("realized_vol"),
+        rounded(F.col("std") * (TICKS_PER_YEAR**0.5), 4).alias("annualized_vol"),
         "tick_count",
     )
 

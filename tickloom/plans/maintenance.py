@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from tickloom.functions.columns import moment, start_of
 from tickloom.operators import alerts, candles, returns
 from tickloom.plans import marts, staging
-from tickloom.session import lookup
+from tickloom.session import lookup, written
 from tickloom.sources.tables import (
     LAYOUTS,
     Layout,
@@ -253,7 +253,8 @@ def backfill(lake_ticks: DataFrame, root: str) -> str:
     """Rebuild all derived tables from stored ticks, with the same operators as the stream.
 
     The tables are written to a new folder below `root`, and one row then makes that folder the current
-    one, so readers see all old tables or all new ones. Returns the folder.
+    one, so readers see all old tables or all new ones. Returns the folder. The scans behind alerts and
+    volatility are run once: clustering reads its rows twice, to cut the ranges and to deal them out.
     """
     spark, version = lake_ticks.sparkSession, time.time_ns() // 1000
     here = f"{root}/tables-{version}"
@@ -264,13 +265,14 @@ def backfill(lake_ticks: DataFrame, root: str) -> str:
     five = candles.candles_5m(stored)
     timed = five.withColumn("time", F.timestamp_millis("window_start").cast(kind))
     write_table(timed, f"{here}/candles_5m", LAYOUTS["candles_5m"], "overwrite", whole=True)
-    write_table(alerts.alerts_all(stored), f"{here}/alerts", LAYOUTS["alerts"], "overwrite", whole=True)
+    raised = written(alerts.alerts_all(stored), "alerts")
+    write_table(raised, f"{here}/alerts", LAYOUTS["alerts"], "overwrite", whole=True)
     sampled = returns.volatility_sampled(stored).select("time", "benchmark", "rolling_std_30")
     hours = returns.realized_vol(stored).select("benchmark", F.col("window_end").cast(kind).alias("_end"), "realized_vol")
     # the hour that ended last: one row per benchmark and five minutes
     ended = sampled.withColumn("_end", start_of("time", returns.PANE_SECONDS).cast(kind))
     measured = ended.join(hours, ["benchmark", "_end"], "left").drop("_end")
-    write_table(measured, f"{here}/volatility", LAYOUTS["volatility"], "overwrite", whole=True)
+    write_table(written(measured, "volatility"), f"{here}/volatility", LAYOUTS["volatility"], "overwrite", whole=True)
     spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("append").parquet(f"{root}/current")
     return here
 

@@ -68,3 +68,10 @@ def lookup(side: DataFrame) -> DataFrame:
     """Compute a join side that is used twice once, by a reliable checkpoint; AQE measures it and picks the join."""
     shared_dir(side.sparkSession)
     return side.checkpoint()
+
+
+def written(rows: DataFrame, label: str) -> DataFrame:
+    """Compute rows that are read twice once, by a table in the shared folder; it is smaller than a checkpoint."""
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
