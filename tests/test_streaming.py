@@ -2,6 +2,8 @@
 
 from datetime import timedelta
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from tests.conftest import SMALL
 from tickloom.operators import alerts, asof, candles, returns
 from tickloom.plans import live
 from tickloom.sources import decode, replay, streams
-from tickloom.streaming import processor, windows
+from tickloom.streaming import processor, state, windows
 
 PARTS = 4
 
@@ -190,6 +192,71 @@ def test_stored_points_do_not_grow_with_the_time_of_a_batch(spark, make_ticks, t
     assert run.read("ticks").count() == 96  # the ticks themselves are all stored
 
 
+def test_ticks_reach_the_state_in_few_rows(spark):
+    """Spark hands rows to a processor one by one, so a batch's ticks of a benchmark come as one row of arrays."""
+    big = 2**60 + 1
+    rows = spark.range(3000, -1, -1, 1).selectExpr(
+        f"if(id = 7, null, id + {big}) event_id", "if(id = 9, null, timestamp_micros(id)) time", "nullif(concat('B', id % 3), 'B2') benchmark",
+        "if(id % 5 = 0, null, 'X') exchange", "if(id % 4 = 0, null, double(id)) price", "1D volume", "1D bid", "2D ask", "string(null) source",
+    )
+    lists = state.packed(rows, state._TICK_FIELDS).toPandas()
+    assert sorted(lists["benchmark"].fillna("-")) == ["-", "B0", "B1"]
+    found = state.unpacked(iter([lists[lists["benchmark"] == "B0"]]), state._TICK_FIELDS)
+    ids = [i for i in range(0, 3001, 3)]
+    assert found["event_id"].tolist() == [i + big for i in ids]
+    assert found["time_us"].tolist() == [state.NO_TIME if i == 9 else i for i in ids]
+    assert found["exchange"].tolist() == [None if i % 5 == 0 else "X" for i in ids]
+    assert [None if np.isnan(p) else p for p in found["price"]] == [None if i % 4 == 0 else float(i) for i in ids]
+    other = state.unpacked(iter([lists[lists["benchmark"] == "B1"]]), state._TICK_FIELDS)["event_id"]  # one is missing
+    assert other.iloc[0] == big + 1 and pd.isna(other.iloc[-1]) and len(other) == 1000
+
+
+class Held:
+    """A state variable of one key."""
+
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    put = update
+
+
+class Handle:
+    def getListState(self, *_):
+        return Held()
+
+    getValueState = getListState
+
+
+def test_the_state_gives_its_rows_in_blocks(monkeypatch):
+    """No Arrow batch that leaves the state holds a whole micro-batch."""
+    monkeypatch.setattr(state, "BLOCK", 4)
+    ids = np.arange(10)
+    parts = [
+        pd.DataFrame({
+            "benchmark": name, "event_id": [2 * ids + at], "time_us": [ids * 30_000_000], "exchange": [np.full(10, "X", object)],
+            "price": [80.0 + ids], "volume": [np.ones(10)], "bid": [np.ones(10)], "ask": [np.ones(10)], "source": [np.full(10, None)],
+        })
+        for at, name in enumerate(("WTI", "BRENT"))
+    ]
+    own, pair = state.TickState(), state.PairState()
+    own.init(Handle())
+    pair.init(Handle())
+    found = list(own.handleInputRows(("WTI",), iter(parts[:1]), None))
+    assert [(f["kind"].iloc[0], len(f)) for f in found] == [("tick", 4), ("tick", 4), ("tick", 2), ("candle", 4)]
+    both = list(pair.handleInputRows(("WTI/BRENT",), iter(parts), None))
+    assert [len(f) for f in both] == [4, 4, 2]
+    assert pd.concat(both)["brent_price"].tolist()[1:] == [80.0 + i for i in range(9)]
+
+
 def test_windows_drop_what_the_watermark_passed(spark, make_ticks, tmp_path):
     """The late tick comes one batch after its window was closed; Spark filters by the batch before."""
     rows = make_ticks([(10, "WTI", 80), (700, "WTI", 81), (1400, "WTI", 82), (20, "WTI", 99)])

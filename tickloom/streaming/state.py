@@ -1,10 +1,11 @@
 """Keyed state of the tick stream in Spark's state store: open candle, session sums, the last ticks.
 
 Each processor gets a micro-batch's ticks of one key, puts them in order of arrival (event_id) and works
-on arrays; what later batches need is small and of fixed size. A batch that is run again starts from the
-state that Spark kept before it. A key's ticks of one micro-batch pass one task, so a micro-batch has to
-be bounded by the source (`maxFilesPerTrigger`, `maxOffsetsPerTrigger`); the order of a key's ticks leaves
-no other way on a stream. Tables of any size go through `operators.ordered`.
+on arrays; what later batches need is small and of fixed size. Spark hands rows to a processor one by one, so
+ticks are packed before, in the tasks that read them: a row of arrays holds a key's ticks of one Arrow batch.
+A batch that is run again starts from the state that Spark kept before it. A key's ticks of one micro-batch
+pass one task, so a micro-batch has to be bounded by the source (`maxFilesPerTrigger`, `maxOffsetsPerTrigger`);
+the order of a key's ticks leaves no other way on a stream. Tables of any size go through `operators.ordered`.
 """
 
 from __future__ import annotations
@@ -14,10 +15,12 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tickloom.functions.columns import micros as micros_of
 from tickloom.schemas import MIN_VOL_TICKS, ROLLING_TICKS
 
 #: Partitions of the state, fixed when a stream first starts: there are a handful of keys.
@@ -37,7 +40,12 @@ ENRICHED = (
 )
 COLUMNS = [field.split()[0] for field in ENRICHED.split(", ")]
 TICK_ROW, CANDLE_ROW, PAIR_ROW = "tick", "candle", "pair"
-_TICK_FIELDS = ["event_id", "time_us", "benchmark", "exchange", "price", "volume", "bid", "ask", "source"]
+#: What is packed of a tick, for the state of a benchmark and that of the pair.
+_TICK_FIELDS = {
+    "event_id": "bigint", "time_us": "bigint", "exchange": "string", "price": "double", "volume": "double",
+    "bid": "double", "ask": "double", "source": "string",
+}
+_PAIR_FIELDS = {name: _TICK_FIELDS[name] for name in ("event_id", "time_us", "price")}
 
 
 @contextmanager
@@ -52,9 +60,41 @@ def state_partitions(spark: SparkSession, count: int = STATE_PARTITIONS):
         spark.conf.set(name, before)
 
 
+def packed(ticks: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """One row per benchmark and Arrow batch: `benchmark` and an array of each of the `fields`."""
+    names = ["benchmark", *fields]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            groups = pa.Table.from_batches([batch]).group_by("benchmark", use_threads=False)
+            lists = groups.aggregate([(c, "list") for c in fields]).select(["benchmark", *[f"{c}_list" for c in fields]])
+            yield from lists.rename_columns(names).to_batches()
+
+    # a missing time goes as the number that numpy reads as none
+    timed = ticks.withColumn("time_us", F.coalesce(micros_of("time"), F.lit(NO_TIME)))
+    rows = timed.select(F.col("benchmark").cast("string").alias("benchmark"), *[F.col(c).cast(kind).alias(c) for c, kind in fields.items()])
+    return rows.mapInArrow(pack, ", ".join(["benchmark string", *[f"{c} array<{kind}>" for c, kind in fields.items()]]))
+
+
 def in_order(parts: Iterator[pd.DataFrame]) -> pd.DataFrame:
     """A key's ticks of the micro-batch by arrival."""
-    return pd.concat(list(parts)).sort_values("event_id", kind="stable", ignore_index=True)
+    return by_arrival(pd.concat(list(parts)))
+
+
+def by_arrival(ticks: pd.DataFrame) -> pd.DataFrame:
+    return ticks.sort_values("event_id", kind="stable", ignore_index=True)
+
+
+def unpacked(parts: Iterator[pd.DataFrame], fields: dict[str, str]) -> pd.DataFrame:
+    """A key's ticks of the micro-batch by arrival, from `packed` rows."""
+    rows = pd.concat(list(parts))
+    found = {c: np.concatenate(rows[c].tolist(), dtype=object if kind == "string" else None) for c, kind in fields.items()}
+    found.update({c: numbers(pd.Series(found[c])) for c, kind in fields.items() if kind == "double"})
+    found["benchmark"] = np.repeat(rows["benchmark"].to_numpy(dtype=object), [len(ids) for ids in rows["event_id"]])
+    ticks = pd.DataFrame(found)
+    if ticks["event_id"].dtype == object:  # some are missing
+        ticks["event_id"] = ticks["event_id"].astype("Int64")
+    return by_arrival(ticks)
 
 
 def micros(times: pd.Series) -> np.ndarray:
@@ -103,6 +143,12 @@ def enriched_rows(found: pd.DataFrame) -> pd.DataFrame:
     return full
 
 
+def in_blocks(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """ENRICHED rows, a block at a time, so that no Arrow batch holds a whole micro-batch."""
+    for at in range(0, len(rows), BLOCK):
+        yield enriched_rows(rows.iloc[at : at + BLOCK])
+
+
 class TickState(StatefulProcessor):
     """Per benchmark: previous price, rolling volatility and session sums of each tick, and the candles that close."""
 
@@ -114,8 +160,7 @@ class TickState(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        ticks = in_order(rows)
-        ticks["time_us"] = micros(ticks["time"])
+        ticks = unpacked(rows, _TICK_FIELDS)
         price, volume = numbers(ticks["price"]), numbers(ticks["volume"])
         yield from self._ticks(ticks, price, volume)
         yield from self._candles(key[0], ticks["time_us"].to_numpy(), price, volume)
@@ -124,7 +169,7 @@ class TickState(StatefulProcessor):
         known = [np.nan if p is None else p for (p,) in self.tail.get()] if self.tail.exists() else []
         prices, n = np.concatenate([known, price]), len(known)
         pv, traded = self.session.get() if self.session.exists() else (0.0, 0.0)
-        out = ticks[_TICK_FIELDS].copy()
+        out = ticks.copy()
         out["kind"] = TICK_ROW
         out["prev_price"] = np.concatenate([[np.nan], prices])[n : n + len(price)]
         out["rolling_std_30"] = rolling_deviation(prices, n)
@@ -132,7 +177,7 @@ class TickState(StatefulProcessor):
         out["session_volume"] = traded + np.cumsum(np.nan_to_num(volume))
         self.session.update((float(out["session_pv"].iloc[-1]), float(out["session_volume"].iloc[-1])))
         self.tail.put([(optional(p),) for p in prices[-ROLLING_TICKS:]])
-        yield enriched_rows(out)
+        yield from in_blocks(out)
 
     def _candles(self, benchmark: str, time_us: np.ndarray, price: np.ndarray, volume: np.ndarray) -> Iterator[pd.DataFrame]:
         """Fold the ticks into candles: a tick older than the open candle joins that one."""
@@ -161,7 +206,7 @@ class TickState(StatefulProcessor):
             # without volume the average is the price of the tick that closed the candle
             closed["vwap"] = np.where(closed["volume"] != 0, closed["pv"] / closed["volume"].replace(0, np.nan), made["open"].to_numpy()[1:])
             closed = closed.rename(columns={"minute": "time_us"}).assign(kind=CANDLE_ROW, benchmark=benchmark)
-            yield enriched_rows(closed)
+            yield from in_blocks(closed)
 
 
 class PairState(StatefulProcessor):
@@ -171,7 +216,7 @@ class PairState(StatefulProcessor):
         self.known = handle.getValueState("known", "brent double, begun boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        ticks = in_order(rows)
+        ticks = unpacked(rows, _PAIR_FIELDS)
         brent, begun = self.known.get() if self.known.exists() else (None, False)
         ours = (ticks["benchmark"] == "WTI").to_numpy()
         price = numbers(ticks["price"])
@@ -179,10 +224,9 @@ class PairState(StatefulProcessor):
         earlier = np.concatenate([[0], np.cumsum(ours)[:-1]]) > 0
         self.known.update((optional(latest[-1]), bool(begun or ours.any())))
         out = ticks[ours].assign(
-            kind=PAIR_ROW, time_us=micros(ticks["time"])[ours], brent_price=latest[ours],
-            prev_price=np.where(earlier | begun, 1.0, np.nan)[ours],
+            kind=PAIR_ROW, brent_price=latest[ours], prev_price=np.where(earlier | begun, 1.0, np.nan)[ours],
         )
-        yield enriched_rows(out)
+        yield from in_blocks(out)
 
 
 class ReturnState(StatefulProcessor):
@@ -207,12 +251,14 @@ class ReturnState(StatefulProcessor):
 
 def enriched(ticks: DataFrame) -> DataFrame:
     """The stream of ENRICHED rows: two keyed states side by side, one per benchmark and one of the pair."""
-    own = ticks.groupBy("benchmark").transformWithStateInPandas(TickState(), ENRICHED, "Append", "None")
-    pair = ticks.where(F.col("benchmark").isin("WTI", "BRENT")).withColumn("pair", F.lit("WTI/BRENT"))
+    own = packed(ticks, _TICK_FIELDS).groupBy("benchmark").transformWithStateInPandas(TickState(), ENRICHED, "Append", "None")
+    both = ticks.where(F.col("benchmark").isin("WTI", "BRENT"))
+    pair = packed(both, _PAIR_FIELDS).withColumn("pair", F.lit("WTI/BRENT"))
     return own.unionByName(pair.groupBy("pair").transformWithStateInPandas(PairState(), ENRICHED, "Append", "None"))
 
 
 def tick_returns(watermarked: DataFrame) -> DataFrame:
     """benchmark, time, prev_time, ret of a stream behind a watermark, which `time` keeps."""
     form = "benchmark string, time timestamp, prev_time timestamp, ret double"
-    return watermarked.groupBy("benchmark").transformWithStateInPandas(ReturnState(), form, "Append", "EventTime", eventTimeColumnName="time")
+    rows = watermarked.select("event_id", "time", "benchmark", "price")  # packed rows would have no watermark
+    return rows.groupBy("benchmark").transformWithStateInPandas(ReturnState(), form, "Append", "EventTime", eventTimeColumnName="time")
